@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
 from .groups import linked_groups
+from .tokens import encode_corpus
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return linked_groups(table(spark, folder, "unit_pairs"))
 
 
-QUERIES = {"p3_found": p3_found}
+def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_corpus(table(spark, folder, "documents"))
+
+
+QUERIES = {"p3_found": p3_found, "p6_ids": p6_ids}
 SQL = {
     "p3_found": r"""
 WITH RECURSIVE p AS (
