@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
 from .groups import linked_groups
+from .leaks import leaked_items
 from .tokens import encode_corpus
 
 
@@ -17,7 +18,11 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"))
 
 
-QUERIES = {"p3_found": p3_found, "p6_ids": p6_ids}
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items")).select("doc_id", "item_id")
+
+
+QUERIES = {"p3_found": p3_found, "p6_ids": p6_ids, "p7_found": p7_found}
 SQL = {
     "p3_found": r"""
 WITH RECURSIVE p AS (
