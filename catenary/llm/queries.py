@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
 from .groups import linked_groups
+from .languages import language_segments
 from .leaks import leaked_items
 from .tokens import encode_corpus
 
@@ -22,7 +23,12 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items")).select("doc_id", "item_id")
 
 
-QUERIES = {"p3_found": p3_found, "p6_ids": p6_ids, "p7_found": p7_found}
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    tables = (table(spark, folder, name) for name in ("documents", "eval_items", "languages"))
+    return language_segments(*tables, only_cases=True).select("doc_id", "segment_no", "lang")
+
+
+QUERIES = {"p3_found": p3_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 SQL = {
     "p3_found": r"""
 WITH RECURSIVE p AS (
