@@ -6,9 +6,10 @@ one is known, from ``NGRAM`` characters down to one. A sentence's score is the s
 sentence, mostly names and titles, weigh less. The best path through a text's sentences, in which each change of language costs
 ``SWITCH``, gives the stretches.
 
-The model is fitted on the test items, whose labels are right, and then once more together with a sample of at most ``SAMPLE``
-labelled documents (chosen by a hash of their whole content), of which only sentences count that the first model gives the
-language of the label; so wrong labels and mixed texts do no harm. Every document is then scored by the fitted model.
+The model is fitted on the test items, whose labels are right, and then again together with a sample of about ``SAMPLE``
+labelled documents (chosen by a hash of their whole content). Of these, texts count that the model so far gives the language of
+the label, without sentences that are clearly in another; so wrong labels and mixed texts do no harm. Every document is then
+scored by the fitted model.
 
 Defined results: headings (blocks without any full stop), claim lines, record references and markup are no sentences. Texts
 without a sentence, null and empty ones give no rows. Repeated documents are answered each; other columns are not read.
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 SAMPLE = 6000
 #: The longest character n-gram; log penalty of a word or n-gram that a language lacks; cost of a change of language.
 NGRAM, PENALTY, SWITCH = 5, 16.0, 9.0
+#: Fits on labelled documents; log odds against the label's language from which a sentence of such a document is left out.
+REFITS, FAR = 2, 40.0
 #: Weight of a capitalised word that does not begin a sentence.
 NAME_WEIGHT = 0.35
 #: Documents in which a word must occur to be known.
@@ -181,16 +184,20 @@ def fit(docs: DataFrame, items: DataFrame, languages: DataFrame, sample: int = S
     """The model. docs and items have the columns text and lang; at most about ``sample`` rows of docs are read to the driver."""
     langs = tuple(sorted(r[0] for r in languages.select("lang").collect()))
     right = [(r[0], sentences(r[1])) for r in items.select("lang", "text").where("text IS NOT NULL").collect() if r[0] in langs]
-    first = Model(langs, right, known_in=2)
+    model = Model(langs, right, known_in=2)
     labelled = docs.select("text", label_code(F.col("lang"), languages).alias("code")).where("code IS NOT NULL AND length(text) > 0")
     rows = labelled.count()
     share = max(1, -(-rows // sample))
-    more = []
-    for text, code in labelled.where(F.pmod(F.xxhash64("text", "code"), F.lit(share)) == 0).limit(2 * sample).collect():
-        parts = sentences(text)
-        scores = [first.sentence(p) for p in parts]
-        more.append((code, [p for p, s in zip(parts, scores) if max(range(len(langs)), key=s.__getitem__) == langs.index(code)]))
-    return Model(langs, right + more)
+    texts = [(langs.index(code), sentences(text)) for text, code in labelled.where(F.pmod(F.xxhash64("text", "code"), F.lit(share)) == 0).limit(2 * sample).collect()]
+    for _ in range(REFITS):
+        more = []
+        for own, parts in texts:
+            scores = [model.sentence(p) for p in parts]
+            whole = [sum(s[k] for s in scores) for k in range(len(langs))]
+            if parts and whole[own] == max(whole):  # the label is right; a sentence that is far from it is in another language
+                more.append((langs[own], [p for p, s in zip(parts, scores) if s[own] >= max(s) - FAR]))
+        model = Model(langs, right + more)
+    return model
 
 
 _OUT = "doc_id bigint, segment_no bigint, lang string, confidence double, sentences bigint"
