@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from .episodes import match_episodes
 from .groups import linked_groups
 from .languages import language_segments
 from .leaks import leaked_items
 from .tokens import encode_corpus
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = match_episodes(table(spark, folder, "episodes"))
+    return found.select(F.least("a", "b").alias("episode_id_a"), F.greatest("a", "b").alias("episode_id_b"))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return linked_groups(table(spark, folder, "unit_pairs"))
 
@@ -28,7 +35,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return language_segments(*tables, only_cases=True).select("doc_id", "segment_no", "lang")
 
 
-QUERIES = {"p3_found": p3_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 SQL = {
     "p3_found": r"""
 WITH RECURSIVE p AS (
