@@ -1,0 +1 @@
+"""Feeds as streams."""
