@@ -83,7 +83,7 @@ def year_of(text: Column) -> Column:
 
 def strict_date(text: Column) -> Column:
     """A calendar date written year-month-day; null for what is no day of the calendar."""
-    return F.when(text.rlike(r"^\d{1,4}-\d{1,2}-\d{1,2}$"), F.try_to_date(text, F.lit("yyyy-M-d")))
+    return F.when(text.rlike(r"^\d{1,4}-\d{1,2}-\d{1,2}$"), F.try_to_date(text, "yyyy-M-d"))
 
 
 def imdb_id(text: Column) -> Column:

@@ -72,7 +72,7 @@ def match_unique(left: DataFrame, right: DataFrame, keys: tuple[str, ...], signa
 
 def order_violations(episodes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Coordinates or references that an order has twice."""
-    twice = lambda *c: episodes.groupBy(*keys, *c).agg(F.count("*").alias("n")).where("n > 1")
+    twice = lambda *c: episodes.groupBy(*keys, *c).agg(F.count("*").alias("n")).where("n > 1").drop("n")
     at = twice("season", "episode").select(*keys, F.concat_ws("x", "season", "episode").alias("what"), F.lit("ambiguous coordinates").alias("message"))
     return at.unionByName(twice("reference").select(*keys, F.col("reference").alias("what"), F.lit("repeated episode").alias("message")))
 

@@ -10,6 +10,11 @@ from ..functions.content import TITLE_BYTES, domain_of, imdb_id, key_uri, normal
 TMDB, TVDB, ANILIST, IMDB, MAL = "org.themoviedb", "com.thetvdb", "co.anilist", "com.imdb", "net.myanimelist"
 
 
+_FIELDS = """title string, original_title string, release_date string, name string, original_name string, first_air_date string, firstAired string, year string,
+format string, type string, idMal string, remoteIds string, startDate struct<year: string>, external_ids struct<imdb_id: string, tvdb_id: string>,
+series struct<name: string, firstAired: string, remoteIds: string>"""
+
+
 def body(payload: Column) -> Column:
     """The record in a payload that may be encoded once more or wrapped in an envelope {status, data}."""
     plain = F.when(F.ltrim(payload).startswith('"'), F.from_json(F.concat(F.lit('{"x":'), payload, F.lit("}")), "x string")["x"]).otherwise(payload)
@@ -23,8 +28,14 @@ def project(live: DataFrame, normalize: Column | None = None) -> DataFrame:
     Fields by source: films and series have year and titles; everything else is a unit without them. Titles are normalised and
     not empty or over-long; identifiers name records of other catalogs, ingested or not.
     """
-    rows = live.select("source", "key", "revision", body(F.col("payload")).alias("p")).withColumn("domain", domain_of(F.col("key")))
-    at = lambda path: F.get_json_object("p", path)
+    rows = live.select("source", "key", "revision", F.from_json(body(F.col("payload")), _FIELDS).alias("p")).withColumn("domain", domain_of(F.col("key")))
+    of_title = F.from_json("p.title", "romaji string, english string, native string")
+
+    def at(path: str) -> Column:
+        """A field of the payload, which is parsed once for all of them; a title may be a text or an object."""
+        inner = path.removeprefix("$.").split(".", 1)
+        return of_title[inner[1]] if inner[0] == "title" and len(inner) > 1 else F.col("p." + path.removeprefix("$."))
+
     tmdb, tvdb, anilist = (F.col("source") == s for s in (TMDB, TVDB, ANILIST))
     movie, tv, series = (F.col("domain") == d for d in ("movie", "tv", "series"))
     kind = (
@@ -46,7 +57,7 @@ def project(live: DataFrame, normalize: Column | None = None) -> DataFrame:
     link = lambda field, ok, target: F.when(ok, F.struct(F.lit(field).alias("field"), target.alias("target")))
     imdb = imdb_id(at("$.external_ids.imdb_id"))
     of_tvdb, mal = positive_id(at("$.external_ids.tvdb_id")).cast("string"), positive_id(at("$.idMal")).cast("string")
-    remote = F.from_json(F.coalesce(at("$.remoteIds"), at("$.series.remoteIds")), "array<struct<sourceName:string,id:string>>")
+    remote = F.from_json(F.coalesce(at("$.remoteIds"), at("$.series.remoteIds")), "array<struct<sourceName:string,id:string>>")  # a bare object is a list of one
     remote_imdb = F.transform(
         F.filter(F.coalesce(remote, F.array()), lambda r: (F.lower(r["sourceName"]).contains("imdb")) & r["id"].rlike("^tt[0-9]+$")),
         lambda r: F.struct(F.lit("/remoteIds").alias("field"), F.concat(F.lit(f"{IMDB}://title/"), r["id"]).alias("target")),

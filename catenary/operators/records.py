@@ -16,6 +16,8 @@ from ..functions.content import content_hash, domain_of
 
 #: Rows of a page or batch, at most.
 PAGE = 1000
+#: Revisions that are filled together when nulls take what was in force before.
+FILL_RANGE = 4096
 #: Fields of a record's metadata that say how it was found, not what it is.
 BOOKKEEPING = ("etag", "fetched_at", "page", "cursor", "retry", "status", "address_checked", "source_revision", "seen_run")
 
@@ -117,10 +119,8 @@ def in_force(versions: DataFrame) -> DataFrame:
     A key's versions need their order here; ranges of revisions are filled by themselves first, so that a key with very many
     versions is spread over the ranges, and only what each range ends with is carried on.
     """
-    fields = ("payload", "hash", "deleted")
-    buckets = 64
-    span = versions.agg(F.min("revision").alias("lo"), F.max("revision").alias("hi"))
-    rows = versions.crossJoin(F.broadcast(span)).withColumn("__bucket", F.floor((F.col("revision") - F.col("lo")) * buckets / (F.col("hi") - F.col("lo") + 1)).cast("int")).drop("lo", "hi")
+    fields = [c for c in ("payload", "hash", "deleted") if c in versions.columns]
+    rows = versions.withColumn("__bucket", F.floor(F.col("revision") / FILL_RANGE))
     w = Window.partitionBy("source", "key", "__bucket").orderBy("revision").rowsBetween(Window.unboundedPreceding, 0)
     filled = rows.select("*", *[F.last(c, ignorenulls=True).over(w).alias(f"__{c}") for c in fields])
     ends = rows.groupBy("source", "key", "__bucket").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("revision"))).alias(f"__end_{c}") for c in fields])
@@ -142,9 +142,9 @@ def observed_changes(current: DataFrame, observed: DataFrame) -> DataFrame:
 
 
 def descriptor(metadata: Column) -> Column:
-    """What metadata says of the record itself, as a map."""
+    """What metadata says of the record itself, as entries by name (maps cannot be compared)."""
     fields = F.from_json(F.coalesce(metadata, F.lit("{}")), "map<string,string>")
-    return F.map_from_entries(F.array_sort(F.map_entries(F.map_filter(fields, lambda k, v: ~k.isin(*BOOKKEEPING) & v.isNotNull()))))
+    return F.array_sort(F.map_entries(F.map_filter(fields, lambda k, v: ~k.isin(*BOOKKEEPING) & v.isNotNull())))
 
 
 def absent_members(current: DataFrame, members: DataFrame, discovered: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """All queries outside the subpackage llm."""
 
-from . import problems
+from . import alignment, linking, problems, store, streams
 
-QUERIES = problems.QUERIES
-SQL = problems.SQL
+QUERIES = problems.QUERIES | store.QUERIES | linking.QUERIES | alignment.QUERIES | streams.QUERIES
+SQL = problems.SQL | store.SQL | linking.SQL | alignment.SQL | streams.SQL

@@ -17,8 +17,13 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 def stream_table(spark: SparkSession, path: str, files: int = 64) -> DataFrame:
     """A folder of Parquet files (or one file) as a stream with the schema of what is there."""
     schema = spark.read.parquet(path).schema
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return stream.option("pathGlobFilter", "*.parquet").parquet(path)
     folder, _, name = path.rpartition("/")
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", name if name.endswith(".parquet") else "*.parquet").parquet(folder if name.endswith(".parquet") else path)
+    return stream.option("pathGlobFilter", name).parquet(folder)
 
 
 def run_to_end(rows: DataFrame, folder: str, checkpoint: str, mode: str = "append", write: Callable[[DataFrame, int], None] | None = None) -> None:
