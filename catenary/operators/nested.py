@@ -8,7 +8,8 @@ No text is decoded value by value.
 Defined results:
 
 * A text encoded once more than needed (a JSON string holding JSON) is decoded first, as often as needed.
-* A null, an empty text and a text whose quotes or brackets do not close properly give no rows.
+* A null, an empty text and a text whose quotes or brackets do not close properly give no rows; other slips of grammar are not
+  looked for.
 * A null element counts as a position and gives no row; a list in a list is walked, only objects give rows.
 * A bare object in one of the fields ``BARE`` counts as a list of one.
 * ``native_id``: a string as it is, a number or boolean as written, a container as its JSON text; empty if missing or null.
@@ -69,6 +70,7 @@ def _decoded(text: str) -> str:
     try:
         while text.lstrip()[:1] == '"':
             text = json.loads(text)
+        json.loads(text)  # what was a mere string is no record
         return text
     except ValueError:
         return ""
