@@ -7,9 +7,10 @@ item's runs are met in the item's order, the stretch of the text around them is
 short insertions between them, then the characters left between blocks, so that altered and split words count as far as they
 agree. The share of the item's characters that stand in the stretch is the evidence.
 
-Stock phrases stand in many texts that hold nothing else of the item. They are found by counting, over all documents: a run of
-words that several items share, or that is met mostly in texts where its item is not, is stock; what is left of the match without
-it must still be a passage.
+Stock phrases stand in many texts that hold nothing else of the item. They are found by counting, over all documents: a longer
+run (of ``SHINGLE + LONGER`` words) that several items share, or that is met mostly in texts where its item is not, is stock. A
+match must have equal blocks of that length with something besides stock in them. Runs of that length are hardly met by chance
+in a corpus of any size, and both counts grow with the corpus, so the rule does not depend on the number of documents.
 
 The items are a stated query set. They are gathered in blocks of bounded size, one automaton and one pass over the corpus for
 each block, so that what a worker holds does not grow with the number of items.
@@ -43,14 +44,18 @@ BLOCK, BLOCK_DENSE = 3, 5
 INSERTED, MISSING = 30, 60
 #: Share of the item's words that runs must cover before it is aligned; share of its characters that makes a case.
 GATE, SHARE = 0.12, 0.3
+#: Share of its stretch of the text that a match fills at least, insertions and all.
+DENSITY = 0.33
 #: Characters of items in one automaton.
 ITEM_BLOCK = 4_000_000
-#: Characters beyond stock phrases that a match has at least, as a share of the item and in all.
-OWN_SHARE, OWN_CHARS = 0.15, 24
+#: Words by which the runs that tell stock phrases are longer.
+LONGER = 2
+#: Characters beyond stock phrases that the long blocks of a match have at least, as a share of the item and in all.
+OWN_SHARE, OWN_CHARS = 0.06, 20
 
 _DENSE = "぀-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ"
-_WORD = re.compile(rf"<[^<>]{{0,80}}>|&(?:#\d{{1,6}}|#x[0-9a-fA-F]{{1,6}}|[a-zA-Z]{{2,8}});|[{_DENSE}][゙゚̀-ͯ​-‏⁠­﻿]*|[^\W_{_DENSE}](?:[^\W_{_DENSE}]|[̀-ͯ​-‏⁠­﻿])*")
-_DROP = re.compile(r"[​-‏⁠­﻿]")
+_WORD = re.compile(rf"<[^<>]{{0,80}}>|&(?:#\d{{1,6}}|#x[0-9a-fA-F]{{1,6}}|[a-zA-Z]{{2,8}});|[{_DENSE}][゙゚̀-ͯ​-‏⁠­﻿]*|[^\W_{_DENSE}](?:[^\W_{_DENSE}]|-\s{{1,3}}(?=[^\W\d_{_DENSE}])|[̀-ͯ​-‏⁠­﻿])*")
+_DROP = re.compile(r"-\s+|[​-‏⁠­﻿]")
 _IS_DENSE = re.compile(f"[{_DENSE}]")
 
 
@@ -61,7 +66,7 @@ def _spelled(word: str) -> str:
 
 
 def words_of(text: str) -> tuple[list[str], list[tuple[int, int]]]:
-    """The normalised words of a text and their offsets in it; markup gives none."""
+    """The normalised words of a text and their offsets in it; markup gives none, and a word broken at a line's end is one."""
     words, spans = [], []
     for m in _WORD.finditer(text):
         if m.group()[0] not in "<&" and (w := _spelled(m.group())):
@@ -155,6 +160,17 @@ def aligned(item: list[str], text: list[str], least: int) -> tuple[int, int, int
     return best
 
 
+def _blocks(places: list[int]) -> list[list[int]]:
+    """Neighbouring words together."""
+    out: list[list[int]] = []
+    for k in places:
+        if out and k == out[-1][-1] + 1:
+            out[-1].append(k)
+        else:
+            out.append([k])
+    return out
+
+
 def _runs(places: list[int], n: int) -> int:
     """How many words are covered by runs of n that begin at these places."""
     covered, end = 0, -1
@@ -168,8 +184,8 @@ _FOUND = "kind int, doc_id bigint, item_id bigint, chars bigint, total bigint, f
 
 
 def _scan(rows: list[tuple[int, str]], token: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 1: a possible case. Kind 0: for an item and one of its words, how many texts have a run there (n), and how many of
-    those are possible cases (chars)."""
+    """Kind 1: a possible case. Kind 0: for an item and one of its words, how many texts have the longer run from there (n), and
+    how many of those are possible cases (chars)."""
     items = _items(rows, token)
     met, cases = Counter(), Counter()
     columns = ("kind", "doc_id", "item_id", "chars", "total", "first", "last", "places", "n")
@@ -199,8 +215,9 @@ def _scan(rows: list[tuple[int, str]], token: int, batches: Iterator[pa.RecordBa
                     if chars > best[0]:
                         best = (chars, lo + first, lo + last, at)
                 chars, first, last, at = best
-                good = chars >= SHARE * items.chars[item]
-                places = {k for _, k, _ in hits}
+                good = chars >= SHARE * items.chars[item] and chars >= DENSITY * sum(map(len, words[first : last + 1]))
+                at_once = {(p, k) for p, k, _ in hits}
+                places = {k for p, k in at_once if all((p + x, k + x) in at_once for x in range(1, LONGER + 1))}
                 met.update((item, k) for k in places)
                 if good:
                     cases.update((item, k) for k in places)
@@ -224,19 +241,25 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: s
         token = hash(tuple(rows))
         found = Cut(texts.mapInArrow(lambda batches, rows=rows, token=token: _scan(rows, token, batches), _FOUND), "leaks").df
         built = Items(rows)
-        shared = Counter(w for _, (w, where) in built.automaton.items() for _ in {i for i, _, _ in where}) if not built.empty else Counter()
-        several = [(i, k) for _, (w, where) in (built.automaton.items() if not built.empty else ()) if shared[w] > 1 and len({tuple(built.words[i]) for i, _, _ in where}) > 1 for i, k, _ in where]
+        length = {i: (SHINGLE_DENSE if built.dense[i] else SHINGLE) + LONGER for i in built.words}
+        owners: dict[tuple[str, ...], set[tuple[str, ...]]] = defaultdict(set)  # of each longer run the different items that have it
+        for i, words in built.words.items():
+            for k in range(len(words) - length[i] + 1):
+                owners[tuple(words[k : k + length[i]])].add(tuple(words))
+        several = {(i, k) for i, words in built.words.items() for k in range(len(words) - length[i] + 1) if len(owners[tuple(words[k : k + length[i]])]) > 1}
         counted = found.where("kind = 0").groupBy("item_id", F.col("first").alias("k")).agg(F.sum("n").alias("met"), F.sum("chars").alias("cases"))
         # runs of words that are stock: at most as many as the items of the block have words
-        stock = {(r[0], r[1]) for r in counted.where("met >= 3 AND cases * 2 < met").select("item_id", "k").collect()} | set(several)
+        stock = {(r[0], r[1]) for r in counted.where("met >= 3 AND cases * 2 < met").select("item_id", "k").collect()} | several
         loose: dict[int, set[int]] = defaultdict(set)
         for i, k in stock:
-            loose[i] |= set(range(k, k + min(SHINGLE_DENSE if built.dense[i] else SHINGLE, len(built.words[i]))))
+            loose[i] |= set(range(k, k + length[i]))
         weights = {i: [0 if k in loose[i] else len(w) for k, w in enumerate(words)] for i, words in built.words.items()}
+        # an item shorter than a longer run is a block as a whole
+        least = {i: min(n, len(built.words[i])) for i, n in length.items()}
 
-        def own(batches: Iterator[pa.RecordBatch], weights=weights) -> Iterator[pa.RecordBatch]:
+        def own(batches: Iterator[pa.RecordBatch], weights=weights, least=least) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                chars = [sum(weights[i][k] for k in at) for i, at in zip(batch.column(1).to_pylist(), batch.column(6).to_pylist())]
+                chars = [sum(weights[i][k] for block in _blocks(at) if len(block) >= least[i] for k in block) for i, at in zip(batch.column(1).to_pylist(), batch.column(6).to_pylist())]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(chars, pa.int64())], ["doc_id", "item_id", "chars", "total", "first", "last", "own"])
 
         kept = found.where("kind = 1").select("doc_id", "item_id", "chars", "total", "first", "last", "places").mapInArrow(own, "doc_id bigint, item_id bigint, chars bigint, total bigint, first bigint, last bigint, own bigint")
