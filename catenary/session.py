@@ -53,3 +53,29 @@ def _clean() -> None:
             _delete(spark, path)
         except Exception:  # the session is gone already
             pass
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the executors' Python, once for each Spark context, by way of the shared folder."""
+    import io
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_catenary_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("catenary", os.path.relpath(full, root)))
+    path = f"{shared_dir(spark)}/catenary-code-{uuid.uuid4().hex}/catenary.zip"
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(sc._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(path)
+    sc._catenary_shipped = True
