@@ -106,13 +106,14 @@ def prepared(episodes: DataFrame, left: str, right: str) -> DataFrame:
 
 def neighbours(entries: DataFrame, window: int = WINDOW) -> DataFrame:
     """a, b: ids of side 0 and side 1 that lie at most ``window`` places apart when ``entries`` (id, side, day, and the sort
-    columns k1, k2, k3) are sorted; only pairs whose days are at most 8 apart or not both known."""
-    entries = entries.select("k1", "k2", "k3", "id", "side", F.col("day").cast("int").alias("day"))
+    columns k1, k2, k3) are sorted; only pairs whose days are at most 8 apart or not both known, or that agree in k1."""
+    entries = entries.select("k1", "k2", "k3", "id", "side", F.col("day").cast("int").alias("day"), F.xxhash64("k1").alias("same"))
 
-    def pairs(ids: np.ndarray, side: np.ndarray, day: np.ndarray, allowed) -> list[np.ndarray]:
+    def pairs(ids: np.ndarray, side: np.ndarray, day: np.ndarray, same: np.ndarray, allowed) -> list[np.ndarray]:
         out = []
         for k in range(1, min(window, len(ids) - 1) + 1):
-            ok = (side[k:] != side[:-k]) & ((np.abs(day[k:] - day[:-k]) <= 8) | (day[k:] == _NO_DAY) | (day[:-k] == _NO_DAY)) & (ids[k:] != ids[:-k]) & allowed(k)
+            near = (np.abs(day[k:] - day[:-k]) <= 8) | (day[k:] == _NO_DAY) | (day[:-k] == _NO_DAY) | (same[k:] == same[:-k])
+            ok = (side[k:] != side[:-k]) & near & (ids[k:] != ids[:-k]) & allowed(k)
             i = np.flatnonzero(ok)
             out.append(np.stack([np.where(side[i] == 0, ids[i], ids[i + k]), np.where(side[i] == 0, ids[i + k], ids[i])]))
         return out
@@ -120,13 +121,13 @@ def neighbours(entries: DataFrame, window: int = WINDOW) -> DataFrame:
     def emit(found: list[np.ndarray]) -> pa.RecordBatch:
         both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
         n = both.shape[1]
-        return pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64()), *[pa.nulls(n, t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32())]], _NAMES)
+        return pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64()), *[pa.nulls(n, t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())]], _NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)]
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)]
         first, last, done = [], held, 0
         for batch in batches:
-            new = [batch.column(3).to_numpy(), batch.column(4).to_numpy(), pc.fill_null(batch.column(5).cast(pa.int64()), _NO_DAY).to_numpy()]
+            new = [batch.column(3).to_numpy(), batch.column(4).to_numpy(), pc.fill_null(batch.column(5).cast(pa.int64()), _NO_DAY).to_numpy(), batch.column(6).to_numpy()]
             whole = [np.concatenate(x) for x in zip(held, new)]
             old = len(held[0])
             yield emit(pairs(*whole, lambda k, n=len(whole[0]), old=old: np.arange(k, n) >= old))  # the held rows met each other before
@@ -144,7 +145,7 @@ def neighbours(entries: DataFrame, window: int = WINDOW) -> DataFrame:
             columns = [np.concatenate([h, x])[keep] for h, x in zip(head, last)]
             size = len(keep)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.nulls(size, pa.int64()), pa.array(np.full(size, number), pa.int32()), pa.array(place[keep], pa.int64()), pa.array(np.full(size, done), pa.int64()), pa.array(columns[1], pa.int32()), pa.array(np.where(columns[2] == _NO_DAY, -1, columns[2]), pa.int32(), mask=columns[2] == _NO_DAY)],
+                [pa.array(columns[0], pa.int64()), pa.nulls(size, pa.int64()), pa.array(np.full(size, number), pa.int32()), pa.array(place[keep], pa.int64()), pa.array(np.full(size, done), pa.int64()), pa.array(columns[1], pa.int32()), pa.array(np.where(columns[2] == _NO_DAY, -1, columns[2]), pa.int32(), mask=columns[2] == _NO_DAY), pa.array(columns[3], pa.int64())],
                 _NAMES,
             )
 
@@ -159,9 +160,9 @@ def neighbours(entries: DataFrame, window: int = WINDOW) -> DataFrame:
         place = place + base[np.searchsorted(known, part)]
         order = np.argsort(place, kind="stable")
         place, part = place[order], part[order]
-        yield emit(pairs(ids[order], side[order], day[order], lambda k: (part[k:] != part[:-k]) & (place[k:] - place[:-k] <= window)))
+        yield emit(pairs(ids[order], side[order], day[order], rows.column("same").to_numpy()[order], lambda k: (part[k:] != part[:-k]) & (place[k:] - place[:-k] <= window)))
 
-    schema = "a bigint, b bigint, part int, place bigint, count bigint, side int, day int"
+    schema = "a bigint, b bigint, part int, place bigint, count bigint, side int, day int, same bigint"
     found = Cut(entries.repartitionByRange("k1", "k2", "k3", "id").sortWithinPartitions("k1", "k2", "k3", "id").mapInArrow(run, schema), "neighbours").df
     # at most 2 * window rows of each range
     border = found.where("part IS NOT NULL").coalesce(1).sortWithinPartitions("part", "place").mapInArrow(across, schema)
@@ -169,7 +170,7 @@ def neighbours(entries: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 _NO_DAY = -(1 << 40)
-_NAMES = ["a", "b", "part", "place", "count", "side", "day"]
+_NAMES = ["a", "b", "part", "place", "count", "side", "day", "same"]
 
 
 def _likeness(x: Column, y: Column) -> Column:
@@ -302,38 +303,45 @@ def match_episodes(episodes: DataFrame, left: str = "org.themoviedb", right: str
 
     # which shows correspond
     spread = named.groupBy("name").agg(F.count_distinct("show").alias("shows"))
-    sure = first.where("title >= 0.8 AND abs(shift) <= 8 AND (a_part IS NULL OR b_part IS NULL OR a_part = b_part)").join(spread, "name")
-    votes = sure.groupBy("a_show", "b_show").agg(F.sum(F.when(F.col("shows") <= 4, 1.0).otherwise(0.25)).alias("votes"))
+    sure = first.where("title >= 0.8 AND shift IS NOT NULL AND (a_part IS NULL OR b_part IS NULL OR a_part = b_part)").join(spread, "name")
+    by_shift = sure.groupBy("a_show", "b_show", F.when(F.abs("shift") > 8, F.col("shift")).alias("far")).agg(F.sum(F.when(F.col("shows") <= 4, 1.0).otherwise(0.25)).alias("votes"))
+    # dates far apart count only if several titles agree in the distance
+    votes = by_shift.where("far IS NULL OR votes >= 3").groupBy("a_show", "b_show").agg(F.max("votes").alias("votes"))
     votes = votes.join(votes.groupBy("a_show").agg(F.max("votes").alias("a_best")), "a_show").join(votes.groupBy("b_show").agg(F.max("votes").alias("b_best")), "b_show")
     links = votes.where("votes = a_best AND votes = b_best AND votes >= 1").groupBy("a_show").agg(F.max("b_show").alias("b_show")).groupBy("b_show").agg(F.max("a_show").alias("a_show"))
     links = Cut(links.withColumn("link", F.monotonically_increasing_id()), "shows").df
     known = first.where("title >= 0.8 AND (a_part IS NULL OR b_part IS NULL OR a_part = b_part)").join(links, ["a_show", "b_show"])
     dates = known.where("shift IS NOT NULL").groupBy("link", "a_season", "shift").agg(F.count("*").alias("n"))
-    total = dates.groupBy("link", "a_season").agg(F.sum("n").alias("total"))
-    dates = Cut(dates.join(total, ["link", "a_season"]).select("link", "a_season", "shift", (F.col("n") / F.col("total")).alias("date_share")), "dates").df
-    numbers = known.where("a_episode IS NOT NULL AND b_episode IS NOT NULL AND abs(shift) <= 8").groupBy("link", "a_season", "b_season", (F.col("b_episode") - F.col("a_episode")).alias("step")).agg(F.count("*").alias("n"))
+    in_season, in_show = dates.groupBy("link", "a_season").agg(F.sum("n").alias("season_n")), dates.groupBy("link").agg(F.sum("n").alias("show_n"))
+    of_show = dates.groupBy("link", "shift").agg(F.sum("n").alias("of_show"))
+    # a distance that is seen once or twice proves nothing but itself
+    dates = Cut(dates.join(in_season, ["link", "a_season"]).where("abs(shift) <= 1 OR n >= 3").select("link", "a_season", "shift", (F.col("n") / F.col("season_n")).alias("season_share")), "dates").df
+    show_dates = Cut(of_show.join(in_show, "link").where("abs(shift) <= 1 OR of_show >= 3").select("link", "shift", (F.col("of_show") / F.col("show_n")).alias("show_share")), "dates").df
+    usual = known.join(show_dates, ["link", "shift"], "left").where("abs(shift) <= 8 OR show_share >= 0.2")
+    numbers = usual.where("a_episode IS NOT NULL AND b_episode IS NOT NULL").groupBy("link", "a_season", "b_season", (F.col("b_episode") - F.col("a_episode")).alias("step")).agg(F.count("*").alias("n"))
     sums = numbers.groupBy("link", "a_season").agg(F.sum("n").alias("total"))
     numbers = Cut(numbers.join(sums, ["link", "a_season"]).select("link", "a_season", "b_season", "step", (F.col("n") / F.col("total")).alias("number_share")), "numbers").df
 
     # rows of corresponding shows, side 0 moved to where side 1 has them
-    shift = dates.groupBy("link", "a_season").agg(F.max_by("shift", F.struct("date_share", -F.abs("shift"))).alias("move"))
+    best = lambda d, keys, share, name: d.groupBy(*keys).agg(F.max_by("shift", F.struct(share, -F.abs("shift"))).alias(name))
+    shift, show_shift = best(dates, ("link", "a_season"), "season_share", "season_move"), best(show_dates, ("link",), "show_share", "show_move")
     step = numbers.groupBy("link", "a_season").agg(F.max_by(F.struct("b_season", "step"), F.struct("number_share", "b_season", "step")).alias("to"))
-    one = rows.where("side = 0").join(links.select(F.col("a_show").alias("show"), "link"), "show").withColumn("a_season", F.col("season")).join(shift, ["link", "a_season"], "left").join(step, ["link", "a_season"], "left")
-    one = one.select("link", "id", "side", "names", F.col("day"), (F.col("day") + F.coalesce("move", F.lit(0))).alias("at"), F.coalesce("to.b_season", "season").alias("s"), (F.col("episode") + F.coalesce("to.step", F.lit(0))).alias("e"))
-    two = rows.where("side = 1").join(links.select(F.col("b_show").alias("show"), "link"), "show").select("link", "id", "side", "names", "day", F.col("day").alias("at"), F.col("season").alias("s"), F.col("episode").alias("e"))
+    one = rows.where("side = 0").join(links.select(F.col("a_show").alias("show"), "link"), "show").withColumn("a_season", F.col("season")).join(shift, ["link", "a_season"], "left").join(show_shift, "link", "left").join(step, ["link", "a_season"], "left")
+    one = one.select("link", "id", "side", "names", (F.col("day") + F.coalesce("season_move", "show_move", F.lit(0))).alias("at"), F.coalesce("to.b_season", "season").alias("s"), (F.col("episode") + F.coalesce("to.step", F.lit(0))).alias("e"))
+    two = rows.where("side = 1").join(links.select(F.col("b_show").alias("show"), "link"), "show").select("link", "id", "side", "names", F.col("day").alias("at"), F.col("season").alias("s"), F.col("episode").alias("e"))
     placed = Cut(one.unionByName(two), "placed").df
     pad = lambda c: F.format_string("%012d", F.coalesce(c, F.lit(0)).cast("bigint") + 500_000_000)
     link = F.concat(F.hex(F.col("link")), F.lit("|"))
     by_place = [
-        placed.where("at IS NOT NULL").select(F.concat(link, pad(F.col("at"))).alias("k1"), pad(F.col("s")).alias("k2"), pad(F.col("e")).alias("k3"), "id", "side", "day"),
-        placed.where("e IS NOT NULL").select(F.concat(link, pad(F.col("s"))).alias("k1"), pad(F.col("e")).alias("k2"), F.lit("").alias("k3"), "id", "side", "day"),
-        placed.select("link", "id", "side", "day", "at", F.explode("names").alias("name")).select(F.concat(link, F.col("name")).alias("k1"), pad(F.col("at")).alias("k2"), F.lit("").alias("k3"), "id", "side", "day"),
+        placed.where("at IS NOT NULL").select(F.concat(link, pad(F.col("at"))).alias("k1"), pad(F.col("s")).alias("k2"), pad(F.col("e")).alias("k3"), "id", "side", F.col("at").alias("day")),
+        placed.where("e IS NOT NULL").select(F.concat(link, pad(F.col("s"))).alias("k1"), pad(F.col("e")).alias("k2"), F.lit("").alias("k3"), "id", "side", F.col("at").alias("day")),
+        placed.select("link", "id", "side", "at", F.explode("names").alias("name")).select(F.concat(link, F.col("name")).alias("k1"), pad(F.col("at")).alias("k2"), F.lit("").alias("k3"), "id", "side", F.col("at").alias("day")),
     ]
     more = first.select("a", "b")
     for entries in by_place:
         more = more.unionByName(neighbours(entries, window))
     pairs = _compared(more.distinct(), rows).join(links, ["a_show", "b_show"], "left").withColumn("step", F.col("b_episode") - F.col("a_episode"))
-    pairs = pairs.join(dates, ["link", "a_season", "shift"], "left").join(numbers, ["link", "a_season", "b_season", "step"], "left").join(spread, "name", "left")
+    pairs = pairs.join(dates, ["link", "a_season", "shift"], "left").join(show_dates, ["link", "shift"], "left").join(show_shift, "link", "left").withColumn("date_share", F.greatest("season_share", "show_share")).join(numbers, ["link", "a_season", "b_season", "step"], "left").join(spread, "name", "left")
     return _assigned(pairs.select("a", "b", confidence().alias("confidence")).where(F.col("confidence") >= least))
 
 
@@ -344,8 +352,8 @@ def confidence() -> Column:
         F.when(F.col("shift").isNull(), F.when(F.abs(F.col("a_year") - F.col("b_year")) > 1, 0.0).otherwise(0.5))
         .when(F.col("link").isNotNull() & (F.col("date_share") >= 0.2), 1.0)
         .when(F.col("link").isNull() & (F.col("shift") == 0), 1.0)
-        .when(F.abs("shift") <= 1, 0.7)
-        .when(F.abs("shift") <= 8, 0.4)
+        .when(F.least(F.abs("shift"), F.abs(F.col("shift") - F.col("show_move"))) <= 1, 0.7)
+        .when(F.least(F.abs("shift"), F.abs(F.col("shift") - F.col("show_move"))) <= 8, 0.4)
         .otherwise(0.0)
     )
     number = F.when(F.col("step").isNull(), 0.5).when(F.col("number_share") >= 0.2, 1.0).when(F.col("number_share").isNotNull(), 0.5).when(F.col("link").isNull() & (F.col("step") == 0) & (F.col("a_season") == F.col("b_season")), 0.8).otherwise(0.0)
@@ -356,10 +364,11 @@ def confidence() -> Column:
         F.when((title >= 0.72) & (date > 0), 0.55 + 0.25 * (title - 0.72) / 0.28 + 0.1 * date + 0.1 * number)
         .when((title >= 0.72) & (number >= 0.5), 0.3 + 0.3 * number)
         .when((title >= 0.45) & (date == 1), 0.3 + 0.3 * title + 0.2 * number)
+        .when((title >= 0.55) & F.col("shift").isNull() & (date > 0) & (number == 1), 0.3 + 0.4 * title)
         .otherwise(0.0)
     )
     special = (F.col("a_season") == 0) != (F.col("b_season") == 0)  # one catalog counts it as a special, so the numbers say nothing
-    without = F.when((date == 1) & (number > 0), 0.4 + 0.25 * number).when((date >= 0.5) & (number == 1), 0.45 + 0.1 * date).when((date == 1) & special, 0.51).otherwise(0.0)
+    without = F.when((date == 1) & (number > 0), 0.4 + 0.25 * number).when((date >= 0.5) & (number == 1), 0.45 + 0.1 * date).when((date == 1) & special, 0.51).when(date == 1, 0.5).otherwise(0.0)
     lone = F.when((title >= 0.85) & (date >= 0.7) & (F.col("shows") <= 4), 0.5 + 0.2 * date + 0.1 * number).otherwise(0.0)
     score = F.when(parts, 0.0).when(linked & title.isNotNull(), with_title).when(linked, without).otherwise(F.coalesce(lone, F.lit(0.0)))
     return F.when(F.coalesce(F.col("linked"), F.lit(False)) & ~parts & (F.coalesce(title, F.lit(0.5)) >= 0.4), F.greatest(score, F.lit(0.9))).otherwise(score)
