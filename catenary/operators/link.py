@@ -28,8 +28,8 @@ def hot_scopes(blocks: DataFrame, most: int = HOT) -> DataFrame:
 def block_pairs(blocks: DataFrame, facts: DataFrame, most: int = HOT) -> DataFrame:
     """Pairs of records of two sources in a common scope and of equal kind (a unit goes with any).
 
-    Scopes of titles with more than ``most`` records are left out, as the reference does, before anything is paired; the window
-    that counts them is never larger than its scope's key and needs no gathered group: it reads counts joined by key.
+    Scopes of titles with more than ``most`` records say too little: they are counted by key and left out before anything is
+    paired, and ``hot_scopes`` reports them.
     """
     side = facts.select("uri", "source", "key", "revision", "kind")
     rows = blocks.join(hot_scopes(blocks, most).select("scope"), "scope", "left_anti").join(side, "uri")

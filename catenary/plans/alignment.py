@@ -326,6 +326,10 @@ w AS (SELECT p_partkey AS node, p_partkey AS other FROM part UNION SELECT w.node
     "pub_delta": "WITH a AS (SELECT o_custkey, CAST(max(o_orderkey) AS varchar) AS x FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), b AS (SELECT o_custkey, CAST(max(o_orderkey) AS varchar) AS x FROM orders WHERE o_orderkey % 2 = 1 GROUP BY 1) SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, CASE WHEN a.x IS NULL THEN 'added' WHEN b.x IS NULL THEN 'deleted' ELSE 'changed' END AS change, b.x AS content FROM a FULL JOIN b USING (o_custkey) WHERE a.x IS DISTINCT FROM b.x",
     "pub_shard": "SELECT substr(sha256('catenary-claim:v1' || chr(0) || 'customer://c/' || o_custkey || ' <=> orders://o/' || o_orderkey), 1, 2) AS shard, count(*) AS files FROM orders GROUP BY 1",
     "pub_artifacts": "WITH c AS (SELECT 'customer://c/' || o_custkey || ' <=> orders://o/' || o_orderkey AS t, sha256('catenary-claim:v1' || chr(0) || 'customer://c/' || o_custkey || ' <=> orders://o/' || o_orderkey) AS h FROM orders) SELECT 'claims/' || substr(h, 1, 2) || '/' || h || '.trk' AS path, '# checked' || chr(10) || '#@decision accepted' || chr(10) || t || chr(10) AS content FROM c",
+    "pub_validate": "SELECT strlen('# checked' || chr(10) || '#@decision accepted' || chr(10) || 'customer://c/' || o_custkey || ' <=> orders://o/' || o_orderkey || chr(10)) % 5 <> 0 AS ok, count(*) AS files FROM orders GROUP BY 1",
+    "src_show_members": r"""WITH v AS (SELECT payload, unnest(CASE WHEN json_type(payload, '$.seasons') = 'ARRAY' THEN (payload->'$.seasons')::json[] ELSE [payload->'$.seasons'] END) AS s FROM record_versions
+  WHERE source = 'org.themoviedb' AND deleted = false AND starts_with(payload, '{"id":') AND starts_with(lower(regexp_replace(key, '^\s+|\s+$', '', 'g')), 'tv:'))
+SELECT DISTINCT 'tv:' || (payload->>'$.id') AS parent, 'season:' || (s->>'$.id') AS key FROM v WHERE s->>'$.id' IS NOT NULL""",
     "pub_endpoints": "SELECT 'customer' AS a_source, 'orders' AS b_source, count(*) AS claims, count(DISTINCT o_custkey) AS lefts FROM orders",
     "src_update_changes": r"""WITH v AS (SELECT split_part(k, ':', 1) AS kind, CAST(split_part(k, ':', 2) AS bigint) AS n, coalesce(deleted, false) AS del FROM (SELECT lower(regexp_replace(key, '^\s+|\s+$', '', 'g')) AS k, deleted FROM record_versions WHERE source = 'com.thetvdb')),
 c AS (SELECT kind || ':' || n AS key, CASE WHEN del THEN 'deleted' ELSE 'dirty' END AS action FROM v UNION ALL SELECT 'series:' || (n % 100), 'dirty' FROM v WHERE kind = 'episode') SELECT key, max(action) AS action FROM c GROUP BY key""",

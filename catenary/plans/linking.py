@@ -202,6 +202,10 @@ SQL = {
     "link_pairs": "WITH p AS (SELECT *, CASE WHEN p_partkey % 2 = 0 THEN 'even' ELSE 'odd' END || '://part/' || p_partkey AS uri FROM part), h AS (SELECT p_name, p_type, p_size FROM part GROUP BY ALL HAVING count(*) <= 256) SELECT a.uri AS a_uri, b.uri AS b_uri FROM p a JOIN p b USING (p_name, p_type, p_size) JOIN h USING (p_name, p_type, p_size) WHERE b.uri > a.uri AND a.p_partkey % 2 <> b.p_partkey % 2",
     "link_supports": f"WITH {_SUPPORTS} SELECT method, count(*) AS supports, count(DISTINCT claim_id) AS claims FROM claims GROUP BY method",
     "link_candidates": f"WITH {_SUPPORTS} SELECT claim_id, statement, count(*) AS supports, count(*) FILTER (method = 'explicit-identifier') AS explicit, count(*) FILTER (method = 'shared-identifier') AS shared, count(*) FILTER (method = 'title-year') AS titled FROM claims GROUP BY ALL",
+    "link_current": f"""WITH {_SUPPORTS}, live AS (SELECT source, key, max(revision) AS revision FROM record_versions_tidy GROUP BY ALL HAVING max(revision) % 7 <> 0),
+sup AS (SELECT 'explicit-identifier' AS method, uri AS u, NULL AS w, field || target AS x FROM ids WHERE uri <> target UNION SELECT CASE WHEN scope LIKE 'id:%' THEN 'shared-identifier' ELSE 'title-year' END, u, w, scope FROM pairs),
+ok AS (SELECT uri FROM f JOIN live USING (source, key, revision))
+SELECT method, count(*) AS supports FROM sup WHERE u IN (SELECT uri FROM ok) AND (w IS NULL OR w IN (SELECT uri FROM ok)) GROUP BY method""".replace("record_versions_tidy", "(SELECT source, lower(trim(key)) AS key, revision FROM record_versions)"),
     "link_with_input": f"WITH {_SUPPORTS} SELECT 'v1:' || sha256('catenary-claim:v1' || chr(0) || least(uri, target) || ' <=> ' || greatest(uri, target)) AS claim_id, count(*) AS supports FROM ids WHERE field = '/idMal' GROUP BY ALL",
     "link_identifiers": "SELECT least('orders://o/' || o_orderkey, 'customer://c/' || o_custkey) || ' <=> ' || greatest('orders://o/' || o_orderkey, 'customer://c/' || o_custkey) AS statement FROM orders",
     "link_division": "SELECT DISTINCT l_orderkey FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM lineitem m WHERE m.l_orderkey = l.l_orderkey AND m.l_partkey = l.l_partkey AND m.l_discount > 0.05)",

@@ -72,7 +72,7 @@ def test_content():
 
 def test_plans():
     assert [x for r in plans.id_ranges(3, 160, 50, 2) for x in r] == [(4, 53), (54, 103), (104, 153), (154, 160)]
-    assert list(plans.airing_windows(0, 10, lambda a, b: (b - a) * 30)) == [(0, 2), (2, 5), (5, 7), (7, 10)] or sum(b - a for a, b in plans.airing_windows(0, 10, lambda a, b: (b - a) * 30)) == 10
+    assert list(plans.airing_windows(0, 10, lambda a, b: (b - a) * 30)) == [(0, 2), (2, 5), (5, 7), (7, 10)]
     with pytest.raises(ValueError):
         list(plans.airing_windows(0, 4, lambda a, b: 1000))
     windows = plans.change_windows(86400 * 100, 86400 * 130)

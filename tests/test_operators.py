@@ -188,7 +188,7 @@ def test_review(spark):
     claims = spark.createDataFrame([("a://1 <=> b://1",), ("a://1 <=> b://2",), ("a://3 <=> c://1",)], "statement string")
     foot = review.footprint(review.endpoints(claims), review.policy_table(spark, [("a", "b")]))
     assert rows(review.policy_conflicts(foot)) == [("a://1", "b", 2)] and foot.count() == 4
-    files = review.artifacts(claims.select(review.endpoints(claims)["claim_id"] if False else F.lit("v1:" + "0" * 64).alias("claim_id"), F.concat("statement", F.lit("\n")).alias("record"), F.lit("accepted").alias("action"), F.lit(None).cast("map<string,string>").alias("bindings")))
+    files = review.artifacts(claims.select(F.lit("v1:" + "0" * 64).alias("claim_id"), F.concat("statement", F.lit("\n")).alias("record"), F.lit("accepted").alias("action"), F.lit(None).cast("map<string,string>").alias("bindings")))
     checked = files.select(review.checked_artifact("path", "content").alias("c")).select("c.error").distinct().collect()
     assert [r.error for r in checked] == ["wrong path"]
     old, new = (spark.createDataFrame(x, "path string, content string") for x in ([("a", "1"), ("b", "1"), ("c", "1")], [("a", "1"), ("b", "2"), ("d", "1")]))
