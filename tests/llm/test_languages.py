@@ -59,4 +59,4 @@ def test_unknown_words_fall_back():
     m = Model(("a", "b"), [("a", ["straße weiß"] * 3), ("b", ["ciudad niño"] * 3)], known_in=1)
     assert m.score("weiße")[0] > m.score("weiße")[1] and m.score("niños")[1] > m.score("niños")[0]
     assert m.score("ж") == (0.0, 0.0)
-    assert sentences("A title\n\nOne. Two!  <p>Three…</p>\r\nx://y <=> z://q\r\n") == ["One.", "Two!", " Three… \n"] or len(sentences("One. Two! Three…")) == 3
+    assert [x.strip() for x in sentences("A title\n\nOne. Two!  <p>Three…</p>\r\nx://y <=> z://q\r\n")] == ["One.", "Two!", "Three…"]
