@@ -249,8 +249,8 @@ def src_update_changes(s, d):
 
 
 def src_show_members(s, d):
-    shows = table(s, d, "record_versions").where("source = 'org.themoviedb' AND deleted = false AND payload LIKE '{\"id\":%'").where(clean("key").startswith("tv:"))
-    return C.show_members(shows).where("key LIKE 'season:%'").select("parent", "key").distinct()
+    shows = table(s, d, "record_versions").where("source = 'org.themoviedb' AND deleted = false").where(clean("key").startswith("tv:"))
+    return C.show_members(shows).select("parent", "key").distinct()
 
 
 def src_asked_and_found(s, d):

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from ..functions.content import record_kind
+from ..operators.facts import body
 from ..operators.records import first_if_equal
 
 
@@ -42,16 +43,18 @@ def new_or_airing(ids: DataFrame, airing: DataFrame, checkpoint: int) -> DataFra
 
 
 def show_members(shows: DataFrame, payload: str = "payload") -> DataFrame:
-    """parent, key, metadata of the seasons, episodes and groups that show payloads list: their descriptors name parent and address."""
-    show = F.get_json_object(payload, "$.id")
-    seasons = F.from_json(F.get_json_object(payload, "$.seasons"), "array<struct<id:bigint,season_number:int,episodes:array<struct<id:bigint,episode_number:int>>>>")
-    groups = F.from_json(F.get_json_object(payload, "$.episode_groups.results"), "array<struct<id:string>>")
-    rows = shows.select(F.concat(F.lit("tv:"), show).alias("parent"), show.alias("show"), seasons.alias("seasons"), groups.alias("groups"))
+    """parent, key, metadata of the seasons, episodes and groups that show payloads list: their descriptors name parent and address.
+    Payloads may be encoded once more or wrapped, ids be numbers or text, and a list of one be a bare object."""
+    plain = shows.select(body(F.col(payload)).alias("body"))
+    show = F.get_json_object("body", "$.id")
+    seasons = F.from_json(F.get_json_object("body", "$.seasons"), "array<struct<id:string,season_number:string,episodes:string>>")
+    groups = F.from_json(F.get_json_object("body", "$.episode_groups.results"), "array<struct<id:string>>")
+    rows = plain.select(F.concat(F.lit("tv:"), show).alias("parent"), show.alias("show"), seasons.alias("seasons"), groups.alias("groups"))
     season = rows.select("parent", "show", F.explode("seasons").alias("s")).where("s.id IS NOT NULL")
-    address = F.concat_ws("/", F.lit("tv"), "show", F.lit("season"), F.col("s.season_number").cast("string"))
-    of_season = season.select("parent", F.concat(F.lit("season:"), F.col("s.id").cast("string")).alias("key"), F.to_json(F.struct(address.alias("address"), "parent")).alias("metadata"))
-    episode = season.select("parent", "show", "s", F.explode("s.episodes").alias("e")).where("e.id IS NOT NULL")
-    of_episode = episode.select("parent", F.concat(F.lit("episode:"), F.col("e.id").cast("string")).alias("key"), F.to_json(F.struct(F.concat_ws("/", address, F.lit("episode"), F.col("e.episode_number").cast("string")).alias("address"), "parent", F.col("s.id").cast("string").alias("season_id"))).alias("metadata"))
+    address = F.concat_ws("/", F.lit("tv"), "show", F.lit("season"), F.col("s.season_number"))
+    of_season = season.select("parent", F.concat(F.lit("season:"), F.col("s.id")).alias("key"), F.to_json(F.struct(address.alias("address"), "parent")).alias("metadata"))
+    episode = season.select("parent", "show", "s", F.explode(F.from_json("s.episodes", "array<struct<id:string,episode_number:string>>")).alias("e")).where("e.id IS NOT NULL")
+    of_episode = episode.select("parent", F.concat(F.lit("episode:"), F.col("e.id")).alias("key"), F.to_json(F.struct(F.concat_ws("/", address, F.lit("episode"), F.col("e.episode_number")).alias("address"), "parent", F.col("s.id").alias("season_id"))).alias("metadata"))
     group = rows.select("parent", F.explode("groups").alias("g")).where("g.id IS NOT NULL")
     of_group = group.select("parent", F.concat(F.lit("episode_group:"), "g.id").alias("key"), F.to_json(F.struct("parent")).alias("metadata"))
     return of_season.unionByName(of_episode).unionByName(of_group)
