@@ -3,7 +3,8 @@
 Method: sorted neighbourhood. Rows of both catalogs are sorted together by several composite keys, and in each order a row is
 compared with its ``WINDOW`` neighbours. The first orders go by title and date (as spelled, read backwards, without vowels), so
 that a slip anywhere in a title leaves one of them near. What agrees there tells which shows correspond, by how many days their
-dates differ and how their numbering runs; then rows of corresponding shows are sorted by show and date, show and number, and
+dates differ and how their numbering runs (a title counts the less, the more other rows with it are to be expected on that date by
+chance, so that the rule is the same at any size); then rows of corresponding shows are sorted by show and date, show and number, and
 show and title, which finds episodes without a usable title. Each pair has a confidence from weighted similarities of title,
 date, season and episode, and of the pairs those are kept that give every episode at most one partner at the greatest sum of
 confidences.
@@ -21,7 +22,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ from .groups import contract
 WINDOW = 10
 #: The least confidence of a pair.
 LEAST = 0.5
+#: Rows with the same title that may be expected near a date by chance, for a title there to count in full.
+CHANCE = 0.02
 
 _ARTICLES = {"a", "an", "the"}
 _NUMBERED = re.compile(r"^(?:episode|ep\.?|folge|#|tba)\s*(\d+)\s*(?:[:.\-–]\s*|$)", re.I)
@@ -203,6 +206,19 @@ def _compared(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
+def _rivals(rows: DataFrame, named: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """What adds the column rivals to compared pairs: how many other rows of one catalog with the pair's title (and season and
+    episode, if these agree) are to be expected by chance in the days that its dates are apart. Null without title or dates."""
+    days = rows.where("day IS NOT NULL").groupBy("side", "day").agg(F.count("*").alias("n")).groupBy("side").agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("n") - 1)).alias("pairs"))
+    same_day = days.where("n > 1").agg(F.max(F.col("pairs") / (F.col("n") * (F.col("n") - 1)))).first()[0] or 0.0  # the chance that two rows have one date
+    numbered = named.where("day IS NOT NULL").groupBy("name", "side", "season", "episode").agg(F.count("*").alias("n"))
+    of_name = numbered.groupBy("name", "side").agg(F.sum("n").alias("n")).groupBy("name").agg(F.max("n").alias("of_name"))
+    of_number = numbered.where("season IS NOT NULL AND episode IS NOT NULL").groupBy("name", F.col("season").alias("a_season"), F.col("episode").alias("a_episode")).agg(F.max("n").alias("of_number"))
+    near = F.least(F.lit(1.0), (2 * F.least(F.abs("shift"), F.lit(8)) + 1) * F.lit(float(same_day)))
+    others = F.when((F.col("a_season") == F.col("b_season")) & (F.col("a_episode") == F.col("b_episode")), F.coalesce("of_number", "of_name")).otherwise(F.col("of_name")) - 1
+    return lambda pairs: pairs.join(of_name, "name", "left").join(of_number, ["name", "a_season", "a_episode"], "left").withColumn("rivals", others * near).drop("of_name", "of_number")
+
+
 def _assigned(scored: DataFrame) -> DataFrame:
     """Of pairs a, b, confidence those that give each id at most one partner at the greatest sum."""
     scored = Cut(scored, "scored").df
@@ -302,9 +318,10 @@ def match_episodes(episodes: DataFrame, left: str = "org.themoviedb", right: str
     first = Cut(_compared(found.unionByName(explicit).distinct(), rows).where("title >= 0.5 OR linked"), "first").df
 
     # which shows correspond
-    spread = named.groupBy("name").agg(F.count_distinct("show").alias("shows"))
-    sure = first.where("title >= 0.8 AND shift IS NOT NULL AND (a_part IS NULL OR b_part IS NULL OR a_part = b_part)").join(spread, "name")
-    by_shift = sure.groupBy("a_show", "b_show", F.when(F.abs("shift") > 8, F.col("shift")).alias("far")).agg(F.sum(F.when(F.col("shows") <= 4, 1.0).otherwise(0.25)).alias("votes"))
+    rivals = _rivals(rows, named)
+    sure = rivals(first.where("title >= 0.8 AND shift IS NOT NULL AND (a_part IS NULL OR b_part IS NULL OR a_part = b_part)"))
+    vote = F.when(F.col("rivals") <= CHANCE, 1.0).when(F.col("rivals") < 1, F.log("rivals") / float(np.log(CHANCE))).otherwise(0.0)
+    by_shift = sure.groupBy("a_show", "b_show", F.when(F.abs("shift") > 8, F.col("shift")).alias("far")).agg(F.sum(vote).alias("votes"))
     # dates far apart count only if several titles agree in the distance
     votes = by_shift.where("far IS NULL OR votes >= 3").groupBy("a_show", "b_show").agg(F.max("votes").alias("votes"))
     votes = votes.join(votes.groupBy("a_show").agg(F.max("votes").alias("a_best")), "a_show").join(votes.groupBy("b_show").agg(F.max("votes").alias("b_best")), "b_show")
@@ -341,8 +358,8 @@ def match_episodes(episodes: DataFrame, left: str = "org.themoviedb", right: str
     for entries in by_place:
         more = more.unionByName(neighbours(entries, window))
     pairs = _compared(more.distinct(), rows).join(links, ["a_show", "b_show"], "left").withColumn("step", F.col("b_episode") - F.col("a_episode"))
-    pairs = pairs.join(dates, ["link", "a_season", "shift"], "left").join(show_dates, ["link", "shift"], "left").join(show_shift, "link", "left").withColumn("date_share", F.greatest("season_share", "show_share")).join(numbers, ["link", "a_season", "b_season", "step"], "left").join(spread, "name", "left")
-    return _assigned(pairs.select("a", "b", confidence().alias("confidence")).where(F.col("confidence") >= least))
+    pairs = pairs.join(dates, ["link", "a_season", "shift"], "left").join(show_dates, ["link", "shift"], "left").join(show_shift, "link", "left").withColumn("date_share", F.greatest("season_share", "show_share")).join(numbers, ["link", "a_season", "b_season", "step"], "left")
+    return _assigned(rivals(pairs).select("a", "b", confidence().alias("confidence")).where(F.col("confidence") >= least))
 
 
 def confidence() -> Column:
@@ -369,6 +386,6 @@ def confidence() -> Column:
     )
     special = (F.col("a_season") == 0) != (F.col("b_season") == 0)  # one catalog counts it as a special, so the numbers say nothing
     without = F.when((date == 1) & (number > 0), 0.4 + 0.25 * number).when((date >= 0.5) & (number == 1), 0.45 + 0.1 * date).when((date == 1) & special, 0.51).when(date == 1, 0.5).otherwise(0.0)
-    lone = F.when((title >= 0.85) & (date >= 0.7) & (F.col("shows") <= 4), 0.5 + 0.2 * date + 0.1 * number).otherwise(0.0)
+    lone = F.when((title >= 0.85) & (date >= 0.7) & (F.col("rivals") <= CHANCE), 0.5 + 0.2 * date + 0.1 * number).otherwise(0.0)
     score = F.when(parts, 0.0).when(linked & title.isNotNull(), with_title).when(linked, without).otherwise(F.coalesce(lone, F.lit(0.0)))
     return F.when(F.coalesce(F.col("linked"), F.lit(False)) & ~parts & (F.coalesce(title, F.lit(0.5)) >= 0.4), F.greatest(score, F.lit(0.9))).otherwise(score)
