@@ -7,8 +7,9 @@ item's runs are met in the item's order, the stretch of the text around them is
 short insertions between them, then the characters left between blocks, so that altered and split words count as far as they
 agree. The share of the item's characters that stand in the stretch is the evidence.
 
-Stock phrases stand in many texts that hold nothing else of the item. They are found by counting, over all documents: a longer
-run (of ``SHINGLE + LONGER`` words) that several items share, or that is met mostly in texts where its item is not, is stock. A
+Stock phrases stand in many texts that hold nothing else of the item. They are found by counting, over all documents and items: a
+longer run (of ``SHINGLE + LONGER`` words) that is met mostly in texts that are no case of any item that has it is stock. That
+several items share a run says nothing, since items may be near copies or ask about one passage. A
 match must have equal blocks of that length with something besides stock in them. Runs of that length are hardly met by chance
 in a corpus of any size, and both counts grow with the corpus, so the rule does not depend on the number of documents.
 
@@ -27,6 +28,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from hashlib import blake2b
 from itertools import pairwise
 
 import numpy as np
@@ -75,13 +77,18 @@ def words_of(text: str) -> tuple[list[str], list[tuple[int, int]]]:
     return words, spans
 
 
+def _digest(run: list[str]) -> int:
+    """The same number for the same run in every process."""
+    return int.from_bytes(blake2b(" ".join(run).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
 class Items:
     """The automaton of a block of items, with what alignment needs of each."""
 
     def __init__(self, rows: list[tuple[int, str]]):
         import ahocorasick
 
-        self.words, self.chars, self.dense = {}, {}, {}
+        self.words, self.chars, self.dense, self.runs = {}, {}, {}, {}
         places: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for item, text in rows:
             words = words_of(text or "")[0]
@@ -93,6 +100,7 @@ class Items:
             n = min(SHINGLE_DENSE if dense else SHINGLE, len(words))
             for k in range(len(words) - n + 1):
                 places[f" {' '.join(words[k : k + n])} "].append((item, k, n))
+            self.runs[item] = [_digest(words[k : k + n + LONGER]) for k in range(len(words) - n - LONGER + 1)]
         self.automaton = ahocorasick.Automaton()
         for run, where in places.items():
             self.automaton.add_word(run, (run, where))
@@ -180,16 +188,16 @@ def _runs(places: list[int], n: int) -> int:
     return covered
 
 
-_FOUND = "kind int, doc_id bigint, item_id bigint, chars bigint, total bigint, first bigint, last bigint, places array<int>, n bigint"
+_FOUND = "kind int, doc_id bigint, item_id bigint, chars bigint, total bigint, first bigint, last bigint, places array<int>, n bigint, runs array<bigint>"
 
 
 def _scan(rows: list[tuple[int, str]], token: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 1: a possible case. Kind 0: for an item and one of its words, how many texts have the longer run from there (n), and
-    how many of those are possible cases (chars)."""
+    """Kind 1: a possible case. Kind 2: a text with possible cases, and the longer runs in it of their items. Kind 0: how many texts
+    (n) have a longer run (first)."""
     items = _items(rows, token)
-    met, cases = Counter(), Counter()
-    columns = ("kind", "doc_id", "item_id", "chars", "total", "first", "last", "places", "n")
-    kinds = (pa.int32(), *[pa.int64()] * 6, pa.list_(pa.int32()), pa.int64())
+    met = Counter()
+    columns = ("kind", "doc_id", "item_id", "chars", "total", "first", "last", "places", "n", "runs")
+    kinds = (pa.int32(), *[pa.int64()] * 6, pa.list_(pa.int32()), pa.int64(), pa.list_(pa.int64()))
 
     def made(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], list(columns))
@@ -202,6 +210,7 @@ def _scan(rows: list[tuple[int, str]], token: int, batches: Iterator[pa.RecordBa
             words, spans = words_of(text)
             if not words:
                 continue
+            seen, cased = set(), set()
             for item, hits in items.hits(words).items():
                 own, dense = items.words[item], items.dense[item]
                 n = hits[0][2]
@@ -217,15 +226,18 @@ def _scan(rows: list[tuple[int, str]], token: int, batches: Iterator[pa.RecordBa
                 chars, first, last, at = best
                 good = chars >= SHARE * items.chars[item] and chars >= DENSITY * sum(map(len, words[first : last + 1]))
                 at_once = {(p, k) for p, k, _ in hits}
-                places = {k for p, k in at_once if all((p + x, k + x) in at_once for x in range(1, LONGER + 1))}
-                met.update((item, k) for k in places)
+                runs = {items.runs[item][k] for p, k in at_once if all((p + x, k + x) in at_once for x in range(1, LONGER + 1))}
+                seen |= runs
                 if good:
-                    cases.update((item, k) for k in places)
-                    out.append((1, doc, item, chars, items.chars[item], spans[first][0], spans[last][1], at, n))
+                    cased |= runs
+                    out.append((1, doc, item, chars, items.chars[item], spans[first][0], spans[last][1], at, n, None))
+            met.update(seen)
+            if cased:
+                out.append((2, doc, None, 0, 0, 0, 0, None, 0, sorted(cased)))
         if out:
             yield made(out)
     if met:
-        yield made([(0, None, item, cases[item, k], 0, k, 0, None, c) for (item, k), c in met.items()])
+        yield made([(0, None, None, 0, 0, run, 0, None, c, None) for run, c in met.items()])
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", item_block: int = ITEM_BLOCK) -> DataFrame:
@@ -235,24 +247,32 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: s
     size = asked.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = -(-size // item_block) or 1
     texts = docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL AND text <> ''")
-    cases = None
+    scanned = []
     for b in range(blocks):  # each gathers about item_block characters
         rows = [(r[0], r[1]) for r in asked.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).collect()]
         token = hash(tuple(rows))
         found = Cut(texts.mapInArrow(lambda batches, rows=rows, token=token: _scan(rows, token, batches), _FOUND), "leaks").df
+        scanned.append((rows, found))
+    # texts that have a run, and those of them that are a possible case of an item with it, of whatever block
+    counts = None
+    for _, found in scanned:
+        met = found.where("kind = 0").groupBy(F.col("first").alias("run")).agg(F.sum("n").alias("met"))
+        cased = found.where("kind = 2").select("doc_id", F.explode("runs").alias("run")).groupBy("doc_id", "run").agg(F.count("*").alias("texts"))
+        more = met.select("run", "met", F.lit(None).cast("bigint").alias("doc_id"), F.lit(0).cast("bigint").alias("texts")).unionByName(cased.select("run", F.lit(0).cast("bigint").alias("met"), "doc_id", "texts"))
+        counts = more if counts is None else counts.unionByName(more)
+    counts = counts.groupBy("run", "doc_id").agg(F.max("met").alias("met"), F.max("texts").alias("texts")).groupBy("run").agg(F.max("met").alias("met"), F.sum("texts").alias("cases"))
+    stock_runs = Cut(counts.where("met >= 3 AND cases * 2 < met").select("run"), "stock").df
+    cases = None
+    for rows, found in scanned:
         built = Items(rows)
         length = {i: (SHINGLE_DENSE if built.dense[i] else SHINGLE) + LONGER for i in built.words}
-        owners: dict[tuple[str, ...], set[tuple[str, ...]]] = defaultdict(set)  # of each longer run the different items that have it
-        for i, words in built.words.items():
-            for k in range(len(words) - length[i] + 1):
-                owners[tuple(words[k : k + length[i]])].add(tuple(words))
-        several = {(i, k) for i, words in built.words.items() for k in range(len(words) - length[i] + 1) if len(owners[tuple(words[k : k + length[i]])]) > 1}
-        counted = found.where("kind = 0").groupBy("item_id", F.col("first").alias("k")).agg(F.sum("n").alias("met"), F.sum("chars").alias("cases"))
         # runs of words that are stock: at most as many as the items of the block have words
-        stock = {(r[0], r[1]) for r in counted.where("met >= 3 AND cases * 2 < met").select("item_id", "k").collect()} | several
+        stock = {r[0] for r in stock_runs.join(found.where("kind = 0").select(F.col("first").alias("run")).distinct(), "run", "leftsemi").collect()}
         loose: dict[int, set[int]] = defaultdict(set)
-        for i, k in stock:
-            loose[i] |= set(range(k, k + length[i]))
+        for i, runs in built.runs.items():
+            for k, run in enumerate(runs):
+                if run in stock:
+                    loose[i] |= set(range(k, k + length[i]))
         weights = {i: [0 if k in loose[i] else len(w) for k, w in enumerate(words)] for i, words in built.words.items()}
         # an item shorter than a longer run is a block as a whole
         least = {i: min(n, len(built.words[i])) for i, n in length.items()}
