@@ -1,17 +1,20 @@
 """Held-out test items that stand in corpus documents (problem 7).
 
 Method: one Aho-Corasick automaton over the normalised items. Items and texts become words in one spelling (compatibility forms,
-case and accents folded, markup left out; scripts without spaces give a word per character), each with its offset in the
-original. The automaton holds every run of ``SHINGLE`` words of every item; each text goes through it once. Where enough of an
-item's runs are met in the item's order, the stretch of the text around them is aligned with the item: equal blocks in order with
-short insertions between them, then the characters left between blocks, so that altered and split words count as far as they
-agree. The share of the item's characters that stand in the stretch is the evidence.
+case and accents folded, markup left out, words broken at a line's end joined; scripts without spaces give a word per character).
+The automaton holds every run of ``SHINGLE`` words of every item; a batch of texts goes through it once, as one string. Where
+enough of an item's runs are met near each other, the stretch of the text around them is aligned with the item: blocks of equal
+words are chained in order, with short insertions and omissions between them, so that the chain holds the most characters of the
+item; the characters between neighbouring blocks, so altered and split words, count as far as they agree. The share of the item's
+characters that stand in the stretch is the evidence. Chains are sought with long insertions and with short ones, so that a dense
+passage is found beside a thin one. Only of a match the words' offsets in the original are worked out.
 
 Stock phrases stand in many texts that hold nothing else of the item. They are found by counting, over all documents and items: a
 longer run (of ``SHINGLE + LONGER`` words) that is met mostly in texts that are no case of any item that has it is stock. That
 several items share a run says nothing, since items may be near copies or ask about one passage. A
-match must have equal blocks of that length with something besides stock in them. Runs of that length are hardly met by chance
-in a corpus of any size, and both counts grow with the corpus, so the rule does not depend on the number of documents.
+match must have equal words in passages of that length (with at most ``SLIP`` altered words in a row) besides stock. Runs of that
+length are hardly met by chance in a corpus of any size, and both counts grow with the corpus, so the rule does not depend on the
+number of documents.
 
 The items are a stated query set. They are gathered in blocks of bounded size, one automaton and one pass over the corpus for
 each block, so that what a worker holds does not grow with the number of items.
@@ -42,39 +45,88 @@ from ..session import Cut
 SHINGLE, SHINGLE_DENSE = 4, 8
 #: Words that an equal block has at least, likewise.
 BLOCK, BLOCK_DENSE = 3, 5
-#: Words that may be inserted between two blocks of one stretch, and of the item that may be missing between them.
-INSERTED, MISSING = 30, 60
-#: Share of the item's words that runs must cover before it is aligned; share of its characters that makes a case.
+#: Words that may be inserted between two blocks of one chain (the larger bound first), and of the item that may be missing there.
+INSERTED, MISSING = (30, 12, 4), 60
+#: Altered words in a row within one passage.
+SLIP = 2
+#: Share of the item's words that runs must cover before it is aligned; share of its characters that makes a case: a third of its
+#: text, less what small alterations take from it.
 GATE, SHARE = 0.12, 0.3
 #: Share of its stretch of the text that a match fills at least, insertions and all.
 DENSITY = 0.33
-#: Characters of items in one automaton.
-ITEM_BLOCK = 4_000_000
+#: Characters of items in one automaton; characters of texts that go through it at once (a longer text goes alone).
+ITEM_BLOCK, TEXT_BLOCK = 4_000_000, 2_000_000
 #: Words by which the runs that tell stock phrases are longer.
 LONGER = 2
 #: Characters beyond stock phrases that the long blocks of a match have at least, as a share of the item and in all.
 OWN_SHARE, OWN_CHARS = 0.06, 20
 
 _DENSE = "぀-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ"
-_WORD = re.compile(rf"<[^<>]{{0,80}}>|&(?:#\d{{1,6}}|#x[0-9a-fA-F]{{1,6}}|[a-zA-Z]{{2,8}});|[{_DENSE}][゙゚̀-ͯ​-‏⁠­﻿]*|[^\W_{_DENSE}](?:[^\W_{_DENSE}]|-\s{{1,3}}(?=[^\W\d_{_DENSE}])|[̀-ͯ​-‏⁠­﻿])*")
-_DROP = re.compile(r"-\s+|[​-‏⁠­﻿]")
+_MARKUP = re.compile(r"<[a-zA-Z/!?][^<>]*>|&(?:#\d{1,6}|#x[0-9a-fA-F]{1,6}|[a-zA-Z]{2,8});")
+_BREAK = re.compile(r"(?<=[^\W_])-\s{1,3}(?=[^\W\d_])")
+_WORD, _WORD_DENSE = re.compile(r"[^\W_]+"), re.compile(rf"[{_DENSE}][゙゚]*|[^\W_{_DENSE}]+")
 _IS_DENSE = re.compile(f"[{_DENSE}]")
 
 
-@lru_cache(maxsize=200_000)
-def _spelled(word: str) -> str:
-    folded = unicodedata.normalize("NFKD", _DROP.sub("", word)).casefold()
-    return "".join(c for c in folded if not unicodedata.combining(c) or c in "゙゚")
+@lru_cache(maxsize=1)
+def _silent() -> re.Pattern:
+    """Marks and characters without width, that no spelling needs; the two sound marks of Japanese stay."""
+    codes = [c for c in (*range(0x20000), *range(0xE0000, 0xE1000)) if (unicodedata.combining(chr(c)) and c not in (0x3099, 0x309A)) or c == 0xAD or unicodedata.category(chr(c)) == "Cf"]
+    spans = "".join(f"{chr(c)}" if a is None else f"{chr(a)}-{chr(c)}" for a, c in _spans(codes))
+    return re.compile(f"[{spans}]")
+
+
+def _spans(codes: list[int]) -> Iterator[tuple[int | None, int]]:
+    start = codes[0]
+    for a, b in pairwise([*codes, codes[-1] + 2]):
+        if b != a + 1:
+            yield (start if start != a else None), a
+            start = b
+
+
+def _blanked(text: str) -> str:
+    """The text with blanks for markup, as long as before."""
+    return _MARKUP.sub(lambda m: " " * len(m.group()), text) if "<" in text or "&" in text else text
+
+
+def _folded(text: str) -> str:
+    if "-" in text:
+        text = _BREAK.sub("", text)
+    return text.lower() if text.isascii() else _silent().sub("", unicodedata.normalize("NFKD", text).casefold())
+
+
+@lru_cache(maxsize=100_000)
+def _folded_char(c: str) -> str:
+    return _silent().sub("", unicodedata.normalize("NFKD", c).casefold())
+
+
+def _pattern(folded: str) -> re.Pattern:
+    return _WORD if folded.isascii() or not _IS_DENSE.search(folded) else _WORD_DENSE
+
+
+def spelled(text: str) -> list[str]:
+    """The normalised words of a text."""
+    folded = _folded(_blanked(text))
+    return _pattern(folded).findall(folded)
+
+
+def spans_of(text: str) -> list[tuple[int, int]]:
+    """The places in the original text of its normalised words."""
+    blank = _blanked(text)
+    gone = {i for m in _BREAK.finditer(blank) for i in range(*m.span())}
+    chars, at = [], []
+    for i, c in enumerate(blank):
+        if i not in gone:
+            found = _folded_char(c)
+            chars.append(found)
+            at += [i] * len(found)
+    folded = "".join(chars)
+    return [(at[m.start()], at[m.end() - 1] + 1) for m in _pattern(folded).finditer(folded)]
 
 
 def words_of(text: str) -> tuple[list[str], list[tuple[int, int]]]:
-    """The normalised words of a text and their offsets in it; markup gives none, and a word broken at a line's end is one."""
-    words, spans = [], []
-    for m in _WORD.finditer(text):
-        if m.group()[0] not in "<&" and (w := _spelled(m.group())):
-            words.append(w)
-            spans.append(m.span())
-    return words, spans
+    """The normalised words of a text and their places in it; markup gives none, and a word broken at a line's end is one."""
+    return spelled(text), spans_of(text)
 
 
 def _digest(run: list[str]) -> int:
@@ -88,37 +140,101 @@ class Items:
     def __init__(self, rows: list[tuple[int, str]]):
         import ahocorasick
 
-        self.words, self.chars, self.dense, self.runs = {}, {}, {}, {}
+        self.ids, self.own, self.chars, self.dense, self.size, self.runs = [], [], [], [], [], []
+        self.blocks: list[dict[tuple[str, ...], list[int]]] = []
         places: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for item, text in rows:
-            words = words_of(text or "")[0]
+            words = spelled(text or "")
             if not words:
                 continue
-            self.words[item] = words
-            self.chars[item] = sum(map(len, words))
-            self.dense[item] = dense = sum(bool(_IS_DENSE.match(w)) for w in words) * 2 > len(words)
+            at = len(self.ids)
+            dense = sum(bool(_IS_DENSE.match(w)) for w in words) * 2 > len(words)
             n = min(SHINGLE_DENSE if dense else SHINGLE, len(words))
+            self.ids.append(item)
+            self.own.append(words)
+            self.chars.append([len(w) for w in words])
+            self.dense.append(dense)
+            self.size.append(n)
             for k in range(len(words) - n + 1):
-                places[f" {' '.join(words[k : k + n])} "].append((item, k, n))
-            self.runs[item] = [_digest(words[k : k + n + LONGER]) for k in range(len(words) - n - LONGER + 1)]
+                places[f" {' '.join(words[k : k + n])} "].append((at, k))
+            self.runs.append([_digest(words[k : k + n + LONGER]) for k in range(len(words) - n - LONGER + 1)])
+            least = min(BLOCK_DENSE if dense else BLOCK, len(words))
+            self.blocks.append(runs_of(words, least))
         self.automaton = ahocorasick.Automaton()
-        for run, where in places.items():
-            self.automaton.add_word(run, (run, where))
+        for number, run in enumerate(places):
+            self.automaton.add_word(run, number)
         if places:
             self.automaton.make_automaton()
         self.empty = not places
+        # the places of run r are those from first[r] to first[r + 1]
+        self.first = np.cumsum([0, *map(len, places.values())])
+        flat = np.array([p for where in places.values() for p in where], np.int64).reshape(-1, 2)
+        self.of, self.at = flat[:, 0], flat[:, 1]
+        self.n = np.array(self.size, np.int64)
+        self.length = np.array([len(w) for w in self.own], np.int64)
+        # digests of the longer runs of all items, each item's after each other's
+        self.base = np.cumsum([0, *map(len, self.runs)])
+        self.digests = np.array([d for r in self.runs for d in r], np.int64)
+
+    @property
+    def words(self) -> dict[int, list[str]]:
+        return dict(zip(self.ids, self.own))
 
     def hits(self, words: list[str]) -> dict[int, list[tuple[int, int, int]]]:
-        """For each item met: (word of the text, word of the item, length) of its runs, in the text's order."""
-        joined = f" {' '.join(words)} "
-        ends = np.cumsum([len(w) + 1 for w in words])  # the place of the space after each word
+        """For each item met in one text: (word of the text, word of the item, length) of its runs, in the text's order."""
         found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        for end, (_, where) in self.automaton.iter(joined):
-            last = int(np.searchsorted(ends, end))
-            for item, k, n in where:
-                found[item].append((last - n + 1, k, n))
+        for _, i, p, k in self.met([words]).T.tolist():
+            found[self.ids[i]].append((p, k, self.size[i]))
         return found
 
+    def met(self, texts: list[list[str]]) -> np.ndarray:
+        """text, item (its number here), word of the text, word of the item of every run met, sorted by these."""
+        whole = "".join(f" {' '.join(words)} " for words in texts)
+        met = list(self.automaton.iter(whole)) if whole else []
+        if not met:
+            return np.zeros((4, 0), np.int64)
+        end, run = np.array(met, np.int64).T
+        spaces = np.flatnonzero(np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32) == 32)
+        base = np.cumsum([0, *(max(1, len(w)) + 1 for w in texts)])  # each text has a space more than words, one without words two
+        place = np.searchsorted(spaces, end)
+        text = np.searchsorted(base, place, "right") - 1
+        last = place - base[text] - 1
+        count = self.first[run + 1] - self.first[run]
+        row = np.repeat(np.arange(len(run)), count)
+        flat = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + self.first[run][row]
+        item, k = self.of[flat], self.at[flat]
+        found = np.stack([text[row], item, last[row] - self.n[item] + 1, k])
+        return found[:, np.lexsort(found[::-1])]
+
+    def longer(self, hits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """text, item and digest of the longer runs met: those of LONGER + 1 runs after each other."""
+        text, item, p, k = hits
+        order = np.lexsort([p, p - k, item, text])
+        text, item, p, k = text[order], item[order], p[order], k[order]
+        ahead = lambda x: x[LONGER:]
+        here = lambda x: x[: len(x) - LONGER]
+        on = (ahead(text) == here(text)) & (ahead(item) == here(item)) & (ahead(p) == here(p) + LONGER) & (ahead(k) == here(k) + LONGER)
+        i = np.flatnonzero(on)
+        return text[i], item[i], self.digests[self.base[item[i]] + k[i]]
+
+    def stretches(self, hits: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
+        """text, item, and the first and last word in text and item, of hits near each other that cover enough of the item."""
+        text, item, p, k = hits
+        if not len(text):
+            return
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (p[1:] - p[:-1] > INSERTED[0] + self.n[item[1:]])
+        number = np.cumsum(new) - 1
+        order = np.lexsort([k, number])
+        step = np.append(k[order][1:] - k[order][:-1], 1 << 40)
+        step[:-1][number[order][1:] != number[order][:-1]] = 1 << 40
+        covered = np.bincount(number, np.minimum(step, self.n[item[order]]))
+        start = np.flatnonzero(new)
+        stop = np.append(start[1:], len(text)) - 1
+        for s in np.flatnonzero(covered >= GATE * self.length[item[start]]).tolist():
+            a, b = start[s], stop[s]
+            yield int(text[a]), int(item[a]), int(p[a]), int(p[b]), int(k[a]), int(k[b])
+
 
 _CACHE: dict[int, Items] = {}
 
@@ -130,15 +246,28 @@ def _items(rows: list[tuple[int, str]], token: int) -> Items:
     return _CACHE[token]
 
 
-def _stretches(hits: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
-    """Hits that lie near each other in the text."""
-    hits = sorted(hits)
-    start = 0
-    for i, (a, b) in enumerate(pairwise(hits)):
-        if b[0] - a[0] > INSERTED + b[2]:
-            yield hits[start : i + 1]
-            start = i + 1
-    yield hits[start:]
+def runs_of(item: list[str], least: int) -> dict[tuple[str, ...], list[int]]:
+    """The item's runs of so many words, with the places where they begin."""
+    starts: dict[tuple[str, ...], list[int]] = defaultdict(list)
+    for k in range(len(item) - least + 1):
+        starts[tuple(item[k : k + least])].append(k)
+    return starts
+
+
+def equal_blocks(starts: dict[tuple[str, ...], list[int]], text: list[str]) -> list[tuple[int, int, int]]:
+    """(word of the text, word of the item, words) of the longest equal blocks, by the item's runs of the least length."""
+    least = len(next(iter(starts)))
+    open_: dict[int, list[int]] = {}
+    out = []
+    for p in range(len(text) - least + 1):
+        for k in starts.get(tuple(text[p : p + least]), ()):
+            block = open_.get(p - k)
+            if block and block[0] + block[2] == p + least - 1:
+                block[2] += 1
+            else:
+                open_[p - k] = block = [p, k, least]
+                out.append(block)
+    return [tuple(b) for b in out]
 
 
 def _between(item: list[str], text: list[str]) -> int:
@@ -149,43 +278,57 @@ def _between(item: list[str], text: list[str]) -> int:
     return min(len(a), sum(m.size for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks() if m.size >= 3))
 
 
+def chained(blocks: list[tuple[int, int, int]], chars: list[int], inserted: int, least: int) -> list[tuple[int, int, int]]:
+    """The blocks in order in text and item, with bounded gaps, that hold the most characters of the item."""
+    blocks = sorted(blocks)
+    before = np.concatenate([[0], np.cumsum(chars)]).tolist()
+    best, came, cut = [], [], []
+    for j, (p, k, n) in enumerate(blocks):
+        top, source, trim = before[k + n] - before[k], -1, 0
+        for i in range(j - 1, -1, -1):
+            p0, k0, n0 = blocks[i]
+            t = max(0, p0 + n0 - p, k0 + n0 - k)  # words that both blocks claim
+            if n - t >= least and p - p0 - n0 <= inserted and 0 <= k + t - k0 - n0 <= MISSING and (x := best[i] + before[k + n] - before[k + t]) > top:
+                top, source, trim = x, i, t
+        best.append(top)
+        came.append(source)
+        cut.append(trim)
+    out = []
+    j = max(range(len(blocks)), key=best.__getitem__) if blocks else -1
+    while j >= 0:
+        p, k, n = blocks[j]
+        out.append((p + cut[j], k + cut[j], n - cut[j]))
+        j = came[j]
+    return out[::-1]
+
+
+def held(item: list[str], chars: list[int], chain: list[tuple[int, int, int]], text: list[str], needed: float) -> int:
+    """Characters of the item that stand in a chain's blocks and between them; 0 if they cannot be as many as needed."""
+    blocks = sum(sum(chars[k : k + n]) for _, k, n in chain)
+    if blocks + sum(min(sum(chars[k + n : l]), sum(map(len, text[p + n : q]))) for (p, k, n), (q, l, _) in pairwise(chain)) < needed:
+        return 0
+    return blocks + sum(_between(item[k + n : l], text[p + n : q]) for (p, k, n), (q, l, _) in pairwise(chain))
+
+
 def aligned(item: list[str], text: list[str], least: int) -> tuple[int, int, int, list[int]]:
-    """The best stretch of a text: characters of the item that stand in it, its first and last word, and the item's words that do."""
-    blocks = [m for m in SequenceMatcher(None, item, text, autojunk=False).get_matching_blocks() if m.size >= least]
-    best = (0, 0, 0, [])
-    start = 0
-    for i in range(1, len(blocks) + 1):
-        if i < len(blocks) and blocks[i].b - blocks[i - 1].b - blocks[i - 1].size <= INSERTED and blocks[i].a - blocks[i - 1].a - blocks[i - 1].size <= MISSING:
-            continue
-        run = blocks[start:i]
-        start = i
-        at = [k for m in run for k in range(m.a, m.a + m.size)]
-        chars = sum(len(item[k]) for k in at)
-        for x, y in pairwise(run):
-            chars += _between(item[x.a + x.size : y.a], text[x.b + x.size : y.b])
-        if chars > best[0]:
-            best = (chars, run[0].b, run[-1].b + run[-1].size - 1, at)
-    return best
-
-
-def _blocks(places: list[int]) -> list[list[int]]:
-    """Neighbouring words together."""
-    out: list[list[int]] = []
-    for k in places:
-        if out and k == out[-1][-1] + 1:
-            out[-1].append(k)
-        else:
-            out.append([k])
-    return out
-
-
-def _runs(places: list[int], n: int) -> int:
-    """How many words are covered by runs of n that begin at these places."""
-    covered, end = 0, -1
-    for k in sorted(set(places)):
-        covered += n if k >= end else k + n - end
-        end = k + n
-    return covered
+    """The best chain in a text: characters of the item that stand in it, its first and last word, and the item's words that do."""
+    chars = [len(w) for w in item]
+    chain = chained(equal_blocks(runs_of(item, least), text), chars, INSERTED[0], least)
+    if not chain:
+        return 0, 0, 0, []
+    return held(item, chars, chain, text, 0), chain[0][0], chain[-1][0] + chain[-1][2] - 1, [x for _, k, n in chain for x in range(k, k + n)]
+
+
+def passages(chain: list[tuple[int, int, int]], least: int) -> list[int]:
+    """The item's words in passages of a chain, blocks with at most SLIP altered words between them, of at least so many words."""
+    out, passage, last = [], [], None
+    for p, k, n in chain:
+        if last and (p - last[0] > SLIP or k - last[1] > SLIP):
+            out += passage if len(passage) >= least else []
+            passage = []
+        passage = passage + list(range(k, k + n))
+        last = (p + n, k + n)
+    return out + (passage if len(passage) >= least else [])
 
 
 _FOUND = "kind int, doc_id bigint, item_id bigint, chars bigint, total bigint, first bigint, last bigint, places array<int>, n bigint, runs array<bigint>"
@@ -202,38 +345,53 @@ def _scan(rows: list[tuple[int, str]], token: int, batches: Iterator[pa.RecordBa
     def made(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], list(columns))
 
-    for batch in batches:
+    def look(docs: list[int], texts: list[str]) -> list[tuple]:
+        words = [spelled(t) for t in texts]
+        hits = items.met(words)
+        text, item, run = items.longer(hits)
+        met.update(np.unique(np.stack([text, run]), axis=1)[1].tolist())
+        best: dict[tuple[int, int], tuple] = {}
+        for t, i, p0, p1, k0, k1 in items.stretches(hits):
+            own, chars, total = items.own[i], items.chars[i], sum(items.chars[i])
+            reach = 2 * items.size[i] + INSERTED[0]
+            lo, hi = max(0, p0 - k0 - reach), min(len(words[t]), p1 + items.size[i] + (len(own) - k1) + reach)
+            part, least = words[t][lo:hi], min(BLOCK_DENSE if items.dense[i] else BLOCK, len(own))
+            blocks = equal_blocks(items.blocks[i], part)
+            for inserted in INSERTED:
+                chain = chained(blocks, chars, inserted, least)
+                found = held(own, chars, chain, part, SHARE * total) if chain else 0
+                if found < SHARE * total:
+                    break  # a chain with shorter gaps holds no more
+                first, last = chain[0][0], chain[-1][0] + chain[-1][2]
+                if found >= DENSITY * sum(map(len, part[first:last])):
+                    if found > best.get((t, i), (0,))[0]:
+                        long = min(items.size[i] + LONGER, len(own))
+                        best[t, i] = (found, total, lo + first, lo + last - 1, passages(chain, long))
+                    break
         out = []
+        cases: dict[int, set[int]] = defaultdict(set)
+        for (t, i), (found, total, first, last, at) in best.items():
+            cases[t].add(i)
+            spans = spans_of(texts[t])
+            out.append((1, docs[t], items.ids[i], found, total, spans[first][0], spans[last][1], at, items.size[i], None))
+        runs: dict[int, set[int]] = defaultdict(set)
+        for t, i, r in zip(text.tolist(), item.tolist(), run.tolist()):
+            if i in cases.get(t, ()):
+                runs[t].add(r)
+        return out + [(2, docs[t], None, 0, 0, 0, 0, None, 0, sorted(r)) for t, r in runs.items()]
+
+    for batch in batches:
+        docs, texts, size, out = [], [], 0, []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if not text or items.empty:
-                continue
-            words, spans = words_of(text)
-            if not words:
-                continue
-            seen, cased = set(), set()
-            for item, hits in items.hits(words).items():
-                own, dense = items.words[item], items.dense[item]
-                n = hits[0][2]
-                best = (0, 0, 0, [])
-                for near in _stretches(hits):
-                    if _runs([k for _, k, _ in near], n) < GATE * len(own):
-                        continue
-                    reach = 2 * n + INSERTED
-                    lo, hi = max(0, near[0][0] - near[0][1] - reach), min(len(words), near[-1][0] + n + (len(own) - near[-1][1]) + reach)
-                    chars, first, last, at = aligned(own, words[lo:hi], BLOCK_DENSE if dense else BLOCK)
-                    if chars > best[0]:
-                        best = (chars, lo + first, lo + last, at)
-                chars, first, last, at = best
-                good = chars >= SHARE * items.chars[item] and chars >= DENSITY * sum(map(len, words[first : last + 1]))
-                at_once = {(p, k) for p, k, _ in hits}
-                runs = {items.runs[item][k] for p, k in at_once if all((p + x, k + x) in at_once for x in range(1, LONGER + 1))}
-                seen |= runs
-                if good:
-                    cased |= runs
-                    out.append((1, doc, item, chars, items.chars[item], spans[first][0], spans[last][1], at, n, None))
-            met.update(seen)
-            if cased:
-                out.append((2, doc, None, 0, 0, 0, 0, None, 0, sorted(cased)))
+            if text and not items.empty:
+                docs.append(doc)
+                texts.append(text)
+                size += len(text)
+                if size >= TEXT_BLOCK:
+                    out += look(docs, texts)
+                    docs, texts, size = [], [], 0
+        if texts:
+            out += look(docs, texts)
         if out:
             yield made(out)
     if met:
@@ -250,8 +408,8 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: s
     scanned = []
     for b in range(blocks):  # each gathers about item_block characters
         rows = [(r[0], r[1]) for r in asked.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).collect()]
-        token = hash(tuple(rows))
-        found = Cut(texts.mapInArrow(lambda batches, rows=rows, token=token: _scan(rows, token, batches), _FOUND), "leaks").df
+        token, shared = hash(tuple(rows)), spark.sparkContext.broadcast(rows)
+        found = Cut(texts.mapInArrow(lambda batches, shared=shared, token=token: _scan(shared.value, token, batches), _FOUND), "leaks").df
         scanned.append((rows, found))
     # texts that have a run, and those of them that are a possible case of an item with it, of whatever block
     counts = None
@@ -265,21 +423,16 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: s
     cases = None
     for rows, found in scanned:
         built = Items(rows)
-        length = {i: (SHINGLE_DENSE if built.dense[i] else SHINGLE) + LONGER for i in built.words}
         # runs of words that are stock: at most as many as the items of the block have words
         stock = {r[0] for r in stock_runs.join(found.where("kind = 0").select(F.col("first").alias("run")).distinct(), "run", "leftsemi").collect()}
-        loose: dict[int, set[int]] = defaultdict(set)
-        for i, runs in built.runs.items():
-            for k, run in enumerate(runs):
-                if run in stock:
-                    loose[i] |= set(range(k, k + length[i]))
-        weights = {i: [0 if k in loose[i] else len(w) for k, w in enumerate(words)] for i, words in built.words.items()}
-        # an item shorter than a longer run is a block as a whole
-        least = {i: min(n, len(built.words[i])) for i, n in length.items()}
-
-        def own(batches: Iterator[pa.RecordBatch], weights=weights, least=least) -> Iterator[pa.RecordBatch]:
+        weights = {}
+        for i, chars, runs, n in zip(built.ids, built.chars, built.runs, built.size):
+            loose = {x for k, run in enumerate(runs) if run in stock for x in range(k, k + n + LONGER)}
+            weights[i] = [0 if k in loose else c for k, c in enumerate(chars)]
+
+        def own(batches: Iterator[pa.RecordBatch], weights=weights) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                chars = [sum(weights[i][k] for block in _blocks(at) if len(block) >= least[i] for k in block) for i, at in zip(batch.column(1).to_pylist(), batch.column(6).to_pylist())]
+                chars = [sum(weights[i][k] for k in at) for i, at in zip(batch.column(1).to_pylist(), batch.column(6).to_pylist())]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(chars, pa.int64())], ["doc_id", "item_id", "chars", "total", "first", "last", "own"])
 
         kept = found.where("kind = 1").select("doc_id", "item_id", "chars", "total", "first", "last", "places").mapInArrow(own, "doc_id bigint, item_id bigint, chars bigint, total bigint, first bigint, last bigint, own bigint")

@@ -59,3 +59,31 @@ def test_alignment_counts_what_stands_in_order():
     assert aligned(item, item, 3)[0] == sum(map(len, item))
     assert aligned(item, item[:10] + ["x"] * 5 + item[12:], 3)[3] == [*range(10), *range(12, 30)]
     assert aligned(item, item[15:] + ["y"] * 90 + item[:15], 3)[0] < 0.7 * sum(map(len, item))
+
+
+def test_dense_passage_beside_a_thin_one(spark):
+    """Half an item stands in one piece; further on the item's words stand scattered."""
+    r = random.Random(12)
+    item = [f"{w}{i}" for i, w in enumerate(text(r, 40).split())]
+    thin = " ".join(" ".join(item[k : k + 3]) + " " + text(r, 22) for k in range(0, 39, 3))
+    df = spark.createDataFrame([(1, text(r, 20) + " " + " ".join(item[:20]) + " " + text(r, 20) + " " + thin), (2, thin)], "doc_id bigint, text string")
+    found = leaked_items(df, spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string")).collect()
+    assert [(x.doc_id, x.item_id) for x in found] == [(1, 7)]
+
+
+def test_altered_words_and_long_markup(spark):
+    """A word altered in every sixth, and a tag of any length within the passage."""
+    r = random.Random(13)
+    item = [f"{w}{i}" for i, w in enumerate(text(r, 42).split())]
+    part = ["changed" if i % 6 == 5 else w for i, w in enumerate(item[:24])]
+    tag = '<a href="https://example.org/' + "x" * 300 + '" title="one two three four five six">'
+    docs = [(1, " ".join(part)), (2, " ".join(item[:12]) + f" {tag} " + " ".join(item[12:20])), (3, " ".join(item[:5]) + " " + text(r, 30))]
+    found = leaked_items(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string")).collect()
+    assert sorted(x.doc_id for x in found) == [1, 2]
+
+
+def test_places_in_the_original():
+    odd = "Ein Straßen-\n bahn &amp; <b>café</b> ﬁn が ½"
+    words, spans = words_of(odd)
+    assert words[:4] == ["ein", "strassenbahn", "cafe", "fin"] and len(words) == len(spans)
+    assert [odd[a:b] for a, b in spans[2:5]] == ["café", "ﬁn", "が"] and odd[slice(*spans[1])] == "Straßen-\n bahn"
