@@ -6,10 +6,11 @@ one is known, from ``NGRAM`` characters down to one. A sentence's score is the s
 sentence, mostly names and titles, weigh less. The best path through a text's sentences, in which each change of language costs
 ``SWITCH``, gives the stretches.
 
-The model is fitted on the test items, whose labels are right, and then again together with a sample of about ``SAMPLE``
-labelled documents (chosen by a hash of their whole content). Of these, texts count that the model so far gives the language of
+The model is fitted on the test items, whose labels are right, and then again together with a sample of at most ``SAMPLE``
+different labelled documents (those with the least hashes of their whole content). Of these, texts count that the model so far gives the language of
 the label, without sentences that are clearly in another; so wrong labels and mixed texts do no harm. Every document is then
-scored by the fitted model.
+scored by the fitted model, a batch at a time: each different word once, sentences by sums over arrays. A stretch's confidence is
+the share of its language in the scores, made milder until it fits the items' sentences under a model that has not seen them.
 
 Defined results: headings (blocks without any full stop), claim lines, record references and markup are no sentences. Texts
 without a sentence, null and empty ones give no rows. Repeated documents are answered each; other columns are not read.
@@ -23,6 +24,7 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,8 @@ SAMPLE = 6000
 NGRAM, PENALTY, SWITCH = 5, 16.0, 9.0
 #: Fits on labelled documents; log odds against the label's language from which a sentence of such a document is left out.
 REFITS, FAR = 2, 40.0
+#: What log odds may be divided by, so that a confidence is how often it is right.
+TEMPERATURES = (0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0)
 #: Weight of a capitalised word that does not begin a sentence.
 NAME_WEIGHT = 0.35
 #: Documents in which a word must occur to be known.
@@ -51,9 +55,10 @@ OTHER_NAMES = {
     "ja": ("jpn", "日本語", "nihongo"),
 }
 
-_TAG = re.compile(r"<[^<>]{0,80}>")
+_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*>")
 _CLAIM = re.compile(r"^.*://\S*\s*(?:<=>|=>|<~>|~>).*$", re.M)
-_REFERENCE = re.compile(r"\[?\b[\w.]+://\S+|\[?v1:[0-9a-f]+\]?|[@#]\w+|\bS\d+E\d+\b")
+_ADDRESS = re.compile(r"\[?\b[\w.]+://\S+")
+_REFERENCE = re.compile(r"\[?v1:[0-9a-f]+\]?|[@#]\w+|\bS\d+E\d+\b")
 _BLOCK = re.compile(r"\n[^\S\n]*\n\s*")
 _STOP = re.compile(r"(?<=[.!?…])[\"'”»’)\]]*(?:\s+|$)|(?<=[。！？])[」』）]*\s*")
 _ENDS = re.compile(r"[.!?…。！？][\"'”»’)\]」』）]*\s*$")
@@ -75,8 +80,14 @@ def label_code(label: Column, languages: DataFrame) -> Column:
 
 def sentences(text: str) -> list[str]:
     """The sentences of a text in order, headings, claim lines and references left out."""
-    text = unicodedata.normalize("NFC", text.replace("\r\n", "\n").replace("\r", "\n"))
-    text = _REFERENCE.sub(" ", _TAG.sub(" ", _CLAIM.sub("\n", text)))
+    text = unicodedata.normalize("NFC", text)
+    if "\r" in text:
+        text = text.replace("\r\n", "\n").replace("\r", "\n")
+    if "://" in text:
+        text = _ADDRESS.sub(" ", _CLAIM.sub("\n", text))
+    if "<" in text:
+        text = _TAG.sub(" ", text)
+    text = _REFERENCE.sub(" ", text)
     out = []
     for block in _BLOCK.split(text):
         parts = [p for p in _STOP.split(block) if p and _WORD.search(p)]
@@ -86,11 +97,8 @@ def sentences(text: str) -> list[str]:
     return out
 
 
-def _words(sentence: str) -> list[tuple[str, float]]:
-    """The words in lower case, with their weight."""
-    found = [m.group() for m in _WORD.finditer(sentence)]
-    shouted = sum(w.isupper() for w in found) * 2 > len(found)
-    return [(unicodedata.normalize("NFC", w.lower()), NAME_WEIGHT if i and not shouted and w[0].isupper() else 1.0) for i, w in enumerate(found)]
+def _words(sentence: str) -> list[str]:
+    return [w.lower() for w in _WORD.findall(sentence)]
 
 
 class Model:
@@ -102,7 +110,7 @@ class Model:
         counts: dict[str, Counter] = {x: Counter() for x in langs}
         texts: Counter = Counter()
         for lang, parts in samples:
-            words = [w for p in parts for w, _ in _words(p)]
+            words = [w for p in parts for w in _words(p)]
             counts[lang].update(words)
             texts.update(set(words))
         tables: list[dict[str, Counter]] = [{x: Counter() for x in langs} for _ in range(NGRAM + 1)]
@@ -114,7 +122,13 @@ class Model:
         known = {x: Counter({w: n for w, n in counts[x].items() if texts[w] >= known_in}) for x in langs}
         self.words = self._logs(known)
         self.grams = [self._logs(t) for t in tables]
-        self._cache: dict[str, tuple[float, ...]] = {}
+        self.temperature = 1.0
+        self._forget()
+
+    def _forget(self) -> None:
+        """Empties what is remembered of words: their numbers, and their scores by number."""
+        self._number: dict[str, int] = {}
+        self._table = np.zeros((0, len(self.langs)))
 
     @staticmethod
     def _grams(word: str, size: int) -> list[str]:
@@ -130,73 +144,117 @@ class Model:
         return {w: tuple(v) for w, v in out.items()}
 
     def score(self, word: str) -> tuple[float, ...]:
-        got = self._cache.get(word)
-        if got is None:
-            got = self.words.get(word)
-            if got is None:
-                got = (0.0,) * len(self.langs)
-                for size in range(NGRAM, 0, -1):
-                    hits = [self.grams[size][g] for g in self._grams(word, size) if g in self.grams[size]]
-                    if hits:
-                        got = tuple(sum(h[k] for h in hits) / len(hits) for k in range(len(self.langs)))
-                        break
-            if len(self._cache) > 300_000:
-                self._cache.clear()
-            self._cache[word] = got
-        return got
-
-    def sentence(self, sentence: str) -> list[float]:
-        total = [0.0] * len(self.langs)
-        for w, weight in _words(sentence):
-            for k, x in enumerate(self.score(w)):
-                total[k] += weight * x
-        return total
+        """The word's score in each language: its own, or that of its n-grams of the longest size of which one is known."""
+        if (got := self.words.get(word)) is not None:
+            return got
+        for size in range(NGRAM, 0, -1):
+            table = self.grams[size]
+            hits = [table[g] for g in self._grams(word, size) if g in table]
+            if hits:
+                return tuple(sum(h[k] for h in hits) / len(hits) for k in range(len(self.langs)))
+        return (0.0,) * len(self.langs)
 
-    def segments(self, text: str) -> list[tuple[str, float, int]]:
-        """(language, confidence, sentences) of each stretch."""
-        scores = [self.sentence(s) for s in sentences(text)]
-        if not scores:
-            return []
-        n = len(self.langs)
+    def scores(self, parts: list[str]) -> np.ndarray:
+        """The score of each sentence in each language: every distinct word is scored once, the rest is sums over arrays."""
+        found = [_WORD.findall(p) for p in parts]
+        words = [w for f in found for w in f]
+        sizes = np.array([len(f) for f in found], np.int64)
+        out = np.zeros((len(parts), len(self.langs)))
+        if not words:
+            return out
+        if len(self._number) > 300_000:
+            self._forget()
+        number = self._number
+        ids = [number.setdefault(w, len(number)) for w in [w.lower() for w in words]]
+        if len(number) > len(self._table):
+            new = [w for w, _ in zip(reversed(number), range(len(number) - len(self._table)))]
+            self._table = np.concatenate([self._table, np.array([self.score(w) for w in reversed(new)])])
+        some = np.flatnonzero(sizes)
+        starts = (np.cumsum(sizes) - sizes)[some]
+        capital = np.fromiter((w[0].isupper() for w in words), bool, len(words))
+        shouted = np.fromiter((w.isupper() for w in words), bool, len(words))
+        shouting = np.repeat(np.add.reduceat(shouted, starts, dtype=np.int64) * 2 > sizes[some], sizes[some])
+        capital[starts] = False
+        weight = np.where(capital & ~shouting, NAME_WEIGHT, 1.0)
+        out[some] = np.add.reduceat(self._table[ids] * weight[:, None], starts, axis=0)
+        return out
+
+    def _path(self, scores: np.ndarray) -> list[int]:
+        """The best path through the sentences."""
         best, back = scores[0], []
         for s in scores[1:]:
-            top = max(range(n), key=best.__getitem__)
-            came = [k if best[k] >= best[top] - SWITCH else top for k in range(n)]
-            best = [s[k] + max(best[k], best[top] - SWITCH) for k in range(n)]
-            back.append(came)
-        k = max(range(n), key=best.__getitem__)
-        path = [k]
+            top = int(best.argmax())
+            back.append(np.where(best >= best[top] - SWITCH, np.arange(len(best)), top))
+            best = s + np.maximum(best, best[top] - SWITCH)
+        path = [int(best.argmax())]
         for came in reversed(back):
-            k = came[k]
-            path.append(k)
-        path.reverse()
-        out, start = [], 0
-        for i in range(1, len(path) + 1):
-            if i == len(path) or path[i] != path[start]:
-                total = [sum(s[k] for s in scores[start:i]) for k in range(n)]
-                top = max(total)
-                out.append((self.langs[path[start]], math.exp(total[path[start]] - top) / sum(math.exp(x - top) for x in total), i - start))
-                start = i
+            path.append(int(came[path[-1]]))
+        return path[::-1]
+
+    def segmented(self, texts: list[str]) -> list[list[tuple[str, float, int]]]:
+        """For each text (language, confidence, sentences) of each stretch."""
+        parts = [sentences(t) for t in texts]
+        scores = self.scores([p for x in parts for p in x])
+        top = scores.argmax(axis=1)
+        place, out = 0, []
+        stretches: list[tuple[int, int, int, int]] = []  # text, first sentence, sentences, language
+        for number, x in enumerate(parts):
+            end = place + len(x)
+            if x:
+                # where every sentence's best is one language no path is better
+                path = None if (top[place:end] == top[place]).all() else self._path(scores[place:end])
+                if path is None:
+                    stretches.append((number, place, len(x), int(top[place])))
+                else:
+                    start = 0
+                    for i in range(1, len(path) + 1):
+                        if i == len(path) or path[i] != path[start]:
+                            stretches.append((number, place + start, i - start, path[start]))
+                            start = i
+            place = end
+            out.append([])
+        if stretches:
+            totals = np.add.reduceat(scores, [s[1] for s in stretches], axis=0)
+            odds = (totals - totals.max(axis=1, keepdims=True)) / self.temperature
+            shares = np.exp(odds) / np.exp(odds).sum(axis=1, keepdims=True)
+            for (number, _, size, lang), share in zip(stretches, shares):
+                out[number].append((self.langs[lang], float(share[lang]), size))
         return out
 
+    def segments(self, text: str) -> list[tuple[str, float, int]]:
+        return self.segmented([text])[0]
+
+    def calibrate(self, scores: np.ndarray, right: np.ndarray) -> None:
+        """Sets the temperature at which the languages of sentences that the model was not fitted on are likeliest."""
+        if len(scores):
+            own = scores[np.arange(len(right)), right]
+            loss = {t: float(np.mean(np.logaddexp.reduce((scores - own[:, None]) / t, axis=1))) for t in TEMPERATURES}
+            self.temperature = min(loss, key=loss.get)
+
 
 def fit(docs: DataFrame, items: DataFrame, languages: DataFrame, sample: int = SAMPLE) -> Model:
-    """The model. docs and items have the columns text and lang; at most about ``sample`` rows of docs are read to the driver."""
+    """The model. docs and items have the columns text and lang; at most ``sample`` different labelled texts of docs are read to the
+    driver, those with the least hashes of all, so that a text that is copied very often counts once and every run draws the same."""
     langs = tuple(sorted(r[0] for r in languages.select("lang").collect()))
     right = [(r[0], sentences(r[1])) for r in items.select("lang", "text").where("text IS NOT NULL").collect() if r[0] in langs]
     model = Model(langs, right, known_in=2)
     labelled = docs.select("text", label_code(F.col("lang"), languages).alias("code")).where("code IS NOT NULL AND length(text) > 0")
-    rows = labelled.count()
-    share = max(1, -(-rows // sample))
-    texts = [(langs.index(code), sentences(text)) for text, code in labelled.where(F.pmod(F.xxhash64("text", "code"), F.lit(share)) == 0).limit(2 * sample).collect()]
+    labelled = labelled.withColumn("h", F.xxhash64("text", "code"))
+    rows = labelled.agg(F.approx_count_distinct("h")).first()[0]
+    share = max(1, rows // sample)
+    # about every share-th of the different texts, then exactly the first ones by hash
+    drawn = labelled.where(F.pmod("h", F.lit(share)) == 0).dropDuplicates(["h"]).orderBy("h").limit(sample).collect()
+    texts = [(langs.index(r["code"]), sentences(r["text"])) for r in drawn]
+    ends = np.cumsum([len(parts) for _, parts in texts])
     for _ in range(REFITS):
         more = []
-        for own, parts in texts:
-            scores = [model.sentence(p) for p in parts]
-            whole = [sum(s[k] for s in scores) for k in range(len(langs))]
-            if parts and whole[own] == max(whole):  # the label is right; a sentence that is far from it is in another language
-                more.append((langs[own], [p for p, s in zip(parts, scores) if s[own] >= max(s) - FAR]))
+        for (own, parts), scores in zip(texts, np.split(model.scores([p for _, parts in texts for p in parts]), ends[:-1]) if texts else []):
+            whole = scores.sum(axis=0)
+            if parts and whole[own] == whole.max():  # the label is right; a sentence that is far from it is in another language
+                more.append((langs[own], [p for p, s in zip(parts, scores) if s[own] >= s.max() - FAR]))
         model = Model(langs, right + more)
+    apart = Model(langs, more) if more else model  # fitted without the items, whose labels are right
+    model.calibrate(apart.scores([p for _, parts in right for p in parts]), np.array([langs.index(x) for x, parts in right for _ in parts], np.int64))
     return model
 
 
@@ -208,19 +266,21 @@ def language_segments(docs: DataFrame, items: DataFrame, languages: DataFrame, s
     label is missing or not that of the first stretch, and of documents that mix languages. One narrow pass over the texts."""
     model = fit(docs, items, languages, sample)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", label_code(F.col("lang"), languages).alias("code")).where("length(text) > 0")
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.words, model.grams))  # of a sample of bounded size
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.words, model.grams, model.temperature))  # of a sample of bounded size
     kinds = (pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model.__new__(Model)
-        m.langs, m.words, m.grams = shared.value
-        m._cache = {}
+        m.langs, m.words, m.grams, m.temperature = shared.value
+        m._forget()
         for batch in batches:
             out = []
-            for doc, text, code in zip(*(c.to_pylist() for c in batch.columns)):
-                found = m.segments(text)
-                if found and not (only_cases and len(found) == 1 and found[0][0] == code):
-                    out += [(doc, number, *segment) for number, segment in enumerate(found)]
+            docs, texts, codes = (c.to_pylist() for c in batch.columns)
+            for first in range(0, len(docs), 1000):
+                some = slice(first, first + 1000)
+                for doc, code, found in zip(docs[some], codes[some], m.segmented(texts[some])):
+                    if found and not (only_cases and len(found) == 1 and found[0][0] == code):
+                        out += [(doc, number, *segment) for number, segment in enumerate(found)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["doc_id", "segment_no", "lang", "confidence", "sentences"])
 
