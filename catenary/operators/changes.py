@@ -70,7 +70,7 @@ def live_records(versions: DataFrame) -> DataFrame:
 
 
 def live_revisions(versions: DataFrame) -> DataFrame:
-    """source, key, revision, payload_revision of the live records. Payload, hash and deleted are set together, so the small
-    column deleted stands for the payload here, and no payload is read."""
-    marks = _feed(versions).withColumn("payload", F.col("deleted").cast("int"))
+    """source, key, revision, payload_revision of the live records. Whether a version carries a payload is read from the payload
+    itself, but only that is kept of it, so no payload is moved."""
+    marks = _feed(versions).withColumn("payload", F.when(F.col("payload").isNotNull(), 1))
     return apply_changes(marks, ("source", "key"), "revision", ("payload",), "deleted").select("source", "key", "revision", F.col("payload_at").alias("payload_revision"))

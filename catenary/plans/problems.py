@@ -23,7 +23,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_state(spark: SparkSession, folder: str) -> DataFrame:
-    return live_records(table(spark, folder, "record_versions")).selectExpr("source", "key", "revision", "payload_at", "hash", "metadata", "metadata_at")
+    return live_records(table(spark, folder, "record_versions")).selectExpr("source", "key", "revision", "payload", "payload_at", "hash", "metadata", "metadata_at")
 
 
 _KEY = r"lower(regexp_replace(key, '^\s+|\s+$', '', 'g'))"
@@ -75,6 +75,7 @@ gone AS (SELECT source, key, max(revision) AS gone_at FROM v WHERE deleted GROUP
 after AS (SELECT v.* FROM v LEFT JOIN gone USING (source, key) WHERE gone_at IS NULL OR v.revision > gone_at),
 live AS (SELECT source, key, max(revision) AS payload_at FROM after WHERE deleted = false GROUP BY ALL)
 SELECT live.source, live.key, (SELECT max(revision) FROM v WHERE v.source = live.source AND v.key = live.key) AS revision, payload_at,
+  (SELECT max(payload) FROM after a WHERE a.source = live.source AND a.key = live.key AND a.revision = payload_at) AS payload,
   (SELECT max(hash) FROM after a WHERE a.source = live.source AND a.key = live.key AND a.revision = payload_at) AS hash,
   (SELECT max(metadata) FROM after a WHERE a.source = live.source AND a.key = live.key AND a.metadata IS NOT NULL AND a.revision = (
      SELECT max(revision) FROM after b WHERE b.source = live.source AND b.key = live.key AND b.metadata IS NOT NULL)) AS metadata,
