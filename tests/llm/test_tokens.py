@@ -6,28 +6,25 @@ import pytest
 
 pytest.importorskip("public_tokenizers")
 
-from catenary.llm.tokens import default_vocabulary, encode_corpus, encoding, pieces, tree_joined  # noqa: E402
+from catenary.llm.tokens import Tree, default_vocabulary, encode_corpus, encoding  # noqa: E402
 
 
-def whole(text, most):
+def test_any_cut_gives_the_same():
+    r = random.Random(8)
     e = encoding(default_vocabulary())
-    parts = [(w, e.encode_ordinary(p.decode()) if w == 0 else e._encode_single_piece(p)) for w, p in pieces(text, most)]
-    ids, k = [], 0
-    while k < len(parts):
-        end = k + 1
-        while parts[k][0] > 0 and end < len(parts) and parts[end][0] == parts[k][0]:
-            end += 1
-        ids += tree_joined([p for _, p in parts[k:end]], e._encode_single_piece, e.decode_bytes)
-        k = end
-    return ids
+    for _ in range(6000):
+        text = "".join(r.choice(r.choice(["ab", "the ", "aA0 \n", "　あ漢é ", "'s't x  ", "-=_.", "\x1c= \x85a", "🎬\r\n", "12345", "  \t\n"])) for _ in range(r.randint(1, 120)))
+        assert Tree(default_vocabulary(), r.choice([1, 3, 8, 21])).encode(text) == e.encode_ordinary(text)
 
 
-def test_any_cut_gives_the_same():
-    r = random.Random(8)
+def test_long_runs_and_counts():
     e = encoding(default_vocabulary())
-    for _ in range(1500):
-        text = "".join(r.choice(r.choice(["ab", "the ", "aA0 \n", "　あ漢é ", "'s't x  ", "-=_.", "\x1c= \x85a", "🎬\r\n"])) for _ in range(r.randint(1, 120)))
-        assert whole(text, r.choice([3, 8, 21])) == e.encode_ordinary(text)
+    r = random.Random(2)
+    for run in ("a", "ab", " ", "\n", "7", "12", "=", "漢", "'s", "\n  ", " a"):
+        text = (run * 700)[: r.randint(300, 700)] + r.choice(["", " end", "\nend", "  x"])
+        tree = Tree(default_vocabulary(), 37)
+        assert tree.encode(text) == e.encode_ordinary(text)
+        assert tree.counts["joins"] >= 7
 
 
 def test_corpus(spark):
@@ -37,3 +34,5 @@ def test_corpus(spark):
     found = sorted((r.doc_id, list(r.ids)) for r in encode_corpus(df).collect())
     assert found == sorted((i if i != 8 else 3, e.encode_ordinary(t) if t else []) for i, t in enumerate(texts))
     assert encode_corpus(df.limit(0)).count() == 0
+    joins = {r.doc_id: r.joins for r in encode_corpus(df, counts=True).collect()}
+    assert joins[3] == 0 and joins[5] == 7 and joins[6] == 1
