@@ -22,7 +22,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import Cut
 from .groups import contract
@@ -38,6 +40,8 @@ from .groups import contract
 WINDOW = 10
 #: The least confidence of a pair.
 LEAST = 0.5
+#: How far apart numbers of rows of corresponding shows may be, after they are moved.
+NUMBERS_APART = 3
 #: Rows with the same title that may be expected near a date by chance, for a title there to count in full.
 CHANCE = 0.02
 
@@ -82,148 +86,227 @@ def day_of(date: str | None) -> int | None:
         return None
 
 
-_ROW = "id bigint, side int, show string, season bigint, episode bigint, names array<string>, part int, cut boolean, day int, year int, ref string, linked string"
+_ROW = "id bigint, side int, show string, season bigint, episode bigint, names array<string>, sorted array<string>, part int, cut boolean, day int, year int"
 
 
 def prepared(episodes: DataFrame, left: str, right: str) -> DataFrame:
-    """One row for each episode of the two sources, with what the comparison needs."""
+    """One row for each episode of the two sources, with what the comparison needs: its names, also with their words in order."""
     fields = ("source", "order_ref", "reference", "season", "episode", "title", "air_date", "linked_reference")
-    rows = episodes.where(F.col("source").isin(left, right) & F.col("episode_id").isNotNull()).groupBy(F.col("episode_id").cast("bigint").alias("id")).agg(F.max(F.struct(*fields)).alias("r")).select("id", "r.*")
+    rows = episodes.where(F.col("source").isin(left, right) & F.col("episode_id").isNotNull()).groupBy(F.col("episode_id").cast("bigint").alias("id")).agg(F.max(F.struct(*fields)).alias("r"))
+    rows = rows.select("id", "r.source", "r.order_ref", "r.season", "r.episode", "r.title", "r.air_date")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            titles = [title_names(t) for t in batch.column(6).to_pylist()]
-            dates = batch.column(7).to_pylist()
+            titles = [title_names(t) for t in batch.column(5).to_pylist()]
+            dates = batch.column(6).to_pylist()
             years = [int(m.group()) if (m := re.match(r"\s*\d{4}", d or "")) and m.group().strip() != "0000" else None for d in dates]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array([int(s == right) for s in batch.column(1).to_pylist()], pa.int32()), batch.column(2), batch.column(4).cast(pa.int64()), batch.column(5).cast(pa.int64()),
-                    pa.array([t[0] for t in titles], pa.list_(pa.string())), pa.array([t[1] for t in titles], pa.int32()), pa.array([t[2] for t in titles], pa.bool_()),
-                    pa.array([day_of(d) for d in dates], pa.int32()), pa.array(years, pa.int32()), batch.column(3), batch.column(8),
+                    batch.column(0), pa.array([int(s == right) for s in batch.column(1).to_pylist()], pa.int32()), batch.column(2), batch.column(3).cast(pa.int64()), batch.column(4).cast(pa.int64()),
+                    pa.array([t[0] for t in titles], pa.list_(pa.string())), pa.array([[" ".join(sorted(n.split(" "))) for n in t[0]] for t in titles], pa.list_(pa.string())),
+                    pa.array([t[1] for t in titles], pa.int32()), pa.array([t[2] for t in titles], pa.bool_()), pa.array([day_of(d) for d in dates], pa.int32()), pa.array(years, pa.int32()),
                 ],
-                ["id", "side", "show", "season", "episode", "names", "part", "cut", "day", "year", "ref", "linked"],
+                ["id", "side", "show", "season", "episode", "names", "sorted", "part", "cut", "day", "year"],
             )
 
     return rows.mapInArrow(run, _ROW)
 
 
-def neighbours(entries: DataFrame, window: int = WINDOW) -> DataFrame:
+#: What is known of an entry besides its row: the place of its range and its own, what is compared with neighbours.
+_PLACED = (("part", pa.int32()), ("place", pa.int64()), ("count", pa.int64()), ("side", pa.int32()), ("day", pa.int64()), ("most", pa.int64()), ("same", pa.int64()), ("equal", pa.bool_()), ("group", pa.int64()), ("known", pa.int64()), ("id", pa.int64()))
+
+
+class _Entries:
+    """Sorted entries as arrays, with their rows."""
+
+    def __init__(self, batch):
+        column = lambda n, t: pc.fill_null(batch.column(n).cast(t), _NO_DAY if n == "day" else 0 if t != pa.bool_() else False).to_numpy(zero_copy_only=False)
+        self.arrays = {n: column(n, t) for n, t in _PLACED[3:]}
+        row = batch.column("row")
+        self.rows = row.combine_chunks() if isinstance(row, pa.ChunkedArray) else row
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, at: slice) -> _Entries:
+        return _Entries.of({n: x[at] for n, x in self.arrays.items()}, self.rows[at])
+
+    @staticmethod
+    def of(arrays: dict, rows: pa.Array) -> _Entries:
+        new = _Entries.__new__(_Entries)
+        new.arrays, new.rows = arrays, rows
+        return new
+
+    def __add__(self, other: _Entries) -> _Entries:
+        return _Entries.of({n: np.concatenate([x, other.arrays[n]]) for n, x in self.arrays.items()}, pa.concat_arrays([self.rows, other.rows]))
+
+    def pairs(self, window: int, allowed) -> pa.RecordBatch:
+        """Rows of side 0 and side 1 that lie at most ``window`` places apart and are near in day or alike in their first key."""
+        side, day, most, same, equal, group, known, ids = (self.arrays[n] for n in ("side", "day", "most", "same", "equal", "group", "known", "id"))
+        left, right = [], []
+        for k in range(1, min(window, len(self) - 1) + 1):
+            here, there = slice(None, -k), slice(k, None)
+            near = (np.abs(day[there] - day[here]) <= most[here]) | (day[there] == _NO_DAY) | (day[here] == _NO_DAY) | (equal[here] & (same[there] == same[here]))
+            new = (group[there] == group[here]) & ((known[there] != known[here]) | (known[here] == 0))
+            i = np.flatnonzero((side[there] != side[here]) & near & new & (ids[there] != ids[here]) & allowed(k))
+            left.append(np.where(side[i] == 0, i, i + k))
+            right.append(np.where(side[i] == 0, i + k, i))
+        a, b = (pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (left, right))
+        return pa.RecordBatch.from_arrays([self.rows.take(a), self.rows.take(b), *[pa.nulls(len(a), t) for _, t in _PLACED]], ["l", "r", *[n for n, _ in _PLACED]])
+
+
+def neighbours(entries: DataFrame, window: int = WINDOW, compare: list[Column] | None = None) -> DataFrame:
     """a, b: ids of side 0 and side 1 that lie at most ``window`` places apart when ``entries`` (id, side, day, and the sort
-    columns k1, k2, k3) are sorted; only pairs whose days are at most 8 apart or not both known, or that agree in k1."""
-    entries = entries.select("k1", "k2", "k3", "id", "side", F.col("day").cast("int").alias("day"), F.xxhash64("k1").alias("same"))
-
-    def pairs(ids: np.ndarray, side: np.ndarray, day: np.ndarray, same: np.ndarray, allowed) -> list[np.ndarray]:
-        out = []
-        for k in range(1, min(window, len(ids) - 1) + 1):
-            near = (np.abs(day[k:] - day[:-k]) <= 8) | (day[k:] == _NO_DAY) | (day[:-k] == _NO_DAY) | (same[k:] == same[:-k])
-            ok = (side[k:] != side[:-k]) & near & (ids[k:] != ids[:-k]) & allowed(k)
-            i = np.flatnonzero(ok)
-            out.append(np.stack([np.where(side[i] == 0, ids[i], ids[i + k]), np.where(side[i] == 0, ids[i + k], ids[i])]))
-        return out
-
-    def emit(found: list[np.ndarray]) -> pa.RecordBatch:
-        both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        n = both.shape[1]
-        return pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64()), *[pa.nulls(n, t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())]], _NAMES)
+    columns k1, k2, k3) are sorted; only pairs whose days are at most ``most`` (8) apart or not both known, or, where ``equal`` (true),
+    that agree in k1.
+
+    Only entries of one ``group`` are compared; two with equal ``known`` (not 0) are left out, as another order puts them together.
+    With ``compare`` these columns, of pairs of rows (structs l and r, of the entries' column ``row``), so that no pair need be joined
+    with its rows again; a pair comes as often as orders put it together.
+    Rows at the borders of ranges are compared once more, border by border, in parallel; only the ranges' sizes come to the driver.
+    """
+    has = set(entries.columns)
+    entries = entries.select(
+        "k1", "k2", "k3", F.col("id").cast("bigint").alias("id"), F.col("side").cast("int").alias("side"), F.col("day").cast("bigint").alias("day"), (F.col("most") if "most" in has else F.lit(8)).cast("bigint").alias("most"),
+        F.xxhash64("k1").alias("same"), (F.col("equal") if "equal" in has else F.lit(True)).alias("equal"),
+        (F.col("group") if "group" in has else F.lit(0)).cast("bigint").alias("group"), (F.col("known") if "known" in has else F.lit(0)).cast("bigint").alias("known"), F.col("row") if "row" in has else F.struct("id").alias("row"),
+    )
+    once, compare = compare is None, compare or [F.col("l.id").alias("a"), F.col("r.id").alias("b")]
+    kind = entries.schema["row"].dataType.simpleString()
+    placed = ", ".join(f"{n} {'int' if t == pa.int32() else 'boolean' if t == pa.bool_() else 'bigint'}" for n, t in _PLACED)
+    schema = f"l {kind}, r {kind}, {placed}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)]
-        first, last, done = [], held, 0
+        held, first, done = None, None, 0
         for batch in batches:
-            new = [batch.column(3).to_numpy(), batch.column(4).to_numpy(), pc.fill_null(batch.column(5).cast(pa.int64()), _NO_DAY).to_numpy(), batch.column(6).to_numpy()]
-            whole = [np.concatenate(x) for x in zip(held, new)]
-            old = len(held[0])
-            yield emit(pairs(*whole, lambda k, n=len(whole[0]), old=old: np.arange(k, n) >= old))  # the held rows met each other before
+            if not batch.num_rows:
+                continue
+            new = _Entries(batch)
+            whole, old = (new, 0) if held is None else (held + new, len(held))
+            yield whole.pairs(window, lambda k, n=len(whole), old=old: np.arange(k, n) >= old)  # the held rows met each other before
             if done < window:
-                first.append([x[: window - done] for x in new])
-            done += len(new[0])
-            held = [x[-window:] for x in whole]
-        last = held
+                first = new[: window - done] if first is None else first + new[: window - done]
+            done += len(new)
+            held = whole[max(0, len(whole) - window) :]
         if done:  # the rows near the range's borders
-            head = [np.concatenate(x) for x in zip(*first)]
-            n, m = len(head[0]), len(last[0])
-            place = np.concatenate([np.arange(n), np.arange(done - m, done)])
+            border = first + held
+            place = np.concatenate([np.arange(len(first)), np.arange(done - len(held), done)])
             keep = np.unique(place, return_index=True)[1]
-            number = TaskContext.get().partitionId()
-            columns = [np.concatenate([h, x])[keep] for h, x in zip(head, last)]
-            size = len(keep)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.nulls(size, pa.int64()), pa.array(np.full(size, number), pa.int32()), pa.array(place[keep], pa.int64()), pa.array(np.full(size, done), pa.int64()), pa.array(columns[1], pa.int32()), pa.array(np.where(columns[2] == _NO_DAY, -1, columns[2]), pa.int32(), mask=columns[2] == _NO_DAY), pa.array(columns[3], pa.int64())],
-                _NAMES,
-            )
+            border, n = _Entries.of({c: x[keep] for c, x in border.arrays.items()}, border.rows.take(pa.array(keep))), len(keep)
+            own = {"part": np.full(n, TaskContext.get().partitionId()), "place": place[keep], "count": np.full(n, done)} | border.arrays
+            yield pa.RecordBatch.from_arrays([border.rows, border.rows.take(pa.nulls(n, pa.int64())), *[pa.array(own[c], t) for c, t in _PLACED]], ["l", "r", *[c for c, _ in _PLACED]])
+
+    columns = entries.select(F.col("row").alias("l"), F.col("row").alias("r")).select(*compare).columns
+    out = entries.repartitionByRange("k1", "k2", "k3", "id").sortWithinPartitions("k1", "k2", "k3", "id").mapInArrow(run, schema)
+    names = [n for n, _ in _PLACED]
+    # pairs are compared before they are written; border rows, which are no pairs yet, stay beside them
+    found = Cut(out.select(*[F.when(F.col("part").isNull(), c).alias(n) for n, c in zip(columns, compare)], F.when(F.col("part").isNotNull(), F.col("l")).alias("__row"), *names), "neighbours").df
+    border = found.where("part IS NOT NULL")
+    sizes = sorted((r[0], r[1]) for r in border.groupBy("part").agg(F.max("count")).collect())
+    pairs = found.where("part IS NULL").select(*columns)
+    if len(sizes) < 2:
+        return pairs.distinct() if once else pairs
+    parts, begins = np.array([p for p, _ in sizes]), np.concatenate([[0], np.cumsum([n for _, n in sizes])[:-1]])
+
+    def to_borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each border row once for every border it lies at: that before its own range, and those after it within the window."""
+        for batch in batches:
+            part, place = batch.column("part").to_numpy(), batch.column("place").to_numpy()
+            own = np.searchsorted(parts, part)
+            at = begins[own] + place
+            take, group = [], []
+            for i in range(batch.num_rows):
+                if place[i] < window and own[i]:
+                    take.append(i)
+                    group.append(own[i])
+                g = own[i] + 1
+                while g < len(parts) and begins[g] - at[i] <= window:
+                    take.append(i)
+                    group.append(g)
+                    g += 1
+            some = batch.take(pa.array(take, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(group, pa.int32()), pa.array(at[take] if take else np.zeros(0, np.int64), pa.int64()), *some.columns], ["border", "at", *some.schema.names])
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-        if rows is None or not rows.num_rows:
-            return
-        part, place, count = (rows.column(c).to_numpy() for c in ("part", "place", "count"))
-        ids, side, day = rows.column("a").to_numpy(), rows.column("side").to_numpy(), pc.fill_null(rows.column("day").cast(pa.int64()), _NO_DAY).to_numpy()
-        known, index = np.unique(part, return_index=True)
-        base = np.concatenate([[0], np.cumsum(count[index])])[:-1]
-        place = place + base[np.searchsorted(known, part)]
-        order = np.argsort(place, kind="stable")
-        place, part = place[order], part[order]
-        yield emit(pairs(ids[order], side[order], day[order], rows.column("same").to_numpy()[order], lambda k: (part[k:] != part[:-k]) & (place[k:] - place[:-k] <= window)))
-
-    schema = "a bigint, b bigint, part int, place bigint, count bigint, side int, day int, same bigint"
-    found = Cut(entries.repartitionByRange("k1", "k2", "k3", "id").sortWithinPartitions("k1", "k2", "k3", "id").mapInArrow(run, schema), "neighbours").df
-    # at most 2 * window rows of each range
-    border = found.where("part IS NOT NULL").coalesce(1).sortWithinPartitions("part", "place").mapInArrow(across, schema)
-    return found.where("part IS NULL").select("a", "b").unionByName(border.select("a", "b")).distinct()
+        held: pa.Table | None = None
+        for batch in [*batches, None]:
+            table = held if batch is None else pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if table is None or not table.num_rows:
+                continue
+            border = table.column("border").to_numpy()
+            end = len(border) if batch is None else int(np.searchsorted(border, border[-1]))  # the last border may go on
+            done, held = table.slice(0, end), table.slice(end)
+            if done.num_rows:
+                border, at, part = (done.column(c).to_numpy() for c in ("border", "at", "part"))
+                entries = _Entries(done)
+                own = np.searchsorted(parts, part)
+                yield entries.pairs(2 * window, lambda k, n=len(at), at=at, border=border, own=own: (border[k:] == border[: n - k]) & (own[k:] == border[k:]) & (own[: n - k] < border[k:]) & (at[k:] - at[: n - k] <= window))
+
+    row = found.select(F.col("__row").alias("row"), *names).where("part IS NOT NULL")
+    spread = row.mapInArrow(to_borders, f"border int, at bigint, row {kind}, {placed}")
+    more = spread.repartition("border").sortWithinPartitions("border", "at").mapInArrow(across, schema)
+    pairs = pairs.unionByName(more.select(*compare))
+    return pairs.distinct() if once else pairs
 
 
 _NO_DAY = -(1 << 40)
-_NAMES = ["a", "b", "part", "place", "count", "side", "day", "same"]
 
 
-def _likeness(x: Column, y: Column) -> Column:
+def _likeness(x: Column, y: Column, xs: Column, ys: Column) -> Column:
     """Similarity of two names: by single letters, with words in either order."""
     longest = F.greatest(F.length(x), F.length(y), F.lit(1))
-    in_order = F.array_join(F.array_sort(F.split(x, " ")), " ")
-    other = F.array_join(F.array_sort(F.split(y, " ")), " ")
-    return F.greatest(1 - F.levenshtein(x, y) / longest, 1 - F.levenshtein(in_order, other) / longest)
+    return F.when(xs == ys, 1.0).otherwise(1 - F.least(F.levenshtein(x, y), F.levenshtein(xs, ys)) / longest)
 
 
-def _title_similarity(x: Column, y: Column, cut: Column) -> Column:
+def _title_similarity(a: str, b: str) -> Column:
     """Of the best pair of names; of a title that is cut short the beginning counts. Null if a side has none, or if the two are in
-    scripts that cannot be compared."""
-    best = F.array_max(F.transform(x, lambda p: F.array_max(F.transform(y, lambda q: F.when(cut & (F.least(F.length(p), F.length(q)) >= 4), F.greatest(_likeness(p, q), 0.95 - F.levenshtein(F.substring(p, F.lit(1), F.least(F.length(p), F.length(q))), F.substring(q, F.lit(1), F.least(F.length(p), F.length(q)))) / F.least(F.length(p), F.length(q)))).otherwise(_likeness(p, q))))))
-    latin = lambda c: F.element_at(c, 1).rlike("[a-z]")
+    scripts that cannot be compared. Most titles give one name: these are compared without a loop over names."""
+    x, y, xs, ys, cut = F.col(f"{a}.names"), F.col(f"{b}.names"), F.col(f"{a}.sorted"), F.col(f"{b}.sorted"), F.col(f"{a}.cut") | F.col(f"{b}.cut")
+
+    def alike(p: Column, q: Column, ps: Column, qs: Column) -> Column:
+        short = F.least(F.length(p), F.length(q))
+        begun = 0.95 - F.levenshtein(F.substring(p, F.lit(1), short), F.substring(q, F.lit(1), short)) / short
+        return F.when(cut & (short >= 4), F.greatest(_likeness(p, q, ps, qs), begun)).otherwise(_likeness(p, q, ps, qs))
+
+    pair = lambda n, s: F.arrays_zip(n.alias("n"), s.alias("s"))
+    all_names = F.array_max(F.transform(pair(x, xs), lambda p: F.array_max(F.transform(pair(y, ys), lambda q: alike(p["n"], q["n"], p["s"], q["s"])))))
+    one = lambda c: F.element_at(c, 1)
+    best = F.when((F.size(x) == 1) & (F.size(y) == 1), alike(one(x), one(y), one(xs), one(ys))).otherwise(all_names)
+    latin = lambda c: one(c).rlike("[a-z]")
     return F.when((F.size(x) > 0) & (F.size(y) > 0) & (latin(x) == latin(y)), best)
 
 
-def _compared(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Both rows of each pair, and the similarity of their titles."""
-    side = lambda p: rows.select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "show", "season", "episode", "names", "part", "cut", "day", "year", "ref", "linked")])
-    both = pairs.join(side("a"), F.col("a") == F.col("a_id")).join(side("b"), F.col("b") == F.col("b_id")).drop("a_id", "b_id")
-    return both.select(
-        "a", "b", "a_show", "b_show", "a_season", "b_season", "a_episode", "b_episode", "a_part", "b_part", "a_year", "b_year",
-        _title_similarity(F.col("a_names"), F.col("b_names"), F.col("a_cut") | F.col("b_cut")).alias("title"),
-        F.greatest(F.size("a_names"), F.lit(0)).alias("a_n"), F.greatest(F.size("b_names"), F.lit(0)).alias("b_n"),
-        F.element_at("a_names", F.when(F.size("a_names") > 0, 1)).alias("name"),
-        (F.col("b_day") - F.col("a_day")).alias("shift"),
-        (F.col("a_linked") == F.col("b_ref")).alias("linked"),
-    )
+def _comparison(*more: str) -> list[Column]:
+    """What is kept of a pair of rows: numbers, and ``more`` of its row of side 0 (l) or 1 (r)."""
+    a, b = (lambda n: F.col(f"l.{n}")), (lambda n: F.col(f"r.{n}"))
+    return [
+        a("id").alias("a"), b("id").alias("b"), a("season").alias("a_season"), b("season").alias("b_season"), a("episode").alias("a_episode"), b("episode").alias("b_episode"),
+        a("part").alias("a_part"), b("part").alias("b_part"), a("year").alias("a_year"), b("year").alias("b_year"), (b("day") - a("day")).cast("bigint").alias("shift"),
+        _title_similarity("l", "r").alias("title"), *[F.expr(m) for m in more],
+    ]
 
 
-def _rivals(rows: DataFrame, named: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """What adds the column rivals to compared pairs: how many other rows of one catalog with the pair's title (and season and
-    episode, if these agree) are to be expected by chance in the days that its dates are apart. Null without title or dates."""
-    days = rows.where("day IS NOT NULL").groupBy("side", "day").agg(F.count("*").alias("n")).groupBy("side").agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("n") - 1)).alias("pairs"))
-    same_day = days.where("n > 1").agg(F.max(F.col("pairs") / (F.col("n") * (F.col("n") - 1)))).first()[0] or 0.0  # the chance that two rows have one date
-    numbered = named.where("day IS NOT NULL").groupBy("name", "side", "season", "episode").agg(F.count("*").alias("n"))
-    of_name = numbered.groupBy("name", "side").agg(F.sum("n").alias("n")).groupBy("name").agg(F.max("n").alias("of_name"))
-    of_number = numbered.where("season IS NOT NULL AND episode IS NOT NULL").groupBy("name", F.col("season").alias("a_season"), F.col("episode").alias("a_episode")).agg(F.max("n").alias("of_number"))
+def _rivals(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Compared pairs with the column rivals: how many other rows of one catalog with the pair's title (and season and episode, if
+    these agree) are to be expected by chance in the days that its dates are apart. Null without title or dates."""
+    dated = rows.where("day IS NOT NULL")
+    days = dated.groupBy("side", "day").agg(F.count("*").alias("n")).groupBy("side").agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("n") - 1)).alias("pairs"))
+    same_day = max((r["pairs"] / (r["n"] * (r["n"] - 1)) for r in days.collect() if r["n"] > 1), default=0.0)  # the chance that two rows have one date
+    number = [F.coalesce(c, F.lit(-1)).alias(f"__{c}") for c in ("season", "episode")]
+    counts = dated.select(F.explode("names").alias("name"), "side", *number).groupBy("name", "__season", "__episode").agg(F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1"))
+    # a name has few numbers beside its rows; its sums run over these
+    of_name = Window.partitionBy("name")
+    counts = Cut(counts.select("name", "__season", "__episode", F.greatest("n0", "n1").alias("of_number"), F.greatest(F.sum("n0").over(of_name), F.sum("n1").over(of_name)).alias("of_name")), "names").df
     near = F.least(F.lit(1.0), (2 * F.least(F.abs("shift"), F.lit(8)) + 1) * F.lit(float(same_day)))
-    others = F.when((F.col("a_season") == F.col("b_season")) & (F.col("a_episode") == F.col("b_episode")), F.coalesce("of_number", "of_name")).otherwise(F.col("of_name")) - 1
-    return lambda pairs: pairs.join(of_name, "name", "left").join(of_number, ["name", "a_season", "a_episode"], "left").withColumn("rivals", others * near).drop("of_name", "of_number")
+    others = F.when((F.col("a_season") == F.col("b_season")) & (F.col("a_episode") == F.col("b_episode")), F.col("of_number")).otherwise(F.col("of_name")) - 1
+    found = pairs.withColumn("__season", F.coalesce("a_season", F.lit(-1))).withColumn("__episode", F.coalesce("a_episode", F.lit(-1)))
+    return found.join(counts, ["name", "__season", "__episode"], "left").withColumn("rivals", F.when(F.col("shift").isNotNull(), others * near)).drop("of_name", "of_number", "__season", "__episode")
 
 
 def _assigned(scored: DataFrame) -> DataFrame:
     """Of pairs a, b, confidence those that give each id at most one partner at the greatest sum."""
-    scored = Cut(scored, "scored").df
-    degree = lambda k: scored.groupBy(k).agg(F.count("*").alias(f"{k}_n"))
-    counted = Cut(scored.join(degree("a"), "a").join(degree("b"), "b"), "degrees").df
+    degree = lambda k: F.count("*").over(Window.partitionBy(k))  # noqa: E731 (an episode has a bounded number of pairs: those of its windows)
+    counted = Cut(scored.withColumn("a_n", degree("a")).withColumn("b_n", degree("b")), "scored").df
     alone = counted.where("a_n = 1 AND b_n = 1").select("a", "b", "confidence")
     rest = counted.where("a_n > 1 OR b_n > 1").select("a", "b", "confidence")
     edges = rest.select((F.col("a") * 2).alias("a"), (F.col("b") * 2 + 1).alias("b"))
@@ -301,65 +384,85 @@ def best_assignment(pairs: list[tuple[int, int, float]]) -> list[tuple[int, int,
     return [(a, b, weight[a, b]) for b, a in sorted(mate.items())]
 
 
-def match_episodes(episodes: DataFrame, left: str = "org.themoviedb", right: str = "com.thetvdb", window: int = WINDOW, least: float = LEAST) -> DataFrame:
-    """a, b (episode ids of the left and the right source) and their confidence."""
-    rows = Cut(prepared(episodes, left, right), "episodes").df
-    named = rows.select("*", F.explode("names").alias("name"))
-    orders = [
-        (F.col("name"), F.col("day")),
-        (F.reverse("name"), F.col("day")),
-        (F.regexp_replace("name", "[aeiou ]", ""), F.col("day")),
-    ]
-    found = None
-    for k1, k2 in orders:
-        more = neighbours(named.select(k1.alias("k1"), k2.cast("string").alias("k2"), F.lit("").alias("k3"), "id", "side", "day"), window)
-        found = more if found is None else found.unionByName(more)
-    explicit = rows.where("side = 0 AND linked IS NOT NULL").alias("x").join(rows.where("side = 1").alias("y"), F.col("x.linked") == F.col("y.ref")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    first = Cut(_compared(found.unionByName(explicit).distinct(), rows).where("title >= 0.5 OR linked"), "first").df
-
-    # which shows correspond
-    rivals = _rivals(rows, named)
-    sure = rivals(first.where("title >= 0.8 AND shift IS NOT NULL AND (a_part IS NULL OR b_part IS NULL OR a_part = b_part)"))
+def _links(first: DataFrame) -> DataFrame:
+    """a_show, b_show, link: shows that have more titles in common with each other than with any other show."""
+    sure = first.where("title >= 0.8 AND shift IS NOT NULL AND (a_part IS NULL OR b_part IS NULL OR a_part = b_part)")
     vote = F.when(F.col("rivals") <= CHANCE, 1.0).when(F.col("rivals") < 1, F.log("rivals") / float(np.log(CHANCE))).otherwise(0.0)
     by_shift = sure.groupBy("a_show", "b_show", F.when(F.abs("shift") > 8, F.col("shift")).alias("far")).agg(F.sum(vote).alias("votes"))
     # dates far apart count only if several titles agree in the distance
     votes = by_shift.where("far IS NULL OR votes >= 3").groupBy("a_show", "b_show").agg(F.max("votes").alias("votes"))
-    votes = votes.join(votes.groupBy("a_show").agg(F.max("votes").alias("a_best")), "a_show").join(votes.groupBy("b_show").agg(F.max("votes").alias("b_best")), "b_show")
-    links = votes.where("votes = a_best AND votes = b_best AND votes >= 1").groupBy("a_show").agg(F.max("b_show").alias("b_show")).groupBy("b_show").agg(F.max("a_show").alias("a_show"))
-    links = Cut(links.withColumn("link", F.monotonically_increasing_id()), "shows").df
-    known = first.where("title >= 0.8 AND (a_part IS NULL OR b_part IS NULL OR a_part = b_part)").join(links, ["a_show", "b_show"])
-    dates = known.where("shift IS NOT NULL").groupBy("link", "a_season", "shift").agg(F.count("*").alias("n"))
-    in_season, in_show = dates.groupBy("link", "a_season").agg(F.sum("n").alias("season_n")), dates.groupBy("link").agg(F.sum("n").alias("show_n"))
-    of_show = dates.groupBy("link", "shift").agg(F.sum("n").alias("of_show"))
+    place = lambda k, other: F.row_number().over(Window.partitionBy(k).orderBy(F.desc("votes"), F.desc(other)))
+    best = votes.where("votes >= 1").withColumn("a_place", place("a_show", "b_show")).withColumn("b_place", place("b_show", "a_show"))
+    return best.where("a_place = 1 AND b_place = 1").select("a_show", "b_show", F.xxhash64("a_show", "b_show").alias("link"))
+
+
+def _habits(known: DataFrame) -> DataFrame:
+    """How corresponding shows differ in dates and numbers, as rows of four kinds: ``date`` (of a season) and ``show_date`` shifts and
+    ``number`` steps with their shares, and ``move``: the usual ones. All of it is counted by link, season, shift and step first,
+    so that only these counts are brought together by link."""
+    keys = ["link", "a_season", "b_season", "shift", "step"]
+    counts = known.withColumn("step", F.col("b_episode") - F.col("a_episode")).groupBy(*keys).agg(F.count("*").alias("n")).repartition("link")
+    over = lambda *k: Window.partitionBy("link", *k)
+    dated = F.when(F.col("shift").isNotNull(), F.col("n"))
+    rows = counts.select("*", F.sum(dated).over(over("a_season")).alias("season_n"), F.sum(dated).over(over()).alias("show_n"), F.sum(dated).over(over("a_season", "shift")).alias("of_season"), F.sum(dated).over(over("shift")).alias("of_show"))
     # a distance that is seen once or twice proves nothing but itself
-    dates = Cut(dates.join(in_season, ["link", "a_season"]).where("abs(shift) <= 1 OR n >= 3").select("link", "a_season", "shift", (F.col("n") / F.col("season_n")).alias("season_share")), "dates").df
-    show_dates = Cut(of_show.join(in_show, "link").where("abs(shift) <= 1 OR of_show >= 3").select("link", "shift", (F.col("of_show") / F.col("show_n")).alias("show_share")), "dates").df
-    usual = known.join(show_dates, ["link", "shift"], "left").where("abs(shift) <= 8 OR show_share >= 0.2")
-    numbers = usual.where("a_episode IS NOT NULL AND b_episode IS NOT NULL").groupBy("link", "a_season", "b_season", (F.col("b_episode") - F.col("a_episode")).alias("step")).agg(F.count("*").alias("n"))
-    sums = numbers.groupBy("link", "a_season").agg(F.sum("n").alias("total"))
-    numbers = Cut(numbers.join(sums, ["link", "a_season"]).select("link", "a_season", "b_season", "step", (F.col("n") / F.col("total")).alias("number_share")), "numbers").df
+    often = lambda n: (F.abs("shift") <= 1) | (F.col(n) >= 3)
+    rows = rows.withColumn("season_share", F.when(often("of_season"), F.col("of_season") / F.col("season_n"))).withColumn("show_share", F.when(often("of_show"), F.col("of_show") / F.col("show_n")))
+    numbered = rows.where("step IS NOT NULL AND (abs(shift) <= 8 OR show_share >= 0.2)").groupBy("link", "a_season", "b_season", "step").agg(F.sum("n").alias("n"))
+    numbered = numbered.withColumn("share", F.col("n") / F.sum("n").over(over("a_season")))
+    made = lambda d, kind, **c: d.select("link", F.lit(kind).alias("kind"), *[c.get(n, F.lit(None)).cast(t).alias(n) for n, t in (("a_season", "bigint"), ("b_season", "bigint"), ("shift", "bigint"), ("step", "bigint"), ("share", "double"))])
+    parts = [
+        made(rows.where("season_share IS NOT NULL").groupBy("link", "a_season", "shift").agg(F.max("season_share").alias("share")), "date", a_season=F.col("a_season"), shift=F.col("shift"), share=F.col("share")),
+        made(rows.where("show_share IS NOT NULL").groupBy("link", "shift").agg(F.max("show_share").alias("share")), "show_date", shift=F.col("shift"), share=F.col("share")),
+        made(numbered, "number", a_season=F.col("a_season"), b_season=F.col("b_season"), step=F.col("step"), share=F.col("share")),
+        made(rows.where("season_share IS NOT NULL").groupBy("link", "a_season").agg(F.max_by("shift", F.struct("season_share", -F.abs("shift"))).alias("shift")), "season_move", a_season=F.col("a_season"), shift=F.col("shift")),
+        made(rows.where("show_share IS NOT NULL").groupBy("link").agg(F.max_by("shift", F.struct("show_share", -F.abs("shift"))).alias("shift")), "show_move", shift=F.col("shift")),
+        made(numbered.groupBy("link", "a_season").agg(F.max(F.struct("share", "b_season", "step")).alias("to")), "to", a_season=F.col("a_season"), b_season=F.col("to.b_season"), step=F.col("to.step")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def match_episodes(episodes: DataFrame, left: str = "org.themoviedb", right: str = "com.thetvdb", window: int = WINDOW, least: float = LEAST) -> DataFrame:
+    """a, b (episode ids of the left and the right source) and their confidence."""
+    rows = Cut(prepared(episodes, left, right), "episodes").df
+    row, name = F.struct(*rows.columns).alias("row"), F.col("name")
+    # rows of one name lie beside each other in every order, so that the first one finds their pairs
+    order = lambda n, k: F.struct(F.concat(F.lit(f"{n}|"), k).alias("k1"), F.lit(n).alias("group"), (F.xxhash64(name) if n else F.lit(0)).alias("known"))
+    orders = F.array(order(0, name), order(1, F.reverse(name)), order(2, F.regexp_replace(name, "[aeiou ]", "")))
+    entries = rows.select("id", "side", "day", row, F.explode("names").alias("name")).select("id", "side", "day", "row", F.explode(orders).alias("x")).select("id", "side", "day", "row", "x.*")
+    compared = _comparison("l.show AS a_show", "r.show AS b_show", "CASE WHEN size(l.names) > 0 THEN l.names[0] END AS name")
+    found = neighbours(entries.withColumn("k2", F.col("day").cast("string")).withColumn("k3", F.lit("")), window, compared)
+    first = Cut(_rivals(rows, found.where("title >= 0.5").dropDuplicates(["a", "b"])), "first").df
+
+    links = Cut(_links(first), "shows").df
+    known = first.where("title >= 0.8 AND (a_part IS NULL OR b_part IS NULL OR a_part = b_part)").join(links, ["a_show", "b_show"])
+    habits = Cut(_habits(known), "habits").df
+    habit = lambda kind, *c: habits.where(F.col("kind") == kind).select("link", *c)
+    dates, show_dates = habit("date", "a_season", "shift", F.col("share").alias("season_share")), habit("show_date", "shift", F.col("share").alias("show_share"))
+    numbers = habit("number", "a_season", "b_season", "step", F.col("share").alias("number_share"))
+    show_move = habit("show_move", F.col("shift").alias("show_move"))
 
     # rows of corresponding shows, side 0 moved to where side 1 has them
-    best = lambda d, keys, share, name: d.groupBy(*keys).agg(F.max_by("shift", F.struct(share, -F.abs("shift"))).alias(name))
-    shift, show_shift = best(dates, ("link", "a_season"), "season_share", "season_move"), best(show_dates, ("link",), "show_share", "show_move")
-    step = numbers.groupBy("link", "a_season").agg(F.max_by(F.struct("b_season", "step"), F.struct("number_share", "b_season", "step")).alias("to"))
-    one = rows.where("side = 0").join(links.select(F.col("a_show").alias("show"), "link"), "show").withColumn("a_season", F.col("season")).join(shift, ["link", "a_season"], "left").join(show_shift, "link", "left").join(step, ["link", "a_season"], "left")
-    one = one.select("link", "id", "side", "names", (F.col("day") + F.coalesce("season_move", "show_move", F.lit(0))).alias("at"), F.coalesce("to.b_season", "season").alias("s"), (F.col("episode") + F.coalesce("to.step", F.lit(0))).alias("e"))
-    two = rows.where("side = 1").join(links.select(F.col("b_show").alias("show"), "link"), "show").select("link", "id", "side", "names", F.col("day").alias("at"), F.col("season").alias("s"), F.col("episode").alias("e"))
-    placed = Cut(one.unionByName(two), "placed").df
+    one = rows.where("side = 0").select(F.col("show").alias("a_show"), F.col("season").alias("a_season"), row).join(links.select("a_show", "link"), "a_show")
+    one = one.join(habit("season_move", "a_season", F.col("shift").alias("season_move")), ["link", "a_season"], "left").join(show_move, "link", "left").join(habit("to", "a_season", F.col("b_season").alias("to_season"), F.col("step").alias("to_step")), ["link", "a_season"], "left")
+    one = one.select("link", F.col("row").withField("link", F.col("link")).alias("row"), (F.col("row.day") + F.coalesce("season_move", "show_move", F.lit(0))).alias("at"), F.coalesce("to_season", "row.season").alias("s"), (F.col("row.episode") + F.coalesce("to_step", F.lit(0))).alias("e"))
+    two = rows.where("side = 1").select(F.col("show").alias("b_show"), row).join(links.select("b_show", "link"), "b_show").select("link", F.col("row").withField("link", F.col("link")).alias("row"), F.col("row.day").alias("at"), F.col("row.season").alias("s"), F.col("row.episode").alias("e"))
     pad = lambda c: F.format_string("%012d", F.coalesce(c, F.lit(0)).cast("bigint") + 500_000_000)
-    link = F.concat(F.hex(F.col("link")), F.lit("|"))
-    by_place = [
-        placed.where("at IS NOT NULL").select(F.concat(link, pad(F.col("at"))).alias("k1"), pad(F.col("s")).alias("k2"), pad(F.col("e")).alias("k3"), "id", "side", F.col("at").alias("day")),
-        placed.where("e IS NOT NULL").select(F.concat(link, pad(F.col("s"))).alias("k1"), pad(F.col("e")).alias("k2"), F.lit("").alias("k3"), "id", "side", F.col("at").alias("day")),
-        placed.select("link", "id", "side", "at", F.explode("names").alias("name")).select(F.concat(link, F.col("name")).alias("k1"), pad(F.col("at")).alias("k2"), F.lit("").alias("k3"), "id", "side", F.col("at").alias("day")),
-    ]
-    more = first.select("a", "b")
-    for entries in by_place:
-        more = more.unionByName(neighbours(entries, window))
-    pairs = _compared(more.distinct(), rows).join(links, ["a_show", "b_show"], "left").withColumn("step", F.col("b_episode") - F.col("a_episode"))
-    pairs = pairs.join(dates, ["link", "a_season", "shift"], "left").join(show_dates, ["link", "shift"], "left").join(show_shift, "link", "left").withColumn("date_share", F.greatest("season_share", "show_share")).join(numbers, ["link", "a_season", "b_season", "step"], "left")
-    return _assigned(rivals(pairs).select("a", "b", confidence().alias("confidence")).where(F.col("confidence") >= least))
+    link = lambda p: F.concat(F.lit(p), F.hex("link"), F.lit("|"))
+    # by date, by number (those nearby), and by each name
+    entry = lambda k1, k2, k3, near, most, equal: F.struct(k1.alias("k1"), k2.alias("k2"), k3.alias("k3"), near.cast("bigint").alias("day"), F.lit(most).alias("most"), F.lit(equal).alias("equal"))
+    at, s, e = F.col("at"), F.col("s"), F.col("e")
+    by_place = F.concat(
+        F.array(F.when(at.isNotNull(), entry(F.concat(link("d|"), pad(at)), pad(s), pad(e), at, 8, True)), F.when(e.isNotNull(), entry(F.concat(link("e|"), pad(s)), pad(e), F.lit(""), e, NUMBERS_APART, False))),
+        F.transform("row.names", lambda n: entry(F.concat(link("n|"), n), pad(at), F.lit(""), at, 8, True)),
+    )
+    placed = one.unionByName(two).select(F.col("row.id").alias("id"), F.col("row.side").alias("side"), "row", F.col("link").alias("group"), F.explode(F.filter(by_place, lambda x: x.isNotNull())).alias("x")).select("id", "side", "row", "group", "x.*")
+    more = neighbours(placed, window, _comparison("l.link")).withColumn("rivals", F.lit(None).cast("double"))
+    # all columns are numbers that follow from a and b, so that repeats fold by hash
+    pairs = first.join(links, ["a_show", "b_show"], "left").select(*more.columns).unionByName(more).repartition("a").groupBy("a", "b").agg(*[F.max(c).alias(c) for c in more.columns if c not in ("a", "b")])
+    pairs = pairs.withColumn("step", F.col("b_episode") - F.col("a_episode"))
+    pairs = pairs.join(dates, ["link", "a_season", "shift"], "left").join(show_dates, ["link", "shift"], "left").join(show_move, "link", "left").withColumn("date_share", F.greatest("season_share", "show_share")).join(numbers, ["link", "a_season", "b_season", "step"], "left")
+    return _assigned(pairs.select("a", "b", confidence().alias("confidence")).where(F.col("confidence") >= least))
 
 
 def confidence() -> Column:
@@ -388,4 +491,4 @@ def confidence() -> Column:
     without = F.when((date == 1) & (number > 0), 0.4 + 0.25 * number).when((date >= 0.5) & (number == 1), 0.45 + 0.1 * date).when((date == 1) & special, 0.51).when(date == 1, 0.5).otherwise(0.0)
     lone = F.when((title >= 0.85) & (date >= 0.7) & (F.col("rivals") <= CHANCE), 0.5 + 0.2 * date + 0.1 * number).otherwise(0.0)
     score = F.when(parts, 0.0).when(linked & title.isNotNull(), with_title).when(linked, without).otherwise(F.coalesce(lone, F.lit(0.0)))
-    return F.when(F.coalesce(F.col("linked"), F.lit(False)) & ~parts & (F.coalesce(title, F.lit(0.5)) >= 0.4), F.greatest(score, F.lit(0.9))).otherwise(score)
+    return score
