@@ -47,7 +47,8 @@ CHANCE = 0.02
 
 _ARTICLES = {"a", "an", "the"}
 _NUMBERED = re.compile(r"^(?:episode|ep\.?|folge|#|tba)\s*(\d+)\s*(?:[:.\-–]\s*|$)", re.I)
-_PART = re.compile(r"\(\s*(\d)\s*\)|\b(?:part|pt|prat|patr|pat|prt|part)\.?\s*(\d)\b|(?<=\s)(\d)(?=\s*(?:$|[:/,]))", re.I)
+_PART = re.compile(r"\(\s*(\d)\s*\)|(?<=\s)(\d)(?=\s*(?:$|[:/,]))")
+_PART_WORD = re.compile(r"(?<![^\W\d_])([^\W\d_]{2,6})\.?\s*(\d)\b")
 _ALTERNATIVE = re.compile(r"\s+/\s+|\s+[-–—]\s+|:\s+")
 _DATE = re.compile(r"^\s*(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})(?:[T ].*)?\s*$")
 
@@ -58,6 +59,21 @@ def _plain(text: str) -> str:
     return " ".join(w for w in re.findall(r"[^\W_]+", unicodedata.normalize("NFC", text)) if w not in _ARTICLES)
 
 
+def _is_part(word: str) -> bool:
+    """Whether a word is "part" or "pt", or "part" with letters doubled, one left out or two neighbours that changed places."""
+    word = re.sub(r"(.)\1+", r"\1", word.lower())
+    return word in ("part", "pt") or any(word in ("part"[:i] + "part"[i + 1 :], "part"[:i] + "part"[i + 1 : i + 2] + "part"[i] + "part"[i + 2 :]) for i in range(4))
+
+
+def _part(text: str) -> tuple[int | None, str]:
+    """The number of the part that a title names, and the title without it."""
+    named = next((m for m in _PART_WORD.finditer(text) if _is_part(m[1])), None)
+    if named:
+        text = text[: named.start()] + " " + text[named.end() :]
+    found = _PART.search(text)
+    return int(named[2] if named else found[1] or found[2]) if named or found else None, _PART.sub(" ", text)
+
+
 def title_names(title: str | None) -> tuple[list[str], int | None, bool]:
     """The names a title gives (none if it only numbers the episode), the number of the part, whether it is cut short."""
     text = unicodedata.normalize("NFKC", title or "").strip()
@@ -65,11 +81,10 @@ def title_names(title: str | None) -> tuple[list[str], int | None, bool]:
     text = _NUMBERED.sub("", text.strip(" .…")).strip()
     if not text:
         return [], None, False
-    part = _PART.search(text)
-    number = int(next(g for g in part.groups() if g)) if part else None
+    number = _part(text)[0]
     names = []
     for name in _ALTERNATIVE.split(text):
-        plain = _plain(_PART.sub(" ", name))
+        plain = _plain(_part(name)[1])
         if plain and not plain.isdigit() and plain not in names:
             names.append(plain)
     return names, number, cut
