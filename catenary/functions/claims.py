@@ -16,6 +16,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import pairwise
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -280,14 +281,13 @@ def parse_record(text: str) -> Record:
 
 def decisions_document(decisions: list[tuple[Record, bool]]) -> tuple[str, str]:
     """The accepted and the rejected records as two documents in order of claim id; a claim may be decided once."""
-    seen: dict[str, tuple[Record, bool]] = {}
-    for record, accepted in decisions:
-        if seen.setdefault(record.statement.claim_id(), (record, accepted)) != (record, accepted) or sum(r.statement.claim_id() == record.statement.claim_id() for r, _ in decisions) > 1:
-            raise ClaimError("a claim is decided more than once")
-    return tuple("".join(r.canonical() for _, (r, a) in sorted(seen.items()) if a is accepted) for accepted in (True, False))
+    by_id = sorted((record.statement.claim_id(), record.canonical(), accepted) for record, accepted in decisions)
+    if any(a[0] == b[0] for a, b in pairwise(by_id)):
+        raise ClaimError("a claim is decided more than once")
+    return tuple("".join(text for _, text, a in by_id if a is accepted) for accepted in (True, False))
 
 
-PARSED = "struct<ok: boolean, error: string, canonical: string, claim_id: string, operator: string, selections: array<struct<side: int, path: array<int>, reference: string, key: string, extent: decimal(20,0), dynamic: boolean>>>"
+PARSED = "struct<ok: boolean, error: string, canonical: string, claim_id: string, operator: string, selections: array<struct<side: int, path: array<int>, reference: string, key: string, extent: decimal(20,0), dynamic: boolean, recursive: boolean, predicates: array<struct<dimension: string, kind: string, items: array<string>, low: string, high: string>>>>>"
 
 
 def _parsed_row(text: str | None, tag: bytes) -> dict:
@@ -298,7 +298,8 @@ def _parsed_row(text: str | None, tag: bytes) -> dict:
     except ClaimError as e:
         return {"ok": False, "error": str(e), "canonical": None, "claim_id": None, "operator": None, "selections": []}
     found = [
-        {"side": side, "path": list(path), "reference": s.reference, "key": s.key, "extent": Decimal(s.extent // statement.divisor), "dynamic": s.dynamic}
+        {"side": side, "path": list(path), "reference": s.reference, "key": s.key, "extent": Decimal(s.extent // statement.divisor), "dynamic": s.dynamic, "recursive": s.recursive,
+         "predicates": [{"dimension": n, "kind": v.kind, "items": list(v.items), "low": v.low, "high": v.high} for n, v in s.predicates]}
         for side, expression in enumerate(statement.sides())
         for path, s in leaves(expression)
     ]
@@ -328,6 +329,13 @@ def claim_id(canonical, tag: bytes = CLAIM_TAG):
     return F.concat(F.lit("v1:"), F.sha2(F.concat(F.lit(tag), F.encode(canonical, "UTF-8")), 256))
 
 
+def common_divisor(extents):
+    """The greatest common divisor of an array of bigint, by Euclid as a built-in expression: 92 steps are enough for 64 bits."""
+    step = lambda s, _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), (s["a"] % F.nullif(s["b"], F.lit(0))).alias("b")))
+    euclid = lambda g, x: F.aggregate(F.sequence(F.lit(1), F.lit(92)), F.struct(g.alias("a"), x.alias("b")), step, lambda s: s["a"])
+    return F.aggregate(extents, F.lit(0).cast("bigint"), euclid)
+
+
 def is_claim_id(c):
     return c.rlike("^v1:[0-9a-f]{64}$")
 

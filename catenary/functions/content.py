@@ -76,8 +76,8 @@ def normalize_title(texts: pd.Series) -> pd.Series:
 
 
 def year_of(text: Column) -> Column:
-    """A year as an integer or at the beginning of a date; null outside 1..9999."""
-    year = F.coalesce(text.try_cast("int"), F.substring(text, 1, 4).try_cast("int"))
+    """A year as an integer or in the first four characters of a text; null outside 1..9999."""
+    year = F.substring(text, 1, 4).try_cast("int")
     return F.when(year.between(1, 9999), year)
 
 

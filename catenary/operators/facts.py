@@ -14,6 +14,9 @@ _FIELDS = """title string, original_title string, release_date string, name stri
 format string, type string, idMal string, remoteIds string, startDate struct<year: string>, external_ids struct<imdb_id: string, tvdb_id: string>,
 series struct<name: string, firstAired: string, remoteIds: string>"""
 
+#: A source name that marks an IMDb id, whatever its case.
+_IMDB_NAME = "imdb"
+
 
 def body(payload: Column) -> Column:
     """The record in a payload that may be encoded once more or wrapped in an envelope {status, data}."""
@@ -37,6 +40,7 @@ def project(live: DataFrame, normalize: Column | None = None) -> DataFrame:
         return of_title[inner[1]] if inner[0] == "title" and len(inner) > 1 else F.col("p." + path.removeprefix("$."))
 
     tmdb, tvdb, anilist = (F.col("source") == s for s in (TMDB, TVDB, ANILIST))
+    inner = F.col("p.series").isNotNull()  # a series may lie in an envelope beside its orders
     movie, tv, series = (F.col("domain") == d for d in ("movie", "tv", "series"))
     kind = (
         F.when(tmdb & movie, "movie").when(tmdb & tv, "series").when(tvdb & series, "series").when(tvdb & movie, "movie")
@@ -50,23 +54,24 @@ def project(live: DataFrame, normalize: Column | None = None) -> DataFrame:
     titles = (
         F.when(tmdb & movie, F.array(title("/title", at("$.title")), title("/original_title", at("$.original_title"))))
         .when(tmdb & tv, F.array(title("/name", at("$.name")), title("/original_name", at("$.original_name"))))
-        .when(tvdb & series, F.array(title("/series/name", F.coalesce(at("$.series.name"), at("$.name")))))
+        .when(tvdb & series & inner, F.array(title("/series/name", at("$.series.name")))).when(tvdb & series, F.array(title("/name", at("$.name"))))
         .when(tvdb & movie, F.array(title("/name", at("$.name"))))
         .when(anilist, F.array(*[title(f"/title/{x}", at(f"$.title.{x}")) for x in ("romaji", "english", "native")]))
     )
     link = lambda field, ok, target: F.when(ok, F.struct(F.lit(field).alias("field"), target.alias("target")))
     imdb = imdb_id(at("$.external_ids.imdb_id"))
     of_tvdb, mal = positive_id(at("$.external_ids.tvdb_id")).cast("string"), positive_id(at("$.idMal")).cast("string")
-    remote = F.from_json(F.coalesce(at("$.remoteIds"), at("$.series.remoteIds")), "array<struct<sourceName:string,id:string>>")  # a bare object is a list of one
+    remote = F.from_json(F.when(inner, at("$.series.remoteIds")).otherwise(at("$.remoteIds")), "array<struct<sourceName:string,id:string>>")  # a bare object is a list of one
+    prefix = F.when(inner, "/series").otherwise("")
+    placed = F.transform(F.coalesce(remote, F.array()), lambda r, i: F.struct(r["sourceName"].alias("name"), r["id"].alias("id"), F.concat(prefix, F.lit("/remoteIds/"), i.cast("string"), F.lit("/id")).alias("field")))
     remote_imdb = F.transform(
-        F.filter(F.coalesce(remote, F.array()), lambda r: (F.lower(r["sourceName"]).contains("imdb")) & r["id"].rlike("^tt[0-9]+$")),
-        lambda r: F.struct(F.lit("/remoteIds").alias("field"), F.concat(F.lit(f"{IMDB}://title/"), r["id"]).alias("target")),
+        F.filter(placed, lambda r: (F.lower(r["name"]) == _IMDB_NAME) & r["id"].rlike("^tt[0-9]+$")),
+        lambda r: F.struct(r["field"].alias("field"), F.concat(F.lit(f"{IMDB}://title/"), r["id"]).alias("target")),
     )
     own = F.array(
         link("/external_ids/imdb_id", tmdb & (movie | tv) & imdb.isNotNull(), F.concat(F.lit(f"{IMDB}://title/"), imdb)),
         link("/external_ids/tvdb_id", tmdb & movie & of_tvdb.isNotNull(), F.concat(F.lit(f"{TVDB}://movie/"), of_tvdb)),
         link("/external_ids/tvdb_id", tmdb & tv & of_tvdb.isNotNull(), F.concat(F.lit(f"{TVDB}://series/"), of_tvdb)),
-        link("/external_ids/tvdb_id", tmdb & (F.col("domain") == "episode") & of_tvdb.isNotNull(), F.concat(F.lit(f"{TVDB}://episode/"), of_tvdb)),
         link("/idMal", anilist & mal.isNotNull(), F.concat(F.lit(f"{MAL}://"), F.when(at("$.type") == "MANGA", "manga/").otherwise("anime/"), mal)),
     )
     facts = rows.select(

@@ -69,9 +69,9 @@ def current_supports(found: DataFrame, current: DataFrame) -> DataFrame:
     return found.join(stale, "id", "left_anti")
 
 
-def with_input(found: DataFrame, field: str, value: str) -> DataFrame:
-    """Supports one of whose inputs says ``value`` in ``field``."""
-    return found.where(F.exists("inputs", lambda i: (i["field"] == field) & (i["value"] == value)))
+def with_input(found: DataFrame, field: str, value: str | None = None) -> DataFrame:
+    """Supports one of whose inputs says ``value``, or anything, in ``field``."""
+    return found.where(F.exists("inputs", lambda i: (i["field"] == field) & (F.lit(value is None) | (i["value"] == value))))
 
 
 def evidence_json(found: DataFrame) -> DataFrame:

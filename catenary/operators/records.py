@@ -6,6 +6,7 @@ DataFrames and gives one; what the store must refuse comes as rows of a violatio
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,8 +19,8 @@ from ..functions.content import content_hash, domain_of
 PAGE = 1000
 #: Revisions that are filled together when nulls take what was in force before.
 FILL_RANGE = 4096
-#: Fields of a record's metadata that say how it was found, not what it is.
-BOOKKEEPING = ("etag", "fetched_at", "page", "cursor", "retry", "status", "address_checked", "source_revision", "seen_run")
+#: Fields of a record's metadata that say how it was found, not what it is (fixed values).
+BOOKKEEPING = ("materialized_at", "run_started_at", "run_id", "operation", "mode", "source", "domain", "acquisition_version", "content_changed_at")
 
 
 class CursorExpired(ValueError):
@@ -130,21 +131,44 @@ def in_force(versions: DataFrame) -> DataFrame:
     return joined.select(*[F.coalesce(f"__{c}", f"__before_{c}").alias(c) if c in fields else F.col(c) for c in versions.columns])
 
 
-def observed_changes(current: DataFrame, observed: DataFrame) -> DataFrame:
+def observed_changes(current: DataFrame, observed: DataFrame, run: dict | None = None) -> DataFrame:
     """What a run's observations add to the store (source, key, payload, hash, deleted, metadata): new keys, another hash, a record
-    that is back or gone, or the same content described otherwise. Metadata is compared without what only says how it was found."""
+    that is back or gone, or the same content described otherwise. Metadata is compared without what only says how it was found.
+    With ``run`` (now, started, run_id, mode) the metadata is what ``observation_metadata`` makes of it. Of several observations
+    of a key the one with the highest ``position`` counts, where there is such a column."""
     old = current.select("source", "key", F.col("hash").alias("old_hash"), F.col("deleted").alias("old_deleted"), F.col("metadata").alias("old_metadata"))
     found = latest(observed, order=("position",)) if "position" in observed.columns else observed
     same = F.col("hash").eqNullSafe(F.col("old_hash")) & F.col("deleted").eqNullSafe(F.col("old_deleted"))
     described = descriptor(F.col("metadata")).eqNullSafe(descriptor(F.col("old_metadata")))
     rows = found.join(old, ["source", "key"], "left").where(~(same & described))
-    return rows.select("source", "key", F.when(~same, F.col("payload")).alias("payload"), F.when(~same, F.col("hash")).alias("hash"), F.when(~same, F.col("deleted")).alias("deleted"), "metadata")
+    metadata = F.col("metadata") if run is None else observation_metadata(F.col("source"), F.col("key"), F.col("metadata"), F.col("old_metadata"), ~same, run)
+    return rows.select("source", "key", F.when(~same, F.col("payload")).alias("payload"), F.when(~same, F.col("hash")).alias("hash"), F.when(~same, F.col("deleted")).alias("deleted"), metadata.alias("metadata"))
+
+
+def _fields(metadata: Column) -> Column:
+    return F.from_json(F.coalesce(metadata, F.lit("{}")), "map<string,variant>")
 
 
 def descriptor(metadata: Column) -> Column:
-    """What metadata says of the record itself, as entries by name (maps cannot be compared)."""
-    fields = F.from_json(F.coalesce(metadata, F.lit("{}")), "map<string,string>")
-    return F.array_sort(F.map_entries(F.map_filter(fields, lambda k, v: ~k.isin(*BOOKKEEPING) & v.isNotNull())))
+    """What metadata says of the record itself, as JSON members in order of their names (maps cannot be compared)."""
+    kept = F.map_filter(_fields(metadata), lambda k, v: ~k.isin(*BOOKKEEPING))
+    return F.transform(F.array_sort(F.map_keys(kept)), lambda k: F.to_json(F.create_map(k, kept[k])))
+
+
+def observation_metadata(source: Column, key: Column, supplied: Column, old: Column, changed: Column, run: dict) -> Column:
+    """The metadata that is stored of an observation: the old one where neither content nor description changed; else what the
+    source supplied, with the run's marks. The time of the last change of content is kept where the content did not change."""
+    said = lambda v: F.parse_json(F.lit(json.dumps(v)))
+    text = lambda c: F.parse_json(F.to_json(F.create_map(F.lit("x"), c)))
+    word = lambda c: F.variant_get(text(c), "$.x", "variant")
+    before = F.variant_get(F.try_parse_json(F.coalesce(old, F.lit("{}"))), "$.content_changed_at", "variant")
+    marks = F.create_map(
+        F.lit("domain"), word(domain_of(key)), F.lit("source"), word(source), F.lit("materialized_at"), said(run["now"]), F.lit("run_started_at"), said(run["started"]), F.lit("run_id"), said(run["run_id"]),
+        F.lit("mode"), said(run["mode"]), F.lit("acquisition_version"), said(1), F.lit("content_changed_at"), F.when(changed, said(run["now"])).otherwise(F.coalesce(before, F.parse_json(F.lit("null")))),
+    )
+    new = F.to_json(F.map_concat(F.map_filter(_fields(supplied), lambda k, v: ~k.isin(*BOOKKEEPING)), marks))
+    kept = ~changed & descriptor(supplied).eqNullSafe(descriptor(old))
+    return F.when(kept, old).otherwise(new)
 
 
 def absent_members(current: DataFrame, members: DataFrame, discovered: DataFrame) -> DataFrame:
@@ -190,6 +214,59 @@ def raised_floors(sources: DataFrame, removed: DataFrame) -> DataFrame:
     return sources.join(top, "source", "left").withColumn("history_floor", F.greatest("history_floor", F.coalesce("__top", F.lit(0)))).drop("__top")
 
 
-def run_mode(latest_full: Column, watermark: Column, asked: Column) -> Column:
-    """How the next run goes: as asked; full where there was none; else incremental."""
-    return F.when(asked == "full", "full").when(latest_full.isNull() | watermark.isNull(), "full").otherwise("incremental")
+def run_mode(watermark: Column, pending: Column, full: Column, restart: Column) -> Column:
+    """How the next run goes: an unfinished run is taken up unless a restart is asked for (``refused`` where it is incremental and
+    a full one is asked for); else full if that is asked for or no run has ended well yet; else incremental."""
+    fresh = F.when(F.coalesce(full, F.lit(False)) | watermark.isNull(), "full").otherwise("incremental")
+    resumed = F.when(F.coalesce(full, F.lit(False)) & (pending != "full"), "refused").otherwise(pending)
+    return F.when(~F.coalesce(restart, F.lit(False)) & pending.isNotNull(), resumed).otherwise(fresh)
+
+
+def scope_violations(current: DataFrame, most: int = PAGE) -> DataFrame:
+    """source, parent and rows of scopes (a record and those that name it as parent) that are too large to be resolved in."""
+    live = current.where(~F.col("deleted"))
+    rows = live.select("source", F.col("key").alias("parent")).unionByName(live.select("source", F.get_json_object("metadata", "$.parent").alias("parent")).where("parent IS NOT NULL"))
+    return rows.groupBy("source", "parent").agg(F.count("*").alias("rows")).where(F.col("rows") > most)
+
+
+def changed_versions(versions: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], content: str) -> DataFrame:
+    """The versions whose content differs from that of the version before, the first ones included."""
+    before = F.lag(content).over(Window.partitionBy(*keys).orderBy(*order))
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) == 1
+    return versions.withColumn("__before", before).withColumn("__first", first).where(F.col("__first") | ~F.col(content).eqNullSafe(F.col("__before"))).drop("__before", "__first")
+
+
+def bootstrap_page(current: DataFrame, versions: DataFrame, source: str, after: str | None, limit: int = PAGE) -> DataFrame:
+    """The current versions of a source by key from ``after`` on: where a new consumer begins before it follows the changes."""
+    keys = current.where(F.col("source") == source).select("source", "key", "revision")
+    keys = keys if after is None else keys.where(F.col("key") > after)
+    return keys.orderBy("key").limit(limit).join(versions, ["source", "key", "revision"]).orderBy("key")
+
+
+def upserted(current: DataFrame, rows: DataFrame, keys: tuple[str, ...] = ("source", "key"), order: str = "revision") -> DataFrame:
+    """The current table after rows were put in: of each key the row with the highest ``order``."""
+    return latest(current.unionByName(rows.select(*current.columns)), keys, (order,))
+
+
+def committed(versions: DataFrame, current: DataFrame, batch: DataFrame, revision: int, run_id: str) -> tuple[DataFrame, DataFrame]:
+    """The version rows that a batch adds, and the current table after it: new rows upserted, all of the batch's keys marked as
+    seen by the run. Write both, and the checkpoint, in one revision of a Ledger."""
+    added = commit(versions, batch, revision)
+    state = added.select("source", "key", "revision", "hash", "deleted", "metadata", F.lit(run_id).alias("seen_run"))
+    return added, upserted(current, state)
+
+
+def run_counters(discovered: DataFrame, fetched: DataFrame, changed: DataFrame) -> DataFrame:
+    """source and how many records a run discovered, fetched and found changed."""
+    parts = [d.select("source", *[F.lit(int(n == name)).alias(n) for n in ("discovered", "fetched", "changed")]) for name, d in (("discovered", discovered), ("fetched", fetched), ("changed", changed))]
+    return reduce(DataFrame.unionByName, parts).groupBy("source").agg(*[F.sum(n).alias(n) for n in ("discovered", "fetched", "changed")])
+
+
+def selection_status(runs: DataFrame) -> DataFrame:
+    """For each source: its last good full run and last good run, the run that is unfinished if any, and how many failed since."""
+    good = F.col("status") == "complete"
+    last = runs.groupBy("source").agg(
+        F.max(F.when(good & (F.col("mode") == "full"), F.struct("started_at", "run_id"))).alias("f"), F.max(F.when(good, F.struct("started_at", "run_id"))).alias("g"), F.max(F.struct("started_at", "run_id", "status")).alias("l"),
+    )
+    failed = runs.join(last.select("source", F.col("g.started_at").alias("since")), "source").where(~good & (F.col("since").isNull() | (F.col("started_at") > F.col("since")))).groupBy("source").agg(F.count("*").alias("failed_since"))
+    return last.join(failed, "source", "left").select("source", F.col("f.run_id").alias("last_full"), F.col("g.run_id").alias("last_good"), F.when(F.col("l.status") != "complete", F.col("l.run_id")).alias("unfinished"), F.coalesce("failed_since", F.lit(0)).alias("failed_since"))

@@ -223,7 +223,7 @@ def shop_claims(s, d):
 
 
 def pub_shard(s, d):
-    return shop_claims(s, d).groupBy(F.substring("claim_id", 4, 2).alias("shard")).agg(F.count("*").alias("files"))
+    return shop_claims(s, d).groupBy(F.substring(V.artifact_path(F.col("claim_id")), 8, 2).alias("shard")).agg(F.count("*").alias("files"))
 
 
 def pub_artifacts(s, d):
@@ -241,11 +241,14 @@ def pub_endpoints(s, d):
 
 
 def src_update_changes(s, d):
+    """Versions of one catalog as update notices, and a notice of season types."""
     v = table(s, d, "record_versions").where("source = 'com.thetvdb'")
     key = clean("key")
     kind, number = F.split_part(key, F.lit(":"), F.lit(1)), F.split_part(key, F.lit(":"), F.lit(2)).cast("bigint")
     updates = v.select(F.concat(kind, F.when(kind == "series", "").otherwise("s")).alias("recordType"), number.alias("recordId"), F.when(F.coalesce("deleted", F.lit(False)), 3).otherwise(1).alias("methodInt"), F.when(kind == "episode", number % 100).alias("seriesId"), F.lit(None).cast("bigint").alias("mergeToId"))
-    return C.update_changes(updates)
+    types = s.createDataFrame([("seasontypes", 1, 2, None, None)], updates.schema)
+    series = v.where((kind == "series") & F.coalesce("deleted", F.lit(False))).select(key.alias("key")).distinct()
+    return C.update_changes(updates.unionByName(types), series)
 
 
 def src_show_members(s, d):
@@ -327,12 +330,17 @@ w AS (SELECT p_partkey AS node, p_partkey AS other FROM part UNION SELECT w.node
     "pub_shard": "SELECT substr(sha256('catenary-claim:v1' || chr(0) || 'customer://c/' || o_custkey || ' <=> orders://o/' || o_orderkey), 1, 2) AS shard, count(*) AS files FROM orders GROUP BY 1",
     "pub_artifacts": "WITH c AS (SELECT 'customer://c/' || o_custkey || ' <=> orders://o/' || o_orderkey AS t, sha256('catenary-claim:v1' || chr(0) || 'customer://c/' || o_custkey || ' <=> orders://o/' || o_orderkey) AS h FROM orders) SELECT 'claims/' || substr(h, 1, 2) || '/' || h || '.trk' AS path, '# checked' || chr(10) || '#@decision accepted' || chr(10) || t || chr(10) AS content FROM c",
     "pub_validate": "SELECT strlen('# checked' || chr(10) || '#@decision accepted' || chr(10) || 'customer://c/' || o_custkey || ' <=> orders://o/' || o_orderkey || chr(10)) % 5 <> 0 AS ok, count(*) AS files FROM orders GROUP BY 1",
-    "src_show_members": r"""WITH v AS (SELECT payload, unnest(CASE WHEN json_type(payload, '$.seasons') = 'ARRAY' THEN (payload->'$.seasons')::json[] ELSE [payload->'$.seasons'] END) AS s FROM record_versions
-  WHERE source = 'org.themoviedb' AND deleted = false AND starts_with(payload, '{"id":') AND starts_with(lower(regexp_replace(key, '^\s+|\s+$', '', 'g')), 'tv:'))
-SELECT DISTINCT 'tv:' || (payload->>'$.id') AS parent, 'season:' || (s->>'$.id') AS key FROM v WHERE s->>'$.id' IS NOT NULL""",
+    "src_show_members": r"""WITH v AS (SELECT CASE WHEN json_type(payload) = 'VARCHAR' THEN payload::json->>'$' ELSE payload END AS p FROM record_versions
+  WHERE source = 'org.themoviedb' AND deleted = false AND payload IS NOT NULL AND starts_with(lower(regexp_replace(key, '^\s+|\s+$', '', 'g')), 'tv:')),
+b AS (SELECT CASE WHEN p->>'$.status' IS NOT NULL AND json_type(p, '$.data') = 'OBJECT' THEN p->>'$.data' ELSE p END AS p FROM v),
+r AS (SELECT 'tv:' || (p->>'$.id') AS parent, p->'$.seasons' AS s, p->'$.episode_groups.results' AS g FROM b),
+s AS (SELECT parent, unnest(CASE json_type(s) WHEN 'ARRAY' THEN s::json[] WHEN 'OBJECT' THEN [s] ELSE [] END) AS s FROM r),
+e AS (SELECT parent, unnest(CASE json_type(s, '$.episodes') WHEN 'ARRAY' THEN (s->'$.episodes')::json[] WHEN 'OBJECT' THEN [s->'$.episodes'] ELSE [] END) AS e FROM s WHERE s->>'$.id' IS NOT NULL),
+g AS (SELECT parent, unnest(CASE json_type(g) WHEN 'ARRAY' THEN g::json[] WHEN 'OBJECT' THEN [g] ELSE [] END) AS g FROM r)
+SELECT parent, 'season:' || (s->>'$.id') AS key FROM s WHERE s->>'$.id' IS NOT NULL UNION SELECT parent, 'episode:' || (e->>'$.id') FROM e WHERE e->>'$.id' IS NOT NULL UNION SELECT parent, 'episode_group:' || (g->>'$.id') FROM g WHERE g->>'$.id' IS NOT NULL""",
     "pub_endpoints": "SELECT 'customer' AS a_source, 'orders' AS b_source, count(*) AS claims, count(DISTINCT o_custkey) AS lefts FROM orders",
     "src_update_changes": r"""WITH v AS (SELECT split_part(k, ':', 1) AS kind, CAST(split_part(k, ':', 2) AS bigint) AS n, coalesce(deleted, false) AS del FROM (SELECT lower(regexp_replace(key, '^\s+|\s+$', '', 'g')) AS k, deleted FROM record_versions WHERE source = 'com.thetvdb')),
-c AS (SELECT kind || ':' || n AS key, CASE WHEN del THEN 'deleted' ELSE 'dirty' END AS action FROM v UNION ALL SELECT 'series:' || (n % 100), 'dirty' FROM v WHERE kind = 'episode') SELECT key, max(action) AS action FROM c GROUP BY key""",
+c AS (SELECT kind || ':' || n AS key, CASE WHEN del THEN 'deleted' ELSE 'dirty' END AS action FROM v UNION ALL SELECT 'series:' || (n % 100), 'dirty' FROM v WHERE kind = 'episode' UNION ALL SELECT 'series:' || n, 'dirty' FROM v WHERE kind = 'series' AND del) SELECT key, max(action) AS action FROM c GROUP BY key""",
     "src_asked_and_found": "WITH f AS (SELECT o_custkey AS id, count(*) AS n FROM orders GROUP BY 1) SELECT CASE WHEN c_custkey IS NULL THEN 'not asked for' WHEN n > 1 THEN 'answered twice' WHEN n IS NULL THEN 'absent' ELSE 'found' END AS state, count(*) AS ids FROM customer FULL JOIN f ON c_custkey = id GROUP BY 1",
     "src_new_or_airing": "SELECT c_custkey AS id FROM customer WHERE c_custkey > 1000 UNION SELECT o_custkey FROM orders",
     "src_episode_orders": "WITH k AS (SELECT l_orderkey AS series, l_suppkey, min((l_linenumber, l_partkey)) AS at_, min(l_suppkey || ':' || l_returnflag) AS body FROM lineitem GROUP BY ALL HAVING min(l_returnflag) = max(l_returnflag)) SELECT series, string_agg(body, ';' ORDER BY at_, body) AS episodes FROM k GROUP BY series",

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..functions.claims import bare_claim, claim_id, is_claim_id, is_reference, parsed
+from ..functions.claims import bare_claim, claim_id, common_divisor, is_claim_id, is_reference, parsed
 from ..functions.content import normalize_title, year_of
 from ..operators import facts as P
 from ..operators import link as L
@@ -35,10 +34,6 @@ def fact_identifiers(s, d):
     return facts(s, d).select("uri", F.explode("identifiers").alias("i")).select("uri", "i.field", "i.target")
 
 
-def fact_json_extract(s, d):
-    return table(s, d, "events").groupBy("event_type").agg(F.sum(F.get_json_object("props", "$.k").cast("bigint")).alias("k"), F.count("*").alias("n"))
-
-
 def fact_normalize(s, d):
     return table(s, d, "part").select("p_partkey", normalize_title(F.concat_ws("  -- ", "p_name", "p_brand", "p_type")).alias("title"))
 
@@ -77,7 +72,7 @@ def supports(s, d):
 
 
 def link_supports(s, d):
-    return supports(s, d).groupBy("method").agg(F.count("*").alias("supports"), F.count_distinct("claim_id").alias("claims"))
+    return supports(s, d).groupBy("claim_id", "method").agg(F.count("*").alias("supports"), F.sum(F.size("inputs")).alias("inputs"))
 
 
 def link_candidates(s, d):
@@ -85,13 +80,16 @@ def link_candidates(s, d):
 
 
 def link_current(s, d):
-    versions = table(s, d, "record_versions").selectExpr("source", "lower(trim(key)) AS key", "revision")
-    current = versions.groupBy("source", "key").agg(F.max("revision").alias("revision")).withColumn("deleted", F.col("revision") % 7 == 0)
-    return L.current_supports(supports(s, d), current).groupBy("method").agg(F.count("*").alias("supports"))
+    """Supports found when half of the revisions were there, as far as all their records are still the same now."""
+    v = table(s, d, "record_versions")
+    half = (v.agg(F.max("revision")).first()[0] or 0) // 2
+    f = Cut(P.project(live_records(v.where(F.col("revision") <= half)).select("source", "key", "revision", "payload")), "facts").df
+    current = live_records(v).select("source", "key", "revision", F.lit(False).alias("deleted"))
+    return L.current_supports(L.supports(f, P.blocks(f)), current).groupBy("claim_id", "method").agg(F.count("*").alias("supports"))
 
 
 def link_with_input(s, d):
-    return supports(s, d).where(F.exists("inputs", lambda i: i["field"] == "/idMal")).groupBy("claim_id").agg(F.count("*").alias("supports"))
+    return L.with_input(supports(s, d), "/idMal").groupBy("claim_id").agg(F.count("*").alias("supports"))
 
 
 def link_identifiers(s, d):
@@ -100,10 +98,11 @@ def link_identifiers(s, d):
 
 
 def link_division(s, d):
-    """Orders with some part all of whose lines in that order have a low discount."""
-    lines = table(s, d, "lineitem")
-    high = lines.where("l_discount > 0.05").select("l_orderkey", "l_partkey").distinct()
-    return lines.select("l_orderkey", "l_partkey").join(high, ["l_orderkey", "l_partkey"], "left_anti").select("l_orderkey").distinct()
+    """Orders with some part all of whose lines in that order have a low discount: a part is the support, its lines are the inputs."""
+    lines = table(s, d, "lineitem").select("l_orderkey", "l_partkey", "l_discount", F.lit("shop").alias("source"), F.concat_ws("/", "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_quantity", "l_discount").alias("key"), F.lit(1).cast("bigint").alias("revision")).distinct()
+    found = lines.groupBy("l_orderkey", F.concat_ws("/", "l_orderkey", "l_partkey").alias("id")).agg(F.collect_set(F.struct("source", "key", "revision")).alias("inputs"))
+    current = lines.where("l_discount <= 0.05").select("source", "key", "revision", F.lit(False).alias("deleted"))
+    return L.current_supports(found, current).select("l_orderkey").distinct()
 
 
 def link_status(s, d):
@@ -111,8 +110,8 @@ def link_status(s, d):
 
 
 def evidence_lists(s, d):
-    rows = table(s, d, "lineitem").select("l_orderkey", F.concat_ws("|", "l_linenumber", "l_partkey", "l_suppkey").alias("x"))
-    return rows.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("x")), ";").alias("evidence"))
+    rows = table(s, d, "lineitem").select(F.col("l_orderkey").alias("claim_id"), F.concat_ws("|", "l_linenumber", "l_partkey", "l_suppkey").alias("id"), F.lit("line").alias("method"), F.array(F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("inputs")).distinct()
+    return L.evidence_json(rows)
 
 
 def claim_canonical_id(s, d):
@@ -133,9 +132,14 @@ def dsl_parse(s, d):
 
 
 def dsl_rejects(s, d):
-    """Names of things are no statements: every row is refused."""
-    rows = table(s, d, "customer").select(parsed()(F.col("c_name")).alias("p"))
-    return rows.groupBy(F.col("p.ok").alias("ok")).agg(F.count("*").alias("n"))
+    """Statements with one fault each, by number: which are refused, row by row."""
+    k = F.col("c_custkey")
+    good = F.concat(F.lit("a://"), k.cast("string"), F.lit(" <=> b://"), k.cast("string"))
+    text = (
+        F.when(k % 7 == 0, F.replace(good, F.lit(" <=> "), F.lit("<=>"))).when(k % 7 == 1, F.concat(good, F.lit(" "))).when(k % 7 == 2, F.concat(good, F.lit(" @0")))
+        .when(k % 7 == 3, F.concat(good, F.lit(" :: n={}"))).when(k % 7 == 4, F.concat(good, F.lit(" :: n=1..2,m=*"))).when(k % 7 == 5, F.concat(F.lit("# why\n"), good, F.lit("\n"))).otherwise(good)
+    )
+    return table(s, d, "customer").select("c_custkey", parsed()(text).alias("p")).select("c_custkey", F.col("p.ok").alias("ok"))
 
 
 def dsl_references(s, d):
@@ -144,17 +148,16 @@ def dsl_references(s, d):
 
 
 def dsl_claim_ids(s, d):
-    return table(s, d, "unit_pairs").where("claim_id IS NOT NULL").groupBy(is_claim_id(F.col("claim_id")).alias("ok")).agg(F.count("*").alias("n"))
+    return table(s, d, "unit_pairs").where("claim_id IS NOT NULL").select("claim_id", is_claim_id(F.col("claim_id")).alias("ok"))
 
 
 def dsl_extent_gcd(s, d):
-    """Extents of an order's lines divided by what they have in common, by Euclid inside one aggregate expression."""
+    """What the extents of an order's lines have in common."""
     rows = table(s, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.sum("l_quantity").cast("bigint").alias("q")).groupBy("l_orderkey").agg(F.collect_list("q").alias("q"))
-    gcd = "aggregate(q, 0L, (g, x) -> aggregate(sequence(1, 92), named_struct('a', g, 'b', x), (s, _) -> IF(s.b = 0, s, named_struct('a', s.b, 'b', s.a % s.b)), s -> s.a))"
-    return rows.select("l_orderkey", F.expr(gcd).alias("divisor"))
+    return rows.select("l_orderkey", common_divisor(F.col("q")).alias("divisor"))
 
 
-QUERIES = {f.__name__: f for f in (fact_project, fact_titles, fact_identifiers, fact_json_extract, fact_normalize, fact_year_guard, blk_keys, blk_hot, link_pairs, link_supports, link_candidates, link_current, link_with_input, link_identifiers, link_division, link_status, evidence_lists, claim_canonical_id, claim_directional_id, dsl_parse, dsl_rejects, dsl_references, dsl_claim_ids, dsl_extent_gcd)}
+QUERIES = {f.__name__: f for f in (fact_project, fact_titles, fact_identifiers, fact_normalize, fact_year_guard, blk_keys, blk_hot, link_pairs, link_supports, link_candidates, link_current, link_with_input, link_identifiers, link_division, link_status, evidence_lists, claim_canonical_id, claim_directional_id, dsl_parse, dsl_rejects, dsl_references, dsl_claim_ids, dsl_extent_gcd)}
 
 _FACTS = r"""
 v AS (SELECT source, lower(regexp_replace(key, '^\s+|\s+$', '', 'g')) AS key, revision, payload, deleted FROM record_versions),
@@ -164,7 +167,7 @@ head AS (SELECT source, key, max(revision) AS revision FROM v GROUP BY ALL),
 raw AS (SELECT lived.source, lived.key, head.revision, max(payload) AS p FROM lived JOIN head USING (source, key) JOIN v ON v.source = lived.source AND v.key = lived.key AND v.revision = lived.r WHERE payload IS NOT NULL GROUP BY ALL),
 plain AS (SELECT source, key, revision, CASE WHEN json_type(p) = 'VARCHAR' THEN p::json->>'$' ELSE p END AS p FROM raw),
 rec AS (SELECT source, key, revision, split_part(key, ':', 1) AS domain, CASE WHEN p->>'$.status' IS NOT NULL AND json_type(p, '$.data') = 'OBJECT' THEN p->>'$.data' ELSE p END AS p FROM plain),
-f AS (SELECT source, key, revision, domain, p, source || '://' || replace(key, ':', '/') AS uri,
+f AS (SELECT source, key, revision, domain, p, json_type(p, '$.series') = 'OBJECT' IS TRUE AS inside, source || '://' || replace(key, ':', '/') AS uri,
   CASE WHEN source = 'org.themoviedb' AND domain = 'movie' THEN 'movie' WHEN source = 'org.themoviedb' AND domain = 'tv' THEN 'series' WHEN source = 'com.thetvdb' AND domain = 'series' THEN 'series' WHEN source = 'com.thetvdb' AND domain = 'movie' THEN 'movie'
        WHEN source = 'co.anilist' AND p->>'$.format' = 'MOVIE' THEN 'movie' WHEN source = 'co.anilist' AND p->>'$.type' = 'ANIME' THEN 'series' WHEN source = 'co.anilist' THEN 'manga' ELSE 'unit' END AS kind,
   try_cast(substr(CASE WHEN source = 'org.themoviedb' AND domain = 'movie' THEN p->>'$.release_date' WHEN source = 'org.themoviedb' AND domain = 'tv' THEN p->>'$.first_air_date' WHEN source = 'com.thetvdb' AND domain = 'series' THEN coalesce(p->>'$.series.firstAired', p->>'$.firstAired')
@@ -172,15 +175,17 @@ f AS (SELECT source, key, revision, domain, p, source || '://' || replace(key, '
 named AS (
   SELECT uri, '/title' AS field, p->>'$.title' AS t FROM f WHERE source = 'org.themoviedb' AND domain = 'movie' UNION ALL SELECT uri, '/original_title', p->>'$.original_title' FROM f WHERE source = 'org.themoviedb' AND domain = 'movie'
   UNION ALL SELECT uri, '/name', p->>'$.name' FROM f WHERE source = 'org.themoviedb' AND domain = 'tv' UNION ALL SELECT uri, '/original_name', p->>'$.original_name' FROM f WHERE source = 'org.themoviedb' AND domain = 'tv'
-  UNION ALL SELECT uri, '/series/name', coalesce(p->>'$.series.name', p->>'$.name') FROM f WHERE source = 'com.thetvdb' AND domain = 'series' UNION ALL SELECT uri, '/name', p->>'$.name' FROM f WHERE source = 'com.thetvdb' AND domain = 'movie'
+  UNION ALL SELECT uri, CASE WHEN inside THEN '/series/name' ELSE '/name' END, CASE WHEN inside THEN p->>'$.series.name' ELSE p->>'$.name' END FROM f WHERE source = 'com.thetvdb' AND domain = 'series' UNION ALL SELECT uri, '/name', p->>'$.name' FROM f WHERE source = 'com.thetvdb' AND domain = 'movie'
   UNION ALL SELECT uri, '/title/' || x, json_extract_string(p, '$.title.' || x) FROM f, (VALUES ('romaji'), ('english'), ('native')) AS l(x) WHERE source = 'co.anilist'),
 titles AS (SELECT DISTINCT uri, field, trim(regexp_replace(lower(t), '[^\p{L}\p{N}]+', ' ', 'g')) AS value FROM named WHERE t IS NOT NULL AND trim(regexp_replace(lower(t), '[^\p{L}\p{N}]+', ' ', 'g')) <> ''),
-remote AS (SELECT uri, unnest(CASE WHEN json_type(coalesce(p->'$.remoteIds', p->'$.series.remoteIds')) = 'ARRAY' THEN (coalesce(p->'$.remoteIds', p->'$.series.remoteIds'))::json[] ELSE [coalesce(p->'$.remoteIds', p->'$.series.remoteIds')] END) AS r FROM f WHERE source = 'com.thetvdb'),
+listed AS (SELECT uri, inside, CASE WHEN inside THEN p->'$.series.remoteIds' ELSE p->'$.remoteIds' END AS r FROM f WHERE source = 'com.thetvdb'),
+lists AS (SELECT uri, inside, CASE WHEN json_type(r) = 'ARRAY' THEN r::json[] WHEN r IS NULL OR json_type(r) = 'NULL' THEN [] ELSE [r] END AS l FROM listed),
+remote AS (SELECT uri, inside, unnest(l) AS r, generate_subscripts(l, 1) - 1 AS n FROM lists),
 ids AS (
   SELECT uri, '/external_ids/imdb_id' AS field, 'com.imdb://title/' || (p->>'$.external_ids.imdb_id') AS target FROM f WHERE source = 'org.themoviedb' AND domain IN ('movie', 'tv') AND regexp_matches(p->>'$.external_ids.imdb_id', '^tt[0-9]+$')
-  UNION SELECT uri, '/external_ids/tvdb_id', 'com.thetvdb://' || CASE domain WHEN 'tv' THEN 'series' ELSE domain END || '/' || try_cast(p->>'$.external_ids.tvdb_id' AS bigint) FROM f WHERE source = 'org.themoviedb' AND domain IN ('movie', 'tv', 'episode') AND try_cast(p->>'$.external_ids.tvdb_id' AS bigint) > 0
+  UNION SELECT uri, '/external_ids/tvdb_id', 'com.thetvdb://' || CASE domain WHEN 'tv' THEN 'series' ELSE domain END || '/' || try_cast(p->>'$.external_ids.tvdb_id' AS bigint) FROM f WHERE source = 'org.themoviedb' AND domain IN ('movie', 'tv') AND try_cast(p->>'$.external_ids.tvdb_id' AS bigint) > 0
   UNION SELECT uri, '/idMal', 'net.myanimelist://' || CASE WHEN p->>'$.type' = 'MANGA' THEN 'manga/' ELSE 'anime/' END || try_cast(p->>'$.idMal' AS bigint) FROM f WHERE source = 'co.anilist' AND try_cast(p->>'$.idMal' AS bigint) > 0
-  UNION SELECT uri, '/remoteIds', 'com.imdb://title/' || (r->>'$.id') FROM remote WHERE contains(lower(r->>'$.sourceName'), 'imdb') AND regexp_matches(r->>'$.id', '^tt[0-9]+$')),
+  UNION SELECT uri, CASE WHEN inside THEN '/series' ELSE '' END || '/remoteIds/' || n || '/id', 'com.imdb://title/' || (r->>'$.id') FROM remote WHERE lower(r->>'$.sourceName') = 'imdb' AND regexp_matches(r->>'$.id', '^tt[0-9]+$')),
 blocks AS (SELECT 'id:' || uri AS scope, uri FROM f UNION SELECT 'id:' || target, uri FROM ids UNION SELECT 'title:' || kind || ':' || year || ':' || value, uri FROM titles JOIN f USING (uri) WHERE year BETWEEN 1 AND 9999 AND kind <> 'unit')"""
 _SUPPORTS = _FACTS + """,
 hot AS (SELECT scope FROM blocks WHERE scope LIKE 'title:%' GROUP BY scope HAVING count(*) > 256),
@@ -194,29 +199,30 @@ SQL = {
     "fact_project": f"WITH {_FACTS} SELECT uri, kind, CASE WHEN year BETWEEN 1 AND 9999 THEN year END AS year, (SELECT count(*) FROM titles t WHERE t.uri = f.uri) AS titles, (SELECT count(*) FROM ids i WHERE i.uri = f.uri) AS identifiers FROM f",
     "fact_titles": f"WITH {_FACTS} SELECT uri, field, value FROM titles",
     "fact_identifiers": f"WITH {_FACTS} SELECT uri, field, target FROM ids",
-    "fact_json_extract": "SELECT event_type, CAST(sum(CAST(props->>'$.k' AS bigint)) AS bigint) AS k, count(*) AS n FROM events GROUP BY event_type",
     "fact_normalize": r"SELECT p_partkey, trim(regexp_replace(lower(p_name || ' ' || p_brand || ' ' || p_type), '[^\p{L}\p{N}]+', ' ', 'g')) AS title FROM part",
     "fact_year_guard": "SELECT o_orderkey, CASE WHEN o_custkey % 3 <> 0 THEN CAST(extract(year FROM o_orderdate) AS int) END AS year FROM orders",
     "blk_keys": f"WITH {_FACTS} SELECT scope, uri FROM blocks",
     "blk_hot": "SELECT 'title:' || p_name AS scope, count(*) AS members FROM part GROUP BY p_name HAVING count(*) > 32",
     "link_pairs": "WITH p AS (SELECT *, CASE WHEN p_partkey % 2 = 0 THEN 'even' ELSE 'odd' END || '://part/' || p_partkey AS uri FROM part), h AS (SELECT p_name, p_type, p_size FROM part GROUP BY ALL HAVING count(*) <= 256) SELECT a.uri AS a_uri, b.uri AS b_uri FROM p a JOIN p b USING (p_name, p_type, p_size) JOIN h USING (p_name, p_type, p_size) WHERE b.uri > a.uri AND a.p_partkey % 2 <> b.p_partkey % 2",
-    "link_supports": f"WITH {_SUPPORTS} SELECT method, count(*) AS supports, count(DISTINCT claim_id) AS claims FROM claims GROUP BY method",
+    "link_supports": f"WITH {_SUPPORTS} SELECT claim_id, method, count(*) AS supports, count(*) * CASE WHEN method = 'explicit-identifier' THEN 1 ELSE 2 END AS inputs FROM claims GROUP BY claim_id, method",
     "link_candidates": f"WITH {_SUPPORTS} SELECT claim_id, statement, count(*) AS supports, count(*) FILTER (method = 'explicit-identifier') AS explicit, count(*) FILTER (method = 'shared-identifier') AS shared, count(*) FILTER (method = 'title-year') AS titled FROM claims GROUP BY ALL",
-    "link_current": f"""WITH {_SUPPORTS}, live AS (SELECT source, key, max(revision) AS revision FROM record_versions_tidy GROUP BY ALL HAVING max(revision) % 7 <> 0),
-sup AS (SELECT 'explicit-identifier' AS method, uri AS u, NULL AS w, field || target AS x FROM ids WHERE uri <> target UNION SELECT CASE WHEN scope LIKE 'id:%' THEN 'shared-identifier' ELSE 'title-year' END, u, w, scope FROM pairs),
-ok AS (SELECT uri FROM f JOIN live USING (source, key, revision))
-SELECT method, count(*) AS supports FROM sup WHERE u IN (SELECT uri FROM ok) AND (w IS NULL OR w IN (SELECT uri FROM ok)) GROUP BY method""".replace("record_versions_tidy", "(SELECT source, lower(trim(key)) AS key, revision FROM record_versions)"),
+    "link_current": f"""WITH {_SUPPORTS.replace('FROM record_versions)', 'FROM record_versions WHERE revision <= (SELECT max(revision) // 2 FROM record_versions))')},
+now AS (SELECT source, key, revision FROM (SELECT source, key, max(revision) AS revision, max(revision) FILTER (deleted) AS dead, max(revision) FILTER (NOT deleted) AS born FROM (SELECT source, lower(regexp_replace(key, '^\\s+|\\s+$', '', 'g')) AS key, revision, deleted FROM record_versions) GROUP BY ALL) WHERE born > coalesce(dead, born - 1)),
+ok AS (SELECT uri FROM f JOIN now USING (source, key, revision)),
+sup AS (SELECT least(uri, target) || ' <=> ' || greatest(uri, target) AS statement, 'explicit-identifier' AS method, uri AS u, uri AS w, field || target AS x FROM ids WHERE uri <> target
+  UNION SELECT u || ' <=> ' || w, CASE WHEN scope LIKE 'id:%' THEN 'shared-identifier' ELSE 'title-year' END, u, w, scope FROM pairs)
+SELECT 'v1:' || sha256('catenary-claim:v1' || chr(0) || statement) AS claim_id, method, count(*) AS supports FROM sup WHERE u IN (SELECT uri FROM ok) AND w IN (SELECT uri FROM ok) GROUP BY ALL""",
     "link_with_input": f"WITH {_SUPPORTS} SELECT 'v1:' || sha256('catenary-claim:v1' || chr(0) || least(uri, target) || ' <=> ' || greatest(uri, target)) AS claim_id, count(*) AS supports FROM ids WHERE field = '/idMal' GROUP BY ALL",
     "link_identifiers": "SELECT least('orders://o/' || o_orderkey, 'customer://c/' || o_custkey) || ' <=> ' || greatest('orders://o/' || o_orderkey, 'customer://c/' || o_custkey) AS statement FROM orders",
     "link_division": "SELECT DISTINCT l_orderkey FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM lineitem m WHERE m.l_orderkey = l.l_orderkey AND m.l_partkey = l.l_partkey AND m.l_discount > 0.05)",
     "link_status": " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS rows FROM {n}" for n in ("record_versions", "records", "episodes", "unit_pairs", "sources")),
-    "evidence_lists": "SELECT l_orderkey, string_agg(x, ';' ORDER BY x) AS evidence FROM (SELECT DISTINCT l_orderkey, l_linenumber || '|' || l_partkey || '|' || l_suppkey AS x FROM lineitem) GROUP BY l_orderkey",
+    "evidence_lists": "SELECT l_orderkey AS claim_id, CAST(to_json(list({'id': id, 'method': 'line', 'inputs': [CAST(l_partkey AS varchar), CAST(l_suppkey AS varchar)]} ORDER BY id)) AS varchar) AS evidence FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber || '|' || l_partkey || '|' || l_suppkey AS id FROM lineitem) GROUP BY l_orderkey",
     "claim_directional_id": "SELECT 'orders://o/' || o_orderkey || ' => customer://c/' || o_custkey AS statement, 'v1:' || sha256('catenary-claim:v1' || chr(0) || 'orders://o/' || o_orderkey || ' => customer://c/' || o_custkey) AS claim_id FROM orders",
     "dsl_parse": """WITH r AS (SELECT o_custkey, count(*) AS n, max(o_orderkey) AS k FROM orders GROUP BY o_custkey), c AS (SELECT o_custkey, '[a://c/' || o_custkey || ' @3,a://d/1] <~> z://o/' || k || ' :: at=1..3,line={a,b} @2' AS canonical FROM r)
 SELECT o_custkey, canonical, 'v1:' || sha256('catenary-claim:v1' || chr(0) || canonical) AS claim_id, 3 AS selections FROM c""",
-    "dsl_rejects": "SELECT false AS ok, count(*) AS n FROM customer",
+    "dsl_rejects": "SELECT c_custkey, c_custkey % 7 IN (4, 5, 6) AS ok FROM customer",
     "dsl_references": r"SELECT regexp_full_match(u, '[A-Za-z][A-Za-z0-9._-]*://[^\x00-\x20,<>\[\]\x7F]+') AS ok, count(*) AS n FROM (SELECT left_unit AS u FROM unit_pairs UNION ALL SELECT right_unit FROM unit_pairs) WHERE u IS NOT NULL GROUP BY 1",
-    "dsl_claim_ids": "SELECT regexp_full_match(claim_id, 'v1:[0-9a-f]{64}') AS ok, count(*) AS n FROM unit_pairs WHERE claim_id IS NOT NULL GROUP BY 1",
+    "dsl_claim_ids": r"SELECT claim_id, regexp_full_match(claim_id, 'v1:[0-9a-f]{64}') AS ok FROM unit_pairs WHERE claim_id IS NOT NULL",
     "dsl_extent_gcd": "WITH q AS (SELECT l_orderkey, CAST(sum(l_quantity) AS bigint) AS q FROM lineitem GROUP BY l_orderkey, l_linenumber) SELECT l_orderkey, list_reduce(list(q), lambda a, b: gcd(a, b)) AS divisor FROM q GROUP BY l_orderkey",
 }
 SQL["claim_canonical_id"] = f"SELECT statement, 'v1:' || sha256('catenary-claim:v1' || chr(0) || statement) AS claim_id FROM ({SQL['link_identifiers']})"

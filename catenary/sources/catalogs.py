@@ -60,11 +60,12 @@ def show_members(shows: DataFrame, payload: str = "payload") -> DataFrame:
     return of_season.unionByName(of_episode).unionByName(of_group)
 
 
-def update_changes(updates: DataFrame) -> DataFrame:
+def update_changes(updates: DataFrame, series: DataFrame | None = None) -> DataFrame:
     """key and action (dirty or deleted) of update notices: recordType, recordId, methodInt, seriesId, mergeToId.
 
     Methods 1 and 2 make a record dirty, 3 deletes it (and makes the one it was merged into dirty); seasons and episodes also make
-    their series dirty. A key that is both deleted and dirty was merged and is asked for again.
+    their series dirty. A notice of season types makes every known series (``series``: key) dirty. A key that is both deleted and
+    dirty was merged and is asked for again.
     """
     rows = updates.select(record_kind(F.col("recordType")).alias("kind"), "recordId", "methodInt", "seriesId", "mergeToId").where("kind IS NOT NULL")
     key = lambda kind, id: F.concat(kind, F.lit(":"), id.cast("string"))
@@ -76,6 +77,10 @@ def update_changes(updates: DataFrame) -> DataFrame:
         entry(F.col("kind").isin("season", "episode") & F.col("seriesId").isNotNull(), key(F.lit("series"), F.col("seriesId")), "dirty"),
     )
     flat = rows.select(F.explode(F.filter(entries, lambda x: x.isNotNull())).alias("c")).select("c.*")
+    if series is not None:
+        # one notice or none decides for all series; the series are not multiplied by the notices
+        types = updates.where(F.lower("recordType").isin("seasontype", "seasontypes")).select(F.lit("series").alias("domain")).limit(1)
+        flat = flat.unionByName(series.select("key", F.split_part("key", F.lit(":"), F.lit(1)).alias("domain")).join(types, "domain", "left_semi").select("key", F.lit("dirty").alias("action")))
     return flat.groupBy("key").agg(F.max("action").alias("action"))  # dirty comes after deleted
 
 
@@ -95,10 +100,6 @@ def guarded_absences(absent: DataFrame, source: str, discovered: int, required:
     return absent.select("source", "key", F.when(recheck, "dirty").otherwise("deleted").alias("action"))
 
 
-def payload_at(payload: Column, path: str) -> Column:
-    return F.get_json_object(payload, path)
-
-
 class _Page(InputPartition):
     def __init__(self, path: str, number: int):
         super().__init__(path)

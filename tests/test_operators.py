@@ -36,14 +36,36 @@ def test_pages(spark):
 
 
 def test_commit_and_observations(spark):
-    v = spark.createDataFrame([("s", "m:1", 1, "{}", "a", False, '{"etag":"x"}'), ("s", "m:2", 1, "{}", "b", False, "{}")], VERSIONS)
-    seen = spark.createDataFrame([("s", "m:1", "{}", "a", False, '{"etag":"y"}'), ("s", "m:2", "{}", "b", False, '{"parent":"p"}'), ("s", "m:3", "{}", "c", False, "{}")], "source string, key string, payload string, hash string, deleted boolean, metadata string")
+    v = spark.createDataFrame([("s", "m:1", 1, "{}", "a", False, '{"run_id":"x","mode":"full"}'), ("s", "m:2", 1, "{}", "b", False, "{}")], VERSIONS)
+    seen = spark.createDataFrame([("s", "m:1", "{}", "a", False, '{"run_id":"y","materialized_at":9}'), ("s", "m:2", "{}", "b", False, '{"parent":"p"}'), ("s", "m:3", "{}", "c", False, "{}")], "source string, key string, payload string, hash string, deleted boolean, metadata string")
     new = records.observed_changes(records.latest(v), seen)
     assert rows(new.select("key", "hash")) == [("m:2", None), ("m:3", "c")]
     added = records.commit(v, new, 2)
     assert rows(added.select("key", "revision", "hash")) == [("m:2", 2, "b"), ("m:3", 2, "c")]
     again = records.observed_changes(records.latest(v.unionByName(added)), seen)
     assert again.count() == 0  # a replay makes no versions
+    run = {"now": 20, "started": 10, "run_id": "r2", "mode": "full"}
+    marked = {r.key: json.loads(r.metadata) for r in records.observed_changes(records.latest(v), seen, run).collect()}
+    assert marked["m:3"] == {"domain": "m", "source": "s", "materialized_at": 20, "run_started_at": 10, "run_id": "r2", "mode": "full", "acquisition_version": 1, "content_changed_at": 20}
+    assert marked["m:2"]["parent"] == "p" and marked["m:2"]["content_changed_at"] is None  # described otherwise, content as before
+    etag = seen.where("key = 'm:2'").withColumn("metadata", F.lit('{"etag":"z"}'))
+    assert records.observed_changes(records.latest(v), etag).count() == 1  # an etag is part of the description
+
+
+def test_modes_scopes_and_commits(spark):
+    asked = [(None, None, False, False, "full"), (5, None, False, False, "incremental"), (5, None, True, False, "full"), (5, "incremental", False, False, "incremental"), (5, "incremental", True, False, "refused"), (5, "incremental", True, True, "full"), (None, "full", False, False, "full"), (5, "full", True, False, "full")]
+    df = spark.createDataFrame(asked, "watermark int, pending string, full boolean, restart boolean, expected string")
+    assert df.where(records.run_mode(F.col("watermark"), F.col("pending"), F.col("full"), F.col("restart")) != F.col("expected")).count() == 0
+    v = spark.createDataFrame([("s", f"m:{i}", 1, "{}", "a", False, '{"parent":"p:1"}') for i in range(4)] + [("s", "p:1", 1, "{}", "b", False, "{}")], VERSIONS)
+    assert rows(records.scope_violations(v, 4)) == [("s", "p:1", 5)] and records.scope(v, "s", "p:1", 4).count() == 0 and records.scope(v, "s", "p:1").count() == 5
+    page = records.bootstrap_page(records.latest(v), v, "s", "m:1", 2)
+    assert [r.key for r in page.collect()] == ["m:2", "m:3"]
+    batch = spark.createDataFrame([("s", "m:1", None, None, None, '{"parent":"p:2"}'), ("s", "m:9", "{}", "n", False, "{}")], "source string, key string, payload string, hash string, deleted boolean, metadata string")
+    current = v.select("source", "key", "revision", "hash", "deleted", "metadata", F.lit("r1").alias("seen_run"))
+    added, now = records.committed(v, current, batch, 2, "r2")
+    assert rows(added.select("key", "hash", "revision")) == [("m:1", "a", 2), ("m:9", "n", 2)]
+    assert rows(now.where("seen_run = 'r2'").select("key", "revision")) == [("m:1", 2), ("m:9", 2)] and now.count() == 6
+    assert rows(records.run_counters(v, v.limit(3), batch)) == [("s", 5, 3, 2)]
 
 
 def test_violations(spark):
