@@ -219,8 +219,8 @@ class _Reader:
                     if any(name == n for n, _ in predicates):
                         raise ClaimError(f"dimension {name} twice")
                     predicates.append((name, self.value()))
-                    if not self.take(","):
-                        break
+                    if not self.take(_NEXT_PREDICATE):
+                        break  # another comma goes on with the composite around the selection
         extent = int(e[1]) if (e := self.take(_EXTENT)) else 1
         if extent > MAX_EXTENT:
             raise ClaimError("extent too large")
@@ -239,6 +239,7 @@ class _Reader:
 
 
 _SEPARATOR = re.compile(r" +:: +")
+_NEXT_PREDICATE = re.compile(r",(?![A-Za-z][A-Za-z0-9._-]*://)")
 
 
 def parse_statement(text: str) -> Statement:

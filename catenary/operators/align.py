@@ -23,12 +23,19 @@ def cumulated(members: DataFrame, keys: tuple[str, ...] = ("claim_id", "side"),
 
 def align_extents(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("claim_id",), order: str = "ordinal", extent: str = "extent") -> DataFrame:
     """The stretches that left and right members share when both sides are laid along one line: keys, left and right ordinals,
-    the offsets in both members, and the shared extent. An overlap join on equal keys."""
-    a = cumulated(left, keys, order, extent).select(*keys, F.col(order).alias("left_ordinal"), F.col("start").alias("__as"), F.col("end").alias("__ae"))
-    b = cumulated(right, keys, order, extent).select(*keys, F.col(order).alias("right_ordinal"), F.col("start").alias("__bs"), F.col("end").alias("__be"))
-    start, end = F.greatest("__as", "__bs"), F.least("__ae", "__be")
-    return a.join(b, list(keys)).where((F.col("__as") < F.col("__be")) & (F.col("__bs") < F.col("__ae"))).select(
-        *keys, "left_ordinal", "right_ordinal", (start - F.col("__as")).cast(WIDE).alias("left_offset"), (start - F.col("__bs")).cast(WIDE).alias("right_offset"), (end - start).cast(WIDE).alias("shared")
+    the offsets in both members, and the shared extent.
+
+    The members' ends cut the line; each piece between neighbouring cuts belongs to the member of each side whose end comes next.
+    So both sides are merged by one sort over their ends, and no member is paired with one that it does not touch.
+    """
+    a = cumulated(left, keys, order, extent).where(F.col("end") > F.col("start")).select(*keys, "end", F.struct(F.col(order).alias("ordinal"), "start").alias("l"), F.lit(None).alias("r"))
+    b = cumulated(right, keys, order, extent).where(F.col("end") > F.col("start")).select(*keys, "end", F.lit(None).alias("l"), F.struct(F.col(order).alias("ordinal"), "start").alias("r"))
+    cuts = a.unionByName(b).groupBy(*keys, "end").agg(F.max("l").alias("l"), F.max("r").alias("r"))
+    onward = Window.partitionBy(*keys).orderBy(F.desc("end")).rowsBetween(Window.unboundedPreceding, 0)
+    along = Window.partitionBy(*keys).orderBy(F.desc("end"))
+    rows = cuts.select(*keys, "end", F.coalesce(F.lead("end").over(along), F.lit(0).cast(WIDE)).alias("from"), F.last("l", ignorenulls=True).over(onward).alias("l"), F.last("r", ignorenulls=True).over(onward).alias("r"))
+    return rows.where("l IS NOT NULL AND r IS NOT NULL").select(
+        *keys, F.col("l.ordinal").alias("left_ordinal"), F.col("r.ordinal").alias("right_ordinal"), (F.col("from") - F.col("l.start")).cast(WIDE).alias("left_offset"), (F.col("from") - F.col("r.start")).cast(WIDE).alias("right_offset"), (F.col("end") - F.col("from")).cast(WIDE).alias("shared")
     )
 
 

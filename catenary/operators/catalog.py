@@ -101,7 +101,7 @@ def tvdb_series(records: DataFrame) -> DataFrame:
     """entity, key, inside (whether the series lies in an envelope beside its orders), kind (its declared default order), seasons, orders."""
     inner = F.get_json_object("body", "$.series")
     rows = records.where((F.col("source") == TVDB) & (F.col("domain") == "series")).select("entity", "key", inner.isNotNull().alias("inside"), F.from_json(F.coalesce(inner, F.col("body")), _SERIES).alias("p"), F.transform_values(_list("$.episode_orders", "map<string, string>"), lambda _, v: F.from_json(v, _ORDERED)).alias("orders"))
-    kind = F.filter(F.from_json("p.seasonTypes", _TYPES), lambda t: t["id"] == F.col("p.defaultSeasonType"))[0]["type"]
+    kind = F.get(F.filter(F.from_json("p.seasonTypes", _TYPES), lambda t: t["id"] == F.col("p.defaultSeasonType")), F.lit(0))["type"]
     return rows.select("entity", "key", "inside", F.when(kind != "", kind).alias("kind"), F.from_json("p.seasons", _NUMBERS).alias("seasons"), "orders")
 
 
@@ -157,7 +157,7 @@ def entities(records: DataFrame, found: DataFrame) -> DataFrame:
     of_season = records.where((F.col("source") == TMDB) & (F.col("domain") == "season")).select("entity", F.array(F.lit("episode")).alias("levels"), _EMPTY.alias("contexts"), _list("$.episodes", _EPISODES).isNotNull().alias("complete"))
     series = tvdb_series(records).where("kind IS NOT NULL")
     known = F.transform(F.filter("seasons", lambda s: s.isNotNull()), lambda s: s["number"].try_cast("bigint"))
-    unlisted = F.exists(F.element_at("orders", F.col("kind")), lambda e: e.isNotNull() & ~F.coalesce(F.array_contains(F.col("known"), e["seasonNumber"].try_cast("bigint")), F.lit(False)))
+    unlisted = F.exists(F.try_element_at("orders", F.col("kind")), lambda e: e.isNotNull() & ~F.coalesce(F.array_contains(F.col("known"), e["seasonNumber"].try_cast("bigint")), F.lit(False)))
     of_series = series.withColumn("known", known).select(
         "entity", F.array(F.lit("season"), F.lit("episode")).alias("levels"), _map(order=_named_order(F.col("kind"))).alias("contexts"),
         (F.coalesce(F.map_contains_key("orders", F.col("kind")), F.lit(False)) & F.col("seasons").isNotNull() & ~F.coalesce(unlisted, F.lit(False))).alias("complete"),

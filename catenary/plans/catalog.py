@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import catalog as C
+from ..operators import resolve as R
 from ..session import Cut
 from .linking import _FACTS, live
 
@@ -46,7 +47,50 @@ def prj_violations(s, d):
     return C.unit_violations(records(s, d))
 
 
-QUERIES = {f.__name__: f for f in (prj_units, prj_entities, prj_domain, prj_orders, prj_observations, prj_violations)}
+def _statements(s, d) -> dict[str, DataFrame]:
+    """Statements over whole catalogs: a show's episodes from the first on in all its seasons against as many of a series, a series
+    as a whole against itself, and media against themselves, backwards, with more or with an unknown dimension; with what they say."""
+    r = records(s, d)
+    u = Cut(C.units(r), "units").df
+    e = Cut(C.entities(r, u), "entities").df
+    dom = Cut(C.domains(u, e), "domain").df
+    is_ = lambda kind: F.col("entity").rlike(f"^[a-z.]+://{kind}/[0-9]+$")
+    x = F.col("entity")
+    text = (
+        F.when(is_("tv"), F.concat(x, F.lit(" :: episode=1..,season=* <~> x://all")))
+        .when(is_("series"), F.concat(x, F.lit(" :: ** => x://all @2")))
+        .when(is_("media"), F.concat(x, F.lit(" :: episode=3..1 <=> ["), x, F.lit("/episode/3,"), x, F.lit("/episode/2,"), x, F.lit("/episode/1]")))
+        .when(is_("season"), F.concat(x, F.lit(" :: part=1 <~> x://all")))
+    )
+    texts = e.select(text.alias("statement")).where("statement IS NOT NULL")
+    more = s.createDataFrame([("x://all", [], {}, False)], e.schema)
+    return {"asked": Cut(R.selections(texts), "selections").df, "units": u, "entities": e.unionByName(more), "domain": dom}
+
+
+def sem_resolve(s, d):
+    t = _statements(s, d)
+    members, _ = R.resolve(t["asked"], t["units"], t["entities"], t["domain"])
+    return members.select("claim_id", "side", "leaf", F.col("place").cast("bigint").alias("place"), "reference", "coordinate")
+
+
+def sem_errors(s, d):
+    t = _statements(s, d)
+    return R.resolve(t["asked"], t["units"], t["entities"], t["domain"])[1].select("claim_id", "kind").distinct()
+
+
+def cor_verdicts(s, d):
+    return R.compiled(**_statements(s, d))["verdicts"].select("claim_id", F.col("verdict").startswith("valid").alias("valid"))
+
+
+def cor_edges(s, d):
+    return R.compiled(**_statements(s, d))["edges"]
+
+
+def cor_tails(s, d):
+    return R.compiled(**_statements(s, d))["tails"].groupBy("claim_id", "side").agg(F.sum(F.col("extent") - F.col("covered")).cast("bigint").alias("rest"))
+
+
+QUERIES = {f.__name__: f for f in (prj_units, prj_entities, prj_domain, prj_orders, prj_observations, prj_violations, sem_resolve, sem_errors, cor_verdicts, cor_edges, cor_tails)}
 
 _LIST = lambda x: f"CASE json_type({x}) WHEN 'ARRAY' THEN ({x})::json[] WHEN 'OBJECT' THEN [{x}] ELSE [] END"
 _HAS = lambda x: f"coalesce(json_type({x}) IN ('ARRAY', 'OBJECT'), false)"
@@ -100,7 +144,20 @@ _VALUE = "CASE dimension " + " ".join(f"WHEN '{n}' THEN a['{n}']" for n in ("cha
 DOMAIN = f"""dom AS (SELECT entity, dimension, value, row_number() OVER (PARTITION BY entity, dimension ORDER BY CASE WHEN NOT context AND regexp_full_match(value, '[0-9]+') THEN try_cast(value AS hugeint) END NULLS LAST, value) AS position FROM (
   SELECT DISTINCT entity, dimension, {_VALUE} AS value, false AS context FROM (SELECT u.entity, a, unnest(string_split(levels, ',')) AS dimension FROM units u JOIN entities USING (entity)) WHERE {_VALUE} IS NOT NULL
   UNION ALL SELECT DISTINCT entity, dimension, coalesce({_VALUE}, ''), true FROM (SELECT u.entity, a, split_part(contexts, '=', 1) AS dimension FROM units u JOIN entities USING (entity) WHERE contexts <> '')))"""
+ASKED = f"""st AS (SELECT *, 'v1:' || sha256('catenary-claim:v1' || chr(0) || CASE kind WHEN 'tv' THEN entity || ' :: episode=1..,season=* <~> x://all' WHEN 'series' THEN entity || ' :: ** => x://all @2'
+  WHEN 'media' THEN '[' || entity || '/episode/3,' || entity || '/episode/2,' || entity || '/episode/1] <=> ' || entity || ' :: episode=3..1' ELSE entity || ' :: part=1 <~> x://all' END) AS claim_id
+  FROM (SELECT *, regexp_extract(entity, '://([a-z]+)/', 1) AS kind FROM entities WHERE regexp_full_match(entity, '[a-z.]+://(tv|series|media|season)/[0-9]+'))),
+c AS (SELECT claim_id, kind, entity, contexts, complete, levels, reference, level, coordinate, a['season'] AS season, a['episode'] AS episode, count(*) AS times FROM st JOIN units USING (entity)
+  WHERE (kind = 'tv' AND level = 'episode' AND a['episode_group'] IS NULL) OR (kind = 'series' AND complete AND 'order=' || a['order'] = contexts) OR (kind = 'media' AND levels = 'episode') GROUP BY ALL),
+pos AS (SELECT c.*, ps.position AS sp, pe.position AS ep, (SELECT position FROM dom d WHERE d.entity = c.entity AND d.dimension = 'episode' AND d.value = '1') AS one FROM c LEFT JOIN dom ps ON ps.entity = c.entity AND ps.dimension = 'season' AND ps.value = c.season LEFT JOIN dom pe ON pe.entity = c.entity AND pe.dimension = 'episode' AND pe.value = c.episode),
+sel AS (SELECT claim_id, kind, reference, coordinate, times, CAST(row_number() OVER (PARTITION BY claim_id ORDER BY CASE WHEN kind = 'media' THEN -ep ELSE 0 END, sp NULLS FIRST, ep NULLS FIRST, level, reference) - 1 AS bigint) AS place FROM pos p
+  WHERE kind = 'series' OR (kind = 'tv' AND ep >= one AND EXISTS (SELECT 1 FROM c WHERE c.claim_id = p.claim_id AND c.episode = '1')) OR (kind = 'media' AND episode IN ('1', '2', '3') AND EXISTS (SELECT 1 FROM c WHERE c.claim_id = p.claim_id AND c.episode = '3')))"""
 SQL = {
+    "sem_resolve": f"""WITH {CATALOG}, {DOMAIN}, {ASKED} SELECT claim_id, CASE WHEN kind = 'media' THEN 1 ELSE 0 END AS side, CASE WHEN kind = 'media' THEN 3 ELSE 0 END AS leaf, place, reference, CASE WHEN kind = 'series' THEN coordinate END AS coordinate FROM sel
+UNION ALL SELECT claim_id, 1, 1, 0, 'x://all', NULL FROM st WHERE kind <> 'media'
+UNION ALL SELECT claim_id, 0, 3 - i, 0, st.entity || '/episode/' || i, NULL FROM st, (VALUES (1), (2), (3)) AS n(i) WHERE kind = 'media' AND st.entity || '/episode/' || i IN (SELECT entity FROM entities)""",
+    "cor_verdicts": f"""WITH {CATALOG}, {DOMAIN}, {ASKED}, g AS (SELECT claim_id, count(*) AS n, sum(times) = count(DISTINCT coordinate) AS clear, count(DISTINCT reference) = count(*) AS once FROM sel GROUP BY claim_id)
+SELECT claim_id, coalesce(kind <> 'season' AND n > 0 AND clear AND once, false) AS valid FROM st LEFT JOIN g USING (claim_id)""",
     "prj_units": f"WITH {CATALOG} SELECT entity, reference, level, coordinate, {_ATTRIBUTES} AS attributes FROM units",
     "prj_entities": f"WITH {CATALOG} SELECT entity, levels, contexts, complete FROM entities",
     "prj_domain": f"WITH {CATALOG}, {DOMAIN} SELECT entity, dimension, value, position FROM dom",

@@ -1,6 +1,7 @@
 """The claim language."""
 
 import random
+import re
 from datetime import date
 
 import pytest
@@ -10,7 +11,42 @@ from catenary.functions.content import canonical_json, normalized
 from catenary.sources import plans
 from catenary.sources.http import Client, retry_after
 
-REFUSED = ["a://1 <=>", "a://1\t<=> b://2", "a://1<=>b://2", "a://1 :: x=1,x=2 <=> b://1", "a://1 :: x={} <=> b://2", "a://1 :: x=.. <=> b://2", "a://1 @0 <=> b://2", "[] <=> a://1", "a://1 <=> b://2 <=> c://3", "a:// <=> b://1", "a://1 @18446744073709551616 <=> b://1", 'a://1 :: x="\\q" <=> b://1', "# c\n", "a://1 :: x=@5 <=> b://1", "a://1 :: x=:: <=> b://1", "\n", "a://1 <=> b://2 ", "#@n\na://1 <=> b://2", "[a://1, b://2] <=> c://3", "a://1 <=> b://2\n\na://1 <=> b://3"]
+#: Statements that stand, one for each form of the grammar, and what each mutation makes of a statement that cannot stand.
+STANDING = ('film://9 :: cut="a b",disc={2,3} @6 <~> [tape://7 @4,tape://8 @2]', "film://9 :: disc=4.. => tape://7", "film://9 :: ** <=> [tape://7,[tape://8]]")
+MUTATIONS = {
+    "no space before the operator": lambda t: re.sub(r" (?=<=>|<~>|=>)", "", t, count=1),
+    "a tab for a space": lambda t: t.replace(" ", "\t", 1),
+    "a space at the end": lambda t: t + " ",
+    "half of it": lambda t: re.split("(?<=>) ", t)[0],
+    "one side more": lambda t: t + " => x://1",
+    "nothing after the scheme": lambda t: t.replace("tape://7", "tape://", 1),
+    "no scheme": lambda t: t.replace("film://", "film", 1),
+    "a dimension twice": lambda t: t.replace("disc=", "disc=1,disc=", 1),
+    "no members in a set": lambda t: t.replace("{2,3}", "{}"),
+    "no bounds": lambda t: t.replace("4..", "..", 1),
+    "no extent": lambda t: t.replace("@6", "@0"),
+    "an extent with a sign": lambda t: t.replace("@6", "@-6"),
+    "an extent beyond 64 bits": lambda t: t.replace("@6", "@18446744073709551616"),
+    "an empty composite": lambda t: re.sub(r"\[.*\]", "[]", t),
+    "a space in a composite": lambda t: t.replace(",tape", ", tape").replace(",[", ", ["),
+    "an open composite": lambda t: t[:-1] if t.endswith("]") else t,
+    "an unknown escape": lambda t: t.replace('"a b"', '"a\\qb"'),
+    "an extent for a value": lambda t: t.replace('"a b"', "@6"),
+    "a comment after all": lambda t: t + "\n# end",
+    "an annotation without content": lambda t: "#@note\n" + t,
+    "a blank line between": lambda t: t + "\n\n" + t,
+}
+REFUSED = sorted({made for change in MUTATIONS.values() for t in STANDING if (made := change(t)) != t})
+
+
+def test_standing_and_every_mutation_bites():
+    assert all(parse_record(t).statement for t in STANDING)
+    assert all(any(change(t) != t for t in STANDING) for change in MUTATIONS.values())
+
+
+def test_composites_of_selectors():
+    text = "[a://1 :: x=1,y=2..3,a://2 :: x=1,b://3] => c://1"
+    assert parse_statement(text).canonical() == text and [s.reference for s in parse_statement(text).left.parts] == ["a://1", "a://2", "b://3"]
 
 
 @pytest.mark.parametrize("text", REFUSED)
@@ -25,7 +61,7 @@ def test_refused(text):
         ("b://2  <=>  a://1", "a://1 <=> b://2"),
         ("b://2 => a://1", "b://2 => a://1"),
         ("a://1 :: z={9,10,9},b=* @4 <~> b://1 @6", "a://1 :: b=*,z={10,9} @2 <~> b://1 @3"),
-        ("[b://2 @4,a://1 @2] <~> c://3 @6", "[b://2 @2,a://1] <~> c://3 @3"),
+        ("[q://8 @15,p://5 @10] <~> r://1 @25", "[q://8 @3,p://5 @2] <~> r://1 @5"),
         ('a://x::y :: q="a b\\n",r=.."@5" => b://1', 'a://x::y :: q="a b\\n",r=.."@5" => b://1'),
         ("a://1 :: ** <~> b://1 :: x=2.. @18446744073709551615", "a://1 :: ** <~> b://1 :: x=2.. @18446744073709551615"),
     ],
