@@ -125,11 +125,12 @@ def run_expressions(runs: DataFrame, keys: tuple[str, ...], side: str, reference
 
 
 def aligned_statements(left: DataFrame, right: DataFrame, parent: str = "parent") -> DataFrame:
-    """parent, run and the statement that each run of matched episodes gives."""
+    """parent, run and the statement that each run of matched episodes gives. A column ``context`` of an order, such as order=aired,
+    stands before the numbers."""
     runs = episode_runs(left, right, (parent,))
-    names = {s: d.groupBy(parent).agg(F.min("order_ref").alias("order_ref")) for s, d in (("left", left), ("right", right))}
     sides = []
-    for s in ("left", "right"):
-        rows = runs.join(names[s], parent)
-        sides.append(run_expressions(rows.withColumnRenamed("order_ref", "__o"), (parent, "run", "__o"), s, F.col("__o")).select(parent, "run", F.col("expression").alias(s)))
+    for s, d in (("left", left), ("right", right)):
+        context = F.min("context") if "context" in d.columns else F.lit(None).cast("string")
+        rows = runs.join(d.groupBy(parent).agg(F.min("order_ref").alias("__o"), context.alias("__c")), parent)
+        sides.append(run_expressions(rows, (parent, "run", "__o", "__c"), s, F.col("__o"), F.col("__c")).select(parent, "run", F.col("expression").alias(s)))
     return sides[0].join(sides[1], [parent, "run"]).select(parent, "run", F.concat("left", F.lit(" <=> "), "right").alias("statement"))

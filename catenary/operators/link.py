@@ -47,11 +47,20 @@ def pair_supports(blocks: DataFrame, facts: DataFrame, most: int = HOT) -> DataF
     return pairs.select(bare_claim(F.col("a_uri"), F.col("b_uri")).alias("statement"), F.when(by_id, "shared-identifier").otherwise("title-year").alias("method"), F.array(one("a"), one("b")).alias("inputs"))
 
 
-def supports(facts: DataFrame, blocks: DataFrame, engine: str = "1", most: int = HOT) -> DataFrame:
-    """Every support once: id (a hash of all it says), claim_id, statement, method, inputs."""
-    both = explicit_supports(facts).unionByName(pair_supports(blocks, facts, most)).withColumn("claim_id", claim_id(F.col("statement")))
+def with_ids(rows: DataFrame, engine: str = "1") -> DataFrame:
+    """Supports (claim_id, statement, method, inputs) once each, with id: a hash of all they say."""
     said = F.to_json(F.struct(F.lit(engine).alias("engine"), "claim_id", "method", "inputs"))
-    return both.withColumn("id", F.sha2(said, 256)).dropDuplicates(["id"])
+    return rows.withColumn("id", F.sha2(said, 256)).dropDuplicates(["id"])
+
+
+def identified(rows: DataFrame, engine: str = "1") -> DataFrame:
+    """Supports of bare statements (statement, method, inputs), with claim_id and id."""
+    return with_ids(rows.withColumn("claim_id", claim_id(F.col("statement"))), engine)
+
+
+def supports(facts: DataFrame, blocks: DataFrame, engine: str = "1", most: int = HOT) -> DataFrame:
+    """Every support once: id, claim_id, statement, method, inputs."""
+    return identified(explicit_supports(facts).unionByName(pair_supports(blocks, facts, most)), engine)
 
 
 def candidates(found: DataFrame, decisions: DataFrame | None = None) -> DataFrame:

@@ -12,10 +12,12 @@ from ..functions.text import clean
 from ..operators import align as A
 from ..operators import graph as G
 from ..operators import link as L
+from ..operators import pipeline as PL
 from ..operators import review as V
 from ..operators import semantics as S
 from ..operators.components import components
 from ..operators.numbering import numbered
+from ..session import Cut
 from ..sources import catalogs as C
 from ..sources.tables import table
 
@@ -121,6 +123,40 @@ def aln_statements(s, d):
     return A.aligned_statements(rows, rows.where("o_orderstatus <> 'P'").withColumn("order_ref", F.concat("order_ref", F.lit("/b"))))
 
 
+def pip_hierarchy(s, d):
+    """Statements under pairs of shows that some link between their episodes names: their episodes as default orders, aligned."""
+    e = table(s, d, "episodes").groupBy("episode_id").agg(F.max(F.struct("source", "order_ref", "reference", "season", "episode", "title", "air_date", "linked_reference")).alias("r")).select("r.*")
+    e = Cut(e.where("season IS NOT NULL AND episode IS NOT NULL"), "orders").df
+    linked = e.alias("x").join(e.alias("y"), F.col("x.linked_reference") == F.col("y.reference")).where("x.source = 'org.themoviedb' AND y.source = 'com.thetvdb'").select(F.col("x.order_ref").alias("a"), F.col("y.order_ref").alias("b")).distinct()
+    accepted = linked.select(F.concat_ws(" <=> ", F.least("a", "b"), F.greatest("a", "b")).alias("statement")).select(claim_id(F.col("statement")).alias("claim_id"), F.lit(1).cast("bigint").alias("version"), "statement")
+    found, _ = PL.hierarchy_supports(accepted, e.select("order_ref", F.lit(None).cast("string").alias("context"), "reference", "season", "episode", "title", "air_date", "linked_reference"))
+    return found.select("claim_id", "statement", "method")
+
+
+def rev_violations(s, d):
+    """Reviews of every other order's claim, against decisions, candidates and evidence made of its number."""
+    k = F.col("o_orderkey")
+    o = table(s, d, "orders").select(k, F.concat(F.lit("c"), k.cast("string")).alias("claim_id"))
+    requests = o.where(k % 10 < 5).select("claim_id", F.lit("a://1 <=> b://1\n").alias("record"), F.when(k % 2 == 0, "accepted").otherwise("rejected").alias("action"), F.when(k % 3 == 0, " ").otherwise("seen").alias("note"), F.when(k % 4 > 0, k % 4).alias("expected_version"), F.when(k % 5 > 0, k % 5).alias("expected_revision"))
+    in_force = o.where(k % 4 > 0).select("claim_id", (k % 4 + F.when(k % 7 == 0, 1).otherwise(0)).alias("version"))
+    return V.review_violations(requests, in_force, o.where(k % 3 != 1).select("claim_id", (k % 5).alias("revision")), o.where(k % 6 != 0), o.where(k % 11 == 0).select("claim_id", F.lit("Invalid: counts differ").alias("verdict")), o.where(k % 13 == 0))
+
+
+def rev_pending(s, d):
+    """Decisions on customers' first orders, then reviews of a part of them: what waits to be published."""
+    k = F.col("o_custkey")
+    claim = F.concat(F.lit("c"), k.cast("string"))
+    o = table(s, d, "orders").select(k).distinct()
+    events = o.select(claim.alias("claim_id"), k.alias("version"), F.concat(F.lit("r"), k.cast("string")).alias("record"), F.lit("accepted").alias("action"), F.lit("n").alias("note"))
+    requests = o.where((k % 50 == 0) & (k <= 40_000)).select(claim.alias("claim_id"), F.concat(F.lit("n"), k.cast("string")).alias("record"), F.when(k % 100 == 0, "retracted").otherwise("accepted").alias("action"), F.lit("n").alias("note"), F.when(k % 100 != 0, F.concat(F.lit("c"), (k + 1).cast("string"))).alias("replaces"))
+    out = PL.saved_decisions(events, requests)
+    return PL.pending_decisions(out["pending"], out["decisions"])
+
+
+def pub_policy(s, d):
+    return PL.set_policy(table(s, d, "sources").select(F.when(F.col("source") == "co.anilist", "{}").otherwise('{"x":1}').alias("document"), F.col("revision").alias("generation")), '{"x":1}')
+
+
 def aln_order_violations(s, d):
     rows = table(s, d, "lineitem").select(F.col("l_orderkey").alias("parent"), F.lit(1).alias("season"), F.col("l_linenumber").alias("episode"), F.col("l_partkey").cast("string").alias("reference"))
     return A.order_violations(rows, ("parent",))
@@ -158,7 +194,11 @@ def graph_atoms(s, d):
 
 
 def graph_conflict(s, d):
-    return G.conflicts(G.atoms(shop_edges(s, d)))
+    """The halves of each nation's first supplier unit are said to be one customer segment, which is therefore in it twice."""
+    n = table(s, d, "nation").select(F.col("n_nationkey").cast("string").alias("k"))
+    half = lambda a, b: n.select(F.concat(F.lit("c://"), "k").alias("left"), F.lit("0/1").alias("left_start"), F.lit("1/1").alias("left_end"), F.concat(F.lit("s://"), "k").alias("right"), F.lit(a).alias("right_start"), F.lit(b).alias("right_end"))
+    found = G.conflicts(G.atoms(half("0/1", "1/2").unionByName(half("1/2", "1/1"))))
+    return found.select("unit", F.col("times").alias("times"))
 
 
 def graph_atom_counts(s, d):
@@ -271,7 +311,7 @@ def src_episode_orders(s, d):
     return C.episode_orders(rows).select("series", F.array_join("episodes", ";").alias("episodes"))
 
 
-QUERIES = {f.__name__: f for f in (sel_domain_rank, sel_units, sel_order_units, sem_violations, sem_evaluate, sem_align_extent, sem_tails, sem_zip, aln_islands, aln_spans, aln_expressions, aln_unique_match, aln_dates, aln_statements, aln_order_violations, graph_components, graph_edges, graph_cuts, graph_atoms, graph_conflict, graph_atom_counts, graph_rules, graph_implications, num_dense, pol_targets, pol_conflicts, rev_decisions, pub_byte_budget, pub_topn, pub_delta, pub_shard, pub_artifacts, pub_validate, pub_endpoints, src_update_changes, src_show_members, src_asked_and_found, src_new_or_airing, src_episode_orders)}
+QUERIES = {f.__name__: f for f in (sel_domain_rank, sel_units, sel_order_units, sem_violations, sem_evaluate, sem_align_extent, sem_tails, sem_zip, aln_islands, aln_spans, aln_expressions, aln_unique_match, aln_dates, aln_statements, pip_hierarchy, rev_violations, rev_pending, pub_policy, aln_order_violations, graph_components, graph_edges, graph_cuts, graph_atoms, graph_conflict, graph_atom_counts, graph_rules, graph_implications, num_dense, pol_targets, pol_conflicts, rev_decisions, pub_byte_budget, pub_topn, pub_delta, pub_shard, pub_artifacts, pub_validate, pub_endpoints, src_update_changes, src_show_members, src_asked_and_found, src_new_or_airing, src_episode_orders)}
 
 _LINES = "lines AS (SELECT l_orderkey, l_linenumber, CAST(sum(l_quantity) AS bigint) AS extent, max(l_returnflag) AS flag FROM lineitem GROUP BY ALL)"
 _SIDES = f"""{_LINES}, l AS (SELECT l_orderkey AS claim_id, l_linenumber AS ordinal, extent, sum(extent) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS e FROM lines),
@@ -313,12 +353,23 @@ lu AS (SELECT p_name, p_type, p_size, min(p_partkey) AS k FROM l GROUP BY ALL HA
 m AS (SELECT 'l' || l.p_partkey AS a, ref AS b FROM l JOIN r ON l.linked = r.ref UNION ALL SELECT 'l' || l.p_partkey, ru.ref FROM l JOIN lu ON lu.k = l.p_partkey JOIN ru ON ru.p_name = l.p_name AND ru.p_type = l.p_type AND ru.p_size = l.p_size WHERE l.linked IS NULL)
 SELECT min(a) AS left_reference, b AS right_reference FROM m GROUP BY b HAVING count(*) = 1""",
     "aln_dates": r"SELECT episode_id, day FROM (SELECT episode_id, max(coalesce(air_date, '')) AS t FROM episodes GROUP BY episode_id), LATERAL (SELECT CAST(try_strptime(CASE WHEN regexp_full_match(t, '\d{1,4}-\d{1,2}-\d{1,2}') THEN t END, '%Y-%m-%d') AS date) AS day) WHERE day IS NOT NULL",
+    "rev_violations": """WITH o AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 10 < 5)
+SELECT 'c' || k AS claim_id, 'a note is needed' AS message FROM o WHERE k % 3 = 0
+UNION ALL SELECT 'c' || k, 'another decision came first' FROM o WHERE k % 4 > 0 AND k % 7 = 0
+UNION ALL SELECT 'c' || k, 'the candidate changed' FROM o WHERE k % 5 > 0 AND k % 3 = 1
+UNION ALL SELECT 'c' || k, 'no current evidence' FROM o WHERE k % 2 = 0 AND k % 3 <> 1 AND k % 6 = 0
+UNION ALL SELECT 'c' || k, 'the statement is invalid' FROM o WHERE k % 2 = 0 AND k % 11 = 0
+UNION ALL SELECT 'c' || k, 'the policy excludes it' FROM o WHERE k % 2 = 0 AND k % 13 = 0""",
+    "rev_pending": """WITH o AS (SELECT DISTINCT o_custkey AS k FROM orders), q AS (SELECT * FROM o WHERE k % 50 = 0 AND k <= 40000),
+a AS (SELECT 0 AS turn, 'c' || (k + 1) AS claim_id, 'r' || (k + 1) AS record, 'rejected' AS action FROM q WHERE k % 100 <> 0 AND k + 1 IN (SELECT k FROM o) UNION ALL SELECT 1, 'c' || k, 'n' || k, CASE WHEN k % 100 = 0 THEN 'retracted' ELSE 'accepted' END FROM q)
+SELECT claim_id, (SELECT max(k) FROM o) + row_number() OVER (ORDER BY turn, claim_id, action) AS generation, record, action, CASE action WHEN 'retracted' THEN 'delete' ELSE 'write' END AS file FROM a""",
+    "pub_policy": """SELECT '{"x":1}' AS document, revision + CASE WHEN source = 'co.anilist' THEN 1 ELSE 0 END AS generation FROM sources""",
     "aln_order_violations": "SELECT l_orderkey AS parent, '1x' || l_linenumber AS what, 'ambiguous coordinates' AS message FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1 UNION ALL SELECT l_orderkey, CAST(l_partkey AS varchar), 'repeated episode' FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1",
     "graph_components": """WITH RECURSIVE e AS (SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_type = b.p_type AND a.p_brand = b.p_brand AND (a.p_name = b.p_name OR a.p_size = b.p_size)),
 w AS (SELECT p_partkey AS node, p_partkey AS other FROM part UNION SELECT w.node, e.b FROM w JOIN e ON e.a = w.other) SELECT node, min(other) AS root FROM w GROUP BY node""",
     "graph_edges": f"""WITH {_SHOP} SELECT claim_id, '<~>' AS operator, "left", {_F('n1', 'le')} AS left_start, {_F('n2', 'le')} AS left_end, "right", {_F('n3', 're')} AS right_start, {_F('n4', 're')} AS right_end FROM fr""",
     "graph_cuts": f"""WITH {_SHOP} SELECT DISTINCT unit, place FROM (SELECT "left" AS unit, unnest([{_F('n1', 'le')}, {_F('n2', 'le')}, '0/1', '1/1']) AS place FROM fr UNION ALL SELECT "right", unnest([{_F('n3', 're')}, {_F('n4', 're')}, '0/1', '1/1']) FROM fr)""",
-    "graph_conflict": "SELECT '' AS unit, 0 AS atom, 0 AS times WHERE false",
+    "graph_conflict": "SELECT 's://' || n_nationkey AS unit, 2 AS times FROM nation",
     "graph_atom_counts": f"WITH {_SHOP} SELECT 2 * count(*) AS pieces, count(*) AS atoms FROM fr",
     "num_dense": "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS number FROM orders",
     "pol_targets": f"WITH {_FOOT} SELECT target_source, count(*) AS edges, count(DISTINCT origin) AS origins FROM w GROUP BY target_source",

@@ -9,6 +9,7 @@ from ..functions.claims import bare_claim, claim_id, common_divisor, is_claim_id
 from ..functions.content import normalize_title, year_of
 from ..operators import facts as P
 from ..operators import link as L
+from ..operators import pipeline as PL
 from ..operators.changes import live_records
 from ..session import Cut
 from ..sources.tables import table
@@ -88,6 +89,35 @@ def link_current(s, d):
     return L.current_supports(L.supports(f, P.blocks(f)), current).groupBy("claim_id", "method").agg(F.count("*").alias("supports"))
 
 
+def _halves(s, d) -> tuple[dict, DataFrame]:
+    """The state that the first half of the revisions gives, and the live records now."""
+    v = table(s, d, "record_versions")
+    half = (v.agg(F.max("revision")).first()[0] or 0) // 2
+    state = PL.started(live_records(v.where(F.col("revision") <= half)).select("source", "key", "revision", "payload"))
+    return state | {"supports": Cut(state["supports"], "supports").df}, Cut(live(s, d), "live").df
+
+
+def pip_project(s, d):
+    """Supports by claim after the second half of the revisions came as changes: as many as from scratch."""
+    state, now = _halves(s, d)
+    return PL.reprojected(state, now)["supports"].groupBy("claim_id", "method").agg(F.count("*").alias("supports"))
+
+
+def pip_candidates(s, d):
+    """Claims with the revision of their evidence after both halves, those that lost all supports included."""
+    state, now = _halves(s, d)
+    after = PL.reprojected(state, now)["supports"]
+    first = PL.bumped(s.createDataFrame([], "claim_id string, statement string, revision bigint"), after.limit(0), state["supports"])
+    return PL.bumped(first, state["supports"], after).select("claim_id", "statement", (F.col("revision") > 0).alias("seen"))
+
+
+def pip_dirty(s, d):
+    v = table(s, d, "record_versions")
+    half = (v.agg(F.max("revision")).first()[0] or 0) // 2
+    old = live_records(v.where(F.col("revision") <= half)).select("source", "key", "revision", F.lit(PL.ENGINE).alias("engine"))
+    return PL.dirty_records(live(s, d), old)
+
+
 def link_with_input(s, d):
     return L.with_input(supports(s, d), "/idMal").groupBy("claim_id").agg(F.count("*").alias("supports"))
 
@@ -157,7 +187,7 @@ def dsl_extent_gcd(s, d):
     return rows.select("l_orderkey", common_divisor(F.col("q")).alias("divisor"))
 
 
-QUERIES = {f.__name__: f for f in (fact_project, fact_titles, fact_identifiers, fact_normalize, fact_year_guard, blk_keys, blk_hot, link_pairs, link_supports, link_candidates, link_current, link_with_input, link_identifiers, link_division, link_status, evidence_lists, claim_canonical_id, claim_directional_id, dsl_parse, dsl_rejects, dsl_references, dsl_claim_ids, dsl_extent_gcd)}
+QUERIES = {f.__name__: f for f in (fact_project, fact_titles, fact_identifiers, fact_normalize, fact_year_guard, blk_keys, blk_hot, link_pairs, link_supports, link_candidates, link_current, pip_project, pip_candidates, pip_dirty, link_with_input, link_identifiers, link_division, link_status, evidence_lists, claim_canonical_id, claim_directional_id, dsl_parse, dsl_rejects, dsl_references, dsl_claim_ids, dsl_extent_gcd)}
 
 _FACTS = r"""
 v AS (SELECT source, lower(regexp_replace(key, '^\s+|\s+$', '', 'g')) AS key, revision, payload, deleted FROM record_versions),
@@ -225,4 +255,9 @@ SELECT o_custkey, canonical, 'v1:' || sha256('catenary-claim:v1' || chr(0) || ca
     "dsl_claim_ids": r"SELECT claim_id, regexp_full_match(claim_id, 'v1:[0-9a-f]{64}') AS ok FROM unit_pairs WHERE claim_id IS NOT NULL",
     "dsl_extent_gcd": "WITH q AS (SELECT l_orderkey, CAST(sum(l_quantity) AS bigint) AS q FROM lineitem GROUP BY l_orderkey, l_linenumber) SELECT l_orderkey, list_reduce(list(q), lambda a, b: gcd(a, b)) AS divisor FROM q GROUP BY l_orderkey",
 }
+_HALF = _SUPPORTS.replace("FROM record_versions)", "FROM record_versions WHERE revision <= (SELECT max(revision) // 2 FROM record_versions))")
+_LIVE = "(SELECT source, key, revision FROM (SELECT source, key, max(revision) AS revision, max(revision) FILTER (deleted) AS dead, max(revision) FILTER (NOT deleted) AS born FROM (SELECT source, lower(regexp_replace(key, '^\\s+|\\s+$', '', 'g')) AS key, revision, deleted FROM record_versions{}) GROUP BY ALL) WHERE born > coalesce(dead, born - 1))"
+SQL["pip_project"] = f"WITH {_SUPPORTS} SELECT claim_id, method, count(*) AS supports FROM claims GROUP BY claim_id, method"
+SQL["pip_candidates"] = f"SELECT claim_id, statement, true AS seen FROM (WITH {_SUPPORTS} SELECT claim_id, statement FROM claims) UNION SELECT claim_id, statement, true FROM (WITH {_HALF} SELECT claim_id, statement FROM claims)"
+SQL["pip_dirty"] = f"SELECT coalesce(a.source, b.source) AS source, coalesce(a.key, b.key) AS key FROM {_LIVE.format('')} a FULL JOIN {_LIVE.format(' WHERE revision <= (SELECT max(revision) // 2 FROM record_versions)')} b ON a.source = b.source AND a.key = b.key WHERE a.revision IS DISTINCT FROM b.revision"
 SQL["claim_canonical_id"] = f"SELECT statement, 'v1:' || sha256('catenary-claim:v1' || chr(0) || statement) AS claim_id FROM ({SQL['link_identifiers']})"
