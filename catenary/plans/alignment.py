@@ -330,6 +330,9 @@ t AS (SELECT claim_id, CAST(sum(extent) AS bigint) AS total FROM c GROUP BY clai
 r AS (SELECT claim_id, 1 AS ordinal, total // 3 AS extent, 0 AS s0, total // 3 AS s1 FROM t WHERE total // 3 > 0 UNION ALL SELECT claim_id, 2, total - total // 3, total // 3, total FROM t),
 seg AS (SELECT l.claim_id, 'c://' || l.claim_id || '/' || g AS "left", 's://' || l.claim_id || '/' || r.ordinal AS "right", greatest(l.s0, r.s0) AS a, least(l.s1, r.s1) AS b, l.s0 AS ls, l.extent AS le, r.s0 AS rs, r.extent AS re FROM l JOIN r ON l.claim_id = r.claim_id AND l.s0 < r.s1 AND r.s0 < l.s1),
 fr AS (SELECT claim_id, "left", "right", CAST(a - ls AS bigint) AS n1, CAST(b - ls AS bigint) AS n2, CAST(le AS bigint) AS le, CAST(a - rs AS bigint) AS n3, CAST(b - rs AS bigint) AS n4, CAST(re AS bigint) AS re, a, b FROM seg)"""
+_ATOMS = """pc AS (SELECT claim_id, "left" AS unit, 0 AS side, n1 AS a, n2 AS z, le AS d, claim_id || '|' || "left" || '|' || "right" AS seg, n1 * 1.0 / le AS at_ FROM fr UNION ALL SELECT claim_id, "right", 1, n3, n4, re, claim_id || '|' || "left" || '|' || "right", n3 * 1.0 / re FROM fr),
+pp AS (SELECT *, CAST(row_number() OVER (PARTITION BY unit ORDER BY at_) - 1 AS int) AS piece FROM pc),
+an AS (SELECT seg, CAST(row_number() OVER (ORDER BY f) - 1 AS int) AS atom FROM (SELECT seg, min((unit, piece)) AS f FROM pp GROUP BY seg))"""
 _F = lambda n, d: f"({n} // gcd({n}, {d})) || '/' || ({d} // gcd({n}, {d}))"
 SQL = {
     "sel_domain_rank": f"WITH {_DOMAIN} SELECT entity, dimension, value, position FROM dom",
@@ -370,6 +373,19 @@ w AS (SELECT p_partkey AS node, p_partkey AS other FROM part UNION SELECT w.node
     "graph_edges": f"""WITH {_SHOP} SELECT claim_id, '<~>' AS operator, "left", {_F('n1', 'le')} AS left_start, {_F('n2', 'le')} AS left_end, "right", {_F('n3', 're')} AS right_start, {_F('n4', 're')} AS right_end FROM fr""",
     "graph_cuts": f"""WITH {_SHOP} SELECT DISTINCT unit, place FROM (SELECT "left" AS unit, unnest([{_F('n1', 'le')}, {_F('n2', 'le')}, '0/1', '1/1']) AS place FROM fr UNION ALL SELECT "right", unnest([{_F('n3', 're')}, {_F('n4', 're')}, '0/1', '1/1']) FROM fr)""",
     "graph_conflict": "SELECT 's://' || n_nationkey AS unit, 2 AS times FROM nation",
+    "graph_atoms": f"""WITH {_SHOP}, {_ATOMS} SELECT unit, piece, {_F('a', 'd')} AS "start", {_F('z', 'd')} AS "end", atom FROM pp JOIN an USING (seg)""",
+    "graph_rules": f"WITH {_SHOP}, {_ATOMS} SELECT DISTINCT list_sort(list(DISTINCT atom)) AS antecedent, list_sort(list(DISTINCT atom)) AS consequent FROM pp JOIN an USING (seg) GROUP BY claim_id",
+    "graph_implications": f"WITH {_SHOP}, {_ATOMS} SELECT DISTINCT [atom] AS antecedent, [atom] AS consequent FROM an",
+    "aln_statements": """WITH o AS (SELECT o_custkey AS parent, o_orderkey AS k, year(o_orderdate) AS s, o_orderstatus <> 'P' AS both_, row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderkey) AS e FROM orders),
+l AS (SELECT *, row_number() OVER (PARTITION BY parent ORDER BY s, e) AS la FROM o), r AS (SELECT *, row_number() OVER (PARTITION BY parent ORDER BY s, e) AS ra FROM l WHERE both_),
+b AS (SELECT *, CASE WHEN la = lag(la) OVER w + 1 AND ra = lag(ra) OVER w + 1 AND ((s = lag(s) OVER w AND e = lag(e) OVER w + 1) OR s > lag(s) OVER w) THEN 0 ELSE 1 END AS brk FROM r WINDOW w AS (PARTITION BY parent ORDER BY la)),
+n AS (SELECT *, sum(brk) OVER (PARTITION BY parent ORDER BY la) AS run FROM b),
+p AS (SELECT parent, run, s, min(e) AS e0, max(e) AS e1, min(la) AS la FROM (SELECT *, e - row_number() OVER (PARTITION BY parent, run, s ORDER BY e) AS g FROM n) GROUP BY parent, run, s, g),
+m AS (SELECT *, CASE WHEN s = lag(s) OVER w + 1 AND e0 = lag(e0) OVER w AND e1 = lag(e1) OVER w THEN 0 ELSE 1 END AS brk FROM p WINDOW w AS (PARTITION BY parent, run ORDER BY la)),
+q AS (SELECT *, sum(brk) OVER (PARTITION BY parent, run ORDER BY la) AS span FROM m),
+y AS (SELECT parent, run, span, ' :: season=' || min(s) || CASE WHEN max(s) > min(s) THEN '..' || max(s) ELSE '' END || ',episode=' || min(e0) || CASE WHEN max(e1) > min(e0) THEN '..' || max(e1) ELSE '' END AS x FROM q GROUP BY parent, run, span),
+z AS (SELECT parent, run, count(*) AS n, string_agg('shop://c/' || parent || x, ',' ORDER BY span) AS a, string_agg('shop://c/' || parent || '/b' || x, ',' ORDER BY span) AS b FROM y GROUP BY parent, run)
+SELECT parent, CAST(run AS bigint) AS run, CASE WHEN n = 1 THEN a || ' <=> ' || b ELSE '[' || a || '] <=> [' || b || ']' END AS statement FROM z""",
     "graph_atom_counts": f"WITH {_SHOP} SELECT 2 * count(*) AS pieces, count(*) AS atoms FROM fr",
     "num_dense": "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS number FROM orders",
     "pol_targets": f"WITH {_FOOT} SELECT target_source, count(*) AS edges, count(DISTINCT origin) AS origins FROM w GROUP BY target_source",
