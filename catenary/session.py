@@ -6,15 +6,19 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LIVE: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; only where that is unset (tests) a local one of our own."""
+    """The folder all executors share: spark.checkpoint.dir; only where that is unset and Spark runs on one machine (tests) a local
+    one of our own. On a cluster without it nothing can be written that all executors see, which is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="catenary-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()
@@ -31,16 +35,22 @@ class Cut:
     """A DataFrame written once as Parquet to the shared folder and read back: its lineage starts at those files.
 
     Unlike checkpoint() it runs the plan once, is compressed and keeps size statistics; like it, it survives lost executors.
-    drop() removes the files when nothing refers to them any more; the rest goes when the program ends.
+    drop() removes the files when nothing refers to them any more; the rest goes when the program ends. ``rows`` is their number,
+    counted while they were written.
     """
 
     def __init__(self, df: DataFrame, name: str = "cut"):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/catenary-{name}-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        self._counted = Observation()
+        df.observe(self._counted, F.count(F.lit(1)).alias("rows")).write.parquet(self.path)
         _LIVE[self.path] = self.spark
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
+    @property
+    def rows(self) -> int:
+        return self._counted.get["rows"]
+
     def drop(self) -> None:
         if _LIVE.pop(self.path, None):
             _delete(self.spark, self.path)

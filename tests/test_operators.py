@@ -179,8 +179,11 @@ def test_components_and_numbers(spark):
     for a, b in edges:
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
-    found = components(spark.createDataFrame(edges, "a bigint, b bigint"))
-    assert rows(found) == sorted(((x, find(x)) for x in root), key=repr)
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    for hot in (10**6, 40):  # below and above the number of rows from which hubs are looked for
+        assert rows(components(df, hot_rows=hot)) == sorted(((x, find(x)) for x in root), key=repr)
+    hub = spark.range(500).select(F.lit("hub").alias("a"), F.concat(F.lit("n"), "id").alias("b")).union(spark.createDataFrame([("x", None), (None, None)], "a string, b string"))
+    assert rows(components(hub, hot_rows=100).groupBy("root").count()) == [("hub", 501), ("x", 1)]
     order = numbering.numbered(spark.createDataFrame([(x,) for x in r.sample(range(999), 50)], "x int"), ("x",))
     assert [row.number for row in order.orderBy("x").collect()] == list(range(50))
 
