@@ -4,7 +4,8 @@ Method: random contraction. Units get numbers; in each round every vertex hooks
 comes first in a fresh hash order, edges are relabelled to the chosen vertices, loops and repeats are dropped, and the rounds
 go on until no edge is left. As at least a constant share of the vertices is expected to vanish in a round whatever the shape,
 the number of rounds is logarithmic and the work of all rounds together is a small multiple of the first. The chosen vertices
-of all rounds are then expanded backwards, from the last round to the first, and each unit gets the smallest unit of its group.
+of all rounds are then expanded backwards, from the last round to the first, and each unit gets the smallest unit of its group. The
+contraction is the core's ``components``.
 
 Every round reads and writes tables in the shared folder, so a lost executor costs a few tasks. No vertex's neighbours are
 gathered: the choice is a partial aggregation, and relabelling goes through ``lookup``, which keeps hot vertices in place.
@@ -20,53 +21,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lookup import ROWS, lookup
-from ..session import Cut
+from ..functions.text import clean
+from ..operators.components import components, contract
+from ..operators.lookup import ROWS
 
-
-def contract(edges: DataFrame, hot_rows: int = ROWS, seed: int = 0) -> DataFrame:
-    """v, root: for each vertex of ``edges`` (columns a and b, bigint) the one vertex that stands for its component."""
-    at = Cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    rounds: list[Cut] = []
-    while (rows := at.df.count()) > 0:
-        order = F.lit(len(rounds) * 1000003 + seed)
-        both = at.df.union(at.df.select("b", "a"))
-        chosen = both.groupBy(F.col("a").alias("v")).agg(F.min_by("b", F.xxhash64("b", order)).alias("n"))
-        chosen = Cut(chosen.select("v", F.when(F.xxhash64("n", order) < F.xxhash64("v", order), F.col("n")).otherwise(F.col("v")).alias("root")), "chosen")
-        rounds.append(chosen)
-        left = lookup(at.df.withColumnRenamed("a", "v"), chosen.df, "v", rows, hot_rows=hot_rows).select(F.col("root").alias("a"), F.col("b").alias("v"))
-        new = lookup(left, chosen.df, "v", rows, hot_rows=hot_rows).select("a", F.col("root").alias("b"))
-        new = Cut(new.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-        at.drop()
-        at = new
-    at.drop()
-    if not rounds:
-        return edges.select(F.col("a").alias("v"), F.col("a").alias("root")).limit(0)
-    found = rounds.pop()
-    while rounds:
-        step = rounds.pop()
-        later = found.df.select(F.col("v").alias("root"), F.col("root").alias("last"))
-        wide = Cut(lookup(step.df, later, "root", step.df.count(), "left", hot_rows).select("v", F.coalesce("last", "root").alias("root")), "roots")
-        found.drop()
-        step.drop()
-        found = wide
-    return found.df
+__all__ = ["contract", "linked_groups"]
 
 
 def linked_groups(pairs: DataFrame, left: str = "left_unit", right: str = "right_unit", hot_rows: int = ROWS) -> DataFrame:
     """unit, group_unit for each unit on either side of any pair; ``group_unit`` is the smallest unit of the group."""
-    from ..functions.text import clean
-
     sides = pairs.select(F.nullif(clean(left), F.lit("")).alias("l"), F.nullif(clean(right), F.lit("")).alias("r"))
-    links = Cut(sides.where("l IS NOT NULL OR r IS NOT NULL").distinct(), "links")
-    units = Cut(
-        links.df.select(F.explode(F.array("l", "r")).alias("unit")).where("unit IS NOT NULL").distinct().withColumn("v", F.monotonically_increasing_id()), "units"
-    )
-    rows = links.df.count()
-    edges = links.df.where("l <> r").withColumnRenamed("l", "unit")
-    edges = lookup(edges, units.df, "unit", rows, hot_rows=hot_rows).select(F.col("v").alias("a"), F.col("r").alias("unit"))
-    edges = lookup(edges, units.df, "unit", rows, hot_rows=hot_rows).select("a", F.col("v").alias("b"))
-    roots = contract(edges, hot_rows)
-    named = Cut(units.df.join(roots, "v", "left").select("unit", F.coalesce("root", "v").alias("root")), "named")
-    smallest = named.df.groupBy("root").agg(F.min("unit").alias("group_unit"))
-    return lookup(named.df, smallest, "root", named.df.count(), hot_rows=hot_rows).select("unit", "group_unit")
+    return components(sides, "l", "r", hot_rows).select(F.col("node").alias("unit"), F.col("root").alias("group_unit"))
