@@ -172,6 +172,17 @@ def dsl_rejects(s, d):
     return table(s, d, "customer").select("c_custkey", parsed()(text).alias("p")).select("c_custkey", F.col("p.ok").alias("ok"))
 
 
+def dsl_documents(s, d):
+    """Documents of two records each, by the table function in SQL."""
+    from .. import sql
+
+    sql.register(s)
+    k = F.col("o_orderkey").cast("string")
+    text = F.concat(F.lit("# first\n#@by x\na://"), k, F.lit(" @2 <~> b://1 @4\nc://"), k, F.lit("  =>  b://2\n"))
+    docs = table(s, d, "orders").select("o_orderkey", text.alias("text"))
+    return s.sql("SELECT o_orderkey, r.record, r.canonical, r.claim_id, r.metadata FROM {docs} d, LATERAL parse_document(d.text) r", docs=docs)
+
+
 def dsl_references(s, d):
     rows = table(s, d, "unit_pairs").select(F.explode(F.array("left_unit", "right_unit")).alias("u")).where("u IS NOT NULL")
     return rows.groupBy(is_reference(F.col("u")).alias("ok")).agg(F.count("*").alias("n"))
@@ -187,7 +198,7 @@ def dsl_extent_gcd(s, d):
     return rows.select("l_orderkey", common_divisor(F.col("q")).alias("divisor"))
 
 
-QUERIES = {f.__name__: f for f in (fact_project, fact_titles, fact_identifiers, fact_normalize, fact_year_guard, blk_keys, blk_hot, link_pairs, link_supports, link_candidates, link_current, pip_project, pip_candidates, pip_dirty, link_with_input, link_identifiers, link_division, link_status, evidence_lists, claim_canonical_id, claim_directional_id, dsl_parse, dsl_rejects, dsl_references, dsl_claim_ids, dsl_extent_gcd)}
+QUERIES = {f.__name__: f for f in (fact_project, fact_titles, fact_identifiers, fact_normalize, fact_year_guard, blk_keys, blk_hot, link_pairs, link_supports, link_candidates, link_current, pip_project, pip_candidates, pip_dirty, link_with_input, link_identifiers, link_division, link_status, evidence_lists, claim_canonical_id, claim_directional_id, dsl_parse, dsl_rejects, dsl_documents, dsl_references, dsl_claim_ids, dsl_extent_gcd)}
 
 _FACTS = r"""
 v AS (SELECT source, lower(regexp_replace(key, '^\s+|\s+$', '', 'g')) AS key, revision, payload, deleted FROM record_versions),
@@ -251,6 +262,8 @@ SELECT 'v1:' || sha256('catenary-claim:v1' || chr(0) || statement) AS claim_id,
     "dsl_parse": """WITH r AS (SELECT o_custkey, count(*) AS n, max(o_orderkey) AS k FROM orders GROUP BY o_custkey), c AS (SELECT o_custkey, '[a://c/' || o_custkey || ' @3,a://d/1] <~> z://o/' || k || ' :: at=1..3,line={a,b} @2' AS canonical FROM r)
 SELECT o_custkey, canonical, 'v1:' || sha256('catenary-claim:v1' || chr(0) || canonical) AS claim_id, 3 AS selections FROM c""",
     "dsl_rejects": "SELECT c_custkey, c_custkey % 7 IN (4, 5, 6) AS ok FROM customer",
+    "dsl_documents": """SELECT o_orderkey, 0 AS record, canonical, 'v1:' || sha256('catenary-claim:v1' || chr(0) || canonical) AS claim_id, '# first' || chr(10) || '#@by x' AS metadata FROM (SELECT o_orderkey, 'a://' || o_orderkey || ' <~> b://1 @2' AS canonical FROM orders)
+UNION ALL SELECT o_orderkey, 1, canonical, 'v1:' || sha256('catenary-claim:v1' || chr(0) || canonical), '' FROM (SELECT o_orderkey, 'c://' || o_orderkey || ' => b://2' AS canonical FROM orders)""",
     "dsl_references": r"SELECT regexp_full_match(u, '[A-Za-z][A-Za-z0-9._-]*://[^\x00-\x20,<>\[\]\x7F]+') AS ok, count(*) AS n FROM (SELECT left_unit AS u FROM unit_pairs UNION ALL SELECT right_unit FROM unit_pairs) WHERE u IS NOT NULL GROUP BY 1",
     "dsl_claim_ids": r"SELECT claim_id, regexp_full_match(claim_id, 'v1:[0-9a-f]{64}') AS ok FROM unit_pairs WHERE claim_id IS NOT NULL",
     "dsl_extent_gcd": "WITH q AS (SELECT l_orderkey, CAST(sum(l_quantity) AS bigint) AS q FROM lineitem GROUP BY l_orderkey, l_linenumber) SELECT l_orderkey, list_reduce(list(q), lambda a, b: gcd(a, b)) AS divisor FROM q GROUP BY l_orderkey",

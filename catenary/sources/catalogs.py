@@ -106,13 +106,23 @@ class _Page(InputPartition):
         self.path, self.number = path, number
 
 
+def _filesystem(folder: str):
+    """The file system of a folder, local or of a cluster, and the folder's path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), os.path.abspath(folder))
+
+
 def _pages(folder: str) -> list[str]:
-    return sorted(os.path.join(folder, n) for n in os.listdir(folder) if n.endswith(".json"))
+    from pyarrow.fs import FileSelector
 
+    files, at = _filesystem(folder)
+    return sorted(f.path for f in files.get_file_info(FileSelector(at)) if f.base_name.endswith(".json"))
 
-def _rows(path: str, number: int) -> Iterator[tuple[int, str, str]]:
-    with open(path, encoding="utf-8") as f:
-        page = json.load(f)
+
+def _rows(folder: str, path: str, number: int) -> Iterator[tuple[int, str, str]]:
+    with _filesystem(folder)[0].open_input_stream(path) as f:
+        page = json.loads(f.read())
     for record in page.get("records", []):
         yield number, record["key"], json.dumps(record.get("payload"), ensure_ascii=False, separators=(",", ":"))
 
@@ -142,7 +152,7 @@ class _BatchReader(DataSourceReader):
         return [_Page(p, i) for i, p in enumerate(_pages(self.path))]
 
     def read(self, partition: _Page) -> Iterator[tuple]:
-        return _rows(partition.path, partition.number)
+        return _rows(self.path, partition.path, partition.number)
 
 
 class _StreamReader(DataSourceStreamReader):
@@ -162,8 +172,11 @@ class _StreamReader(DataSourceStreamReader):
         pass
 
     def read(self, partition: _Page) -> Iterator[tuple]:
-        return _rows(partition.path, partition.number)
+        return _rows(self.path, partition.path, partition.number)
 
 
 def register(spark: SparkSession) -> None:
+    from . import feeds
+
     spark.dataSource.register(PagesSource)
+    feeds.register(spark)

@@ -57,7 +57,9 @@ class Client:
                         self._next = max(self._next, self.clock() + (asked if asked is not None else delay))
                     delay *= 2
                     continue
-            except (urllib.error.URLError, TimeoutError):
+            except (urllib.error.URLError, TimeoutError) as e:
+                if isinstance(getattr(e, "reason", None), FileNotFoundError):
+                    return None  # a stored answer that is not there
                 if attempt == ATTEMPTS - 1:
                     raise
             self.sleep(delay)
