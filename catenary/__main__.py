@@ -7,7 +7,9 @@ source-show FOLDER KEY    the current record of a key
 changes FOLDER SOURCE REVISION [LIMIT]   a page of the change feed
 candidates FOLDER [LIMIT] candidate claims with their evidence counts
 show FOLDER CLAIM         the supports of a claim
-publish FOLDER OUT        writes artifacts of all candidate claims with two supports or more as accepted
+sync FOLDER STATE         brings the supports in STATE up to date with the records of FOLDER, and prints what was withdrawn
+decide STATE RECORD ACTION NOTE   adds a decision (accepted, rejected, retracted) on a claim, given as a file with its record
+publish STATE OUT         writes the decisions in force that are not retracted as artifacts
 retain FOLDER DAYS        versions that nothing needs any more
 query NAME FOLDER         any query of the catalogue
 """
@@ -46,6 +48,44 @@ def fmt(path: str, check: bool) -> int:
     return 0
 
 
+def sync(spark, folder: str, state: str) -> None:
+    """One step of linking: from scratch if nothing was written yet, else by what changed."""
+    from .operators import pipeline as P
+    from .plans.linking import live
+    from .session import Cut
+    from .sources.sinks import Ledger
+
+    names = ("facts", "blocks", "supports", "projected")
+    ledger = Ledger(spark, f"{state}/steps")
+    steps = ledger.revisions()
+    now = Cut(live(spark, folder), "live").df
+    if steps:
+        made = P.reprojected({n: spark.read.parquet(f"{state}/tables/{steps[-1]}/{n}") for n in names}, now)
+        _print(made["withdrawn"].select("id", "statement", "method"))
+    else:
+        made = P.started(now)
+    step = f"{len(steps) + 1:06d}"
+    for n in names:
+        made[n].write.mode("overwrite").parquet(f"{state}/tables/{step}/{n}")
+    ledger.append(spark.createDataFrame([(step,)], "step string"), step)  # only now the step counts
+
+
+def decide(spark, state: str, path: str, action: str, note: str) -> None:
+    from .functions.claims import parse_record
+    from .operators import pipeline as P
+    from .sources.sinks import Ledger
+
+    if action not in ("accepted", "rejected", "retracted") or not note.strip():
+        raise SystemExit("an action is accepted, rejected or retracted, and needs a note")
+    record = parse_record(open(path, encoding="utf-8", newline="").read())
+    ledger = Ledger(spark, f"{state}/events")
+    schema = "claim_id string, version bigint, record string, action string, note string"
+    before = ledger.read() if ledger.revisions() else spark.createDataFrame([], schema)
+    asked = spark.createDataFrame([(record.statement.claim_id(), record.canonical(), action, note, None)], "claim_id string, record string, action string, note string, replaces string")
+    new = P.saved_decisions(before, asked)["events"].join(before.select("version"), "version", "left_anti").select("claim_id", "version", "record", "action", "note")
+    ledger.append(new, f"{len(ledger.revisions()) + 1:06d}")
+
+
 def main(args: list[str]) -> int:
     if not args:
         print(__doc__)
@@ -78,9 +118,14 @@ def main(args: list[str]) -> int:
         _print(catalogue.QUERIES["link_candidates"](spark, rest[0]).orderBy("claim_id").limit(int(rest[1]) if len(rest) > 1 else 100))
     elif command == "show":
         _print(linking.supports(spark, rest[0]).where(F.col("claim_id") == rest[1]))
+    elif command == "sync":
+        sync(spark, rest[0], rest[1])
+    elif command == "decide":
+        decide(spark, *rest[:4])
     elif command == "publish":
-        claims = catalogue.QUERIES["link_candidates"](spark, rest[0]).where("supports >= 2")
-        decided = claims.select("claim_id", F.concat("statement", F.lit("\n")).alias("record"), F.lit("accepted").alias("action"), F.lit(None).cast("map<string,string>").alias("bindings"))
+        from .sources.sinks import Ledger
+
+        decided = V.decisions(Ledger(spark, f"{rest[0]}/events").read()).select("claim_id", "record", "action", F.lit(None).cast("map<string,string>").alias("bindings"))
         V.write_artifacts(V.artifacts(decided), rest[1])
     elif command == "retain":
         v = store.versions(spark, rest[0])

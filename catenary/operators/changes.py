@@ -60,7 +60,7 @@ def apply_changes(feed: DataFrame, keys: tuple[str, ...], sequence: str, fields:
 
 
 def _feed(versions: DataFrame) -> DataFrame:
-    return versions.select("source", clean("key").alias("key"), versions["revision"].cast("bigint").alias("revision"), "payload", "hash", "deleted", "metadata", "recorded_at")
+    return versions.select("source", clean("key").alias("key"), versions["revision"].cast("bigint").alias("revision"), "payload", "hash", "deleted", "metadata")
 
 
 def live_records(versions: DataFrame) -> DataFrame:

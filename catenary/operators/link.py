@@ -29,14 +29,22 @@ def block_pairs(blocks: DataFrame, facts: DataFrame, most: int = HOT) -> DataFra
     """Pairs of records of two sources in a common scope and of equal kind (a unit goes with any).
 
     Scopes of titles with more than ``most`` records say too little: they are counted by key and left out before anything is
-    paired, and ``hot_scopes`` reports them.
+    paired, and ``hot_scopes`` reports them. Scopes of identifiers are all paired; one with more than ``most`` records, which would
+    give pairs without end, gives each record's pair with the first record (by uri) of each other source that it may go with, so
+    that all of them stay linked and the pairs grow with the records.
     """
     side = facts.select("uri", "source", "key", "revision", "kind")
-    rows = blocks.join(hot_scopes(blocks, most).select("scope"), "scope", "left_anti").join(side, "uri")
-    a = rows.select("scope", *[F.col(c).alias(f"a_{c}") for c in side.columns])
-    b = rows.select("scope", *[F.col(c).alias(f"b_{c}") for c in side.columns])
+    counted = blocks.groupBy("scope").agg(F.count("*").alias("members")).where(F.col("members") > most).select("scope", F.lit(True).alias("__large"))
+    rows = blocks.join(counted, "scope", "left").where(F.col("__large").isNull() | F.col("scope").startswith("id:")).join(side, "uri")
+    named = lambda d, p: d.select("scope", *[F.col(c).alias(f"{p}_{c}") for c in side.columns])
     alike = (F.col("a_kind") == F.col("b_kind")) | (F.col("a_kind") == "unit") | (F.col("b_kind") == "unit")
-    return a.join(b, "scope").where((F.col("b_uri") > F.col("a_uri")) & (F.col("a_source") != F.col("b_source")) & alike)
+    small, large = rows.where("__large IS NULL"), rows.where("__large")
+    pairs = named(small, "a").join(named(small, "b"), "scope").where((F.col("b_uri") > F.col("a_uri")) & (F.col("a_source") != F.col("b_source")) & alike)
+    first = large.groupBy("scope", "source", "kind").agg(F.min(F.struct("uri", "source", "key", "revision", "kind")).alias("f")).select("scope", "f.*")  # few for each scope
+    to_first = named(large, "a").join(named(first, "b"), "scope").where((F.col("a_source") != F.col("b_source")) & alike)
+    ends = lambda x, y: [F.when(F.col("a_uri") < F.col("b_uri"), F.col(f"{x}_{c}")).otherwise(F.col(f"{y}_{c}")).alias(f"{p}_{c}") for p, x, y in ((x, x, y),) for c in side.columns]
+    ordered = to_first.select("scope", *ends("a", "b"), *ends("b", "a")).distinct()
+    return pairs.unionByName(ordered)
 
 
 def pair_supports(blocks: DataFrame, facts: DataFrame, most: int = HOT) -> DataFrame:

@@ -183,6 +183,13 @@ def absent_records(current: DataFrame, run_id: str, source: str, domains: tuple[
     return current.where((F.col("source") == source) & ~F.col("deleted") & F.col("domain").isin(*domains) & ~F.col("seen_run").eqNullSafe(F.lit(run_id)))
 
 
+def unseen_records(current: DataFrame, last_runs: DataFrame, domains: tuple[str, ...]) -> DataFrame:
+    """Live records of these domains that the last complete full run of their source (source, run_id) did not see; sources without
+    such a run have none."""
+    rows = current.where(~F.col("deleted") & F.col("domain").isin(*domains)).join(last_runs.select("source", F.col("run_id").alias("__run")), "source")
+    return rows.where(~F.col("seen_run").eqNullSafe(F.col("__run"))).drop("__run")
+
+
 def damaged(records: DataFrame) -> DataFrame:
     """Records whose hash is not that of their payload."""
     return records.where(F.col("payload").isNotNull() & ~content_hash("payload").eqNullSafe(F.col("hash")))

@@ -153,6 +153,15 @@ def rev_pending(s, d):
     return PL.pending_decisions(out["pending"], out["decisions"])
 
 
+def pub_bindings(s, d):
+    """What selections of customers' orders stood for, or why not, written into bindings and read back."""
+    o = table(s, d, "orders").select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("claim_id"), F.concat(F.lit("o://"), "o_orderstatus", F.lit(" :: **")).alias("selection_key"), F.concat(F.lit("o://"), F.col("o_orderkey").cast("string")).alias("unit"))
+    found = o.groupBy("claim_id", "selection_key").agg(F.array_sort(F.collect_set("unit")).alias("units"))
+    said = found.select("claim_id", "selection_key", F.when(F.size("units") > 1, F.col("units")).alias("units"), F.when(F.size("units") == 1, "too few").alias("error"))
+    back = V.resolved_from(found.select("claim_id", "selection_key"), V.binding_map(said))
+    return back.select("claim_id", "selection_key", F.array_join("units", ";").alias("units"))
+
+
 def pub_policy(s, d):
     return PL.set_policy(table(s, d, "sources").select(F.when(F.col("source") == "co.anilist", "{}").otherwise('{"x":1}').alias("document"), F.col("revision").alias("generation")), '{"x":1}')
 
@@ -311,7 +320,7 @@ def src_episode_orders(s, d):
     return C.episode_orders(rows).select("series", F.array_join("episodes", ";").alias("episodes"))
 
 
-QUERIES = {f.__name__: f for f in (sel_domain_rank, sel_units, sel_order_units, sem_violations, sem_evaluate, sem_align_extent, sem_tails, sem_zip, aln_islands, aln_spans, aln_expressions, aln_unique_match, aln_dates, aln_statements, pip_hierarchy, rev_violations, rev_pending, pub_policy, aln_order_violations, graph_components, graph_edges, graph_cuts, graph_atoms, graph_conflict, graph_atom_counts, graph_rules, graph_implications, num_dense, pol_targets, pol_conflicts, rev_decisions, pub_byte_budget, pub_topn, pub_delta, pub_shard, pub_artifacts, pub_validate, pub_endpoints, src_update_changes, src_show_members, src_asked_and_found, src_new_or_airing, src_episode_orders)}
+QUERIES = {f.__name__: f for f in (sel_domain_rank, sel_units, sel_order_units, sem_violations, sem_evaluate, sem_align_extent, sem_tails, sem_zip, aln_islands, aln_spans, aln_expressions, aln_unique_match, aln_dates, aln_statements, pip_hierarchy, rev_violations, rev_pending, pub_bindings, pub_policy, aln_order_violations, graph_components, graph_edges, graph_cuts, graph_atoms, graph_conflict, graph_atom_counts, graph_rules, graph_implications, num_dense, pol_targets, pol_conflicts, rev_decisions, pub_byte_budget, pub_topn, pub_delta, pub_shard, pub_artifacts, pub_validate, pub_endpoints, src_update_changes, src_show_members, src_asked_and_found, src_new_or_airing, src_episode_orders)}
 
 _LINES = "lines AS (SELECT l_orderkey, l_linenumber, CAST(sum(l_quantity) AS bigint) AS extent, max(l_returnflag) AS flag FROM lineitem GROUP BY ALL)"
 _SIDES = f"""{_LINES}, l AS (SELECT l_orderkey AS claim_id, l_linenumber AS ordinal, extent, sum(extent) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS e FROM lines),
@@ -366,6 +375,7 @@ UNION ALL SELECT 'c' || k, 'the policy excludes it' FROM o WHERE k % 2 = 0 AND k
     "rev_pending": """WITH o AS (SELECT DISTINCT o_custkey AS k FROM orders), q AS (SELECT * FROM o WHERE k % 50 = 0 AND k <= 40000),
 a AS (SELECT 0 AS turn, 'c' || (k + 1) AS claim_id, 'r' || (k + 1) AS record, 'rejected' AS action FROM q WHERE k % 100 <> 0 AND k + 1 IN (SELECT k FROM o) UNION ALL SELECT 1, 'c' || k, 'n' || k, CASE WHEN k % 100 = 0 THEN 'retracted' ELSE 'accepted' END FROM q)
 SELECT claim_id, (SELECT max(k) FROM o) + row_number() OVER (ORDER BY turn, claim_id, action) AS generation, record, action, CASE action WHEN 'retracted' THEN 'delete' ELSE 'write' END AS file FROM a""",
+    "pub_bindings": "SELECT 'c' || o_custkey AS claim_id, 'o://' || o_orderstatus || ' :: **' AS selection_key, CASE WHEN count(*) > 1 THEN string_agg('o://' || o_orderkey, ';' ORDER BY 'o://' || o_orderkey) END AS units FROM orders GROUP BY o_custkey, o_orderstatus",
     "pub_policy": """SELECT '{"x":1}' AS document, revision + CASE WHEN source = 'co.anilist' THEN 1 ELSE 0 END AS generation FROM sources""",
     "aln_order_violations": "SELECT l_orderkey AS parent, '1x' || l_linenumber AS what, 'ambiguous coordinates' AS message FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1 UNION ALL SELECT l_orderkey, CAST(l_partkey AS varchar), 'repeated episode' FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1",
     "graph_components": """WITH RECURSIVE e AS (SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_type = b.p_type AND a.p_brand = b.p_brand AND (a.p_name = b.p_name OR a.p_size = b.p_size)),

@@ -10,6 +10,7 @@ from ..functions.content import normalize_title, year_of
 from ..operators import facts as P
 from ..operators import link as L
 from ..operators import pipeline as PL
+from ..operators import review as V
 from ..operators.changes import live_records
 from ..session import Cut
 from ..sources.tables import table
@@ -80,6 +81,13 @@ def link_candidates(s, d):
     return L.candidates(supports(s, d))
 
 
+def link_decided(s, d):
+    """Candidates with the decision in force, where there is one."""
+    found = Cut(supports(s, d), "supports").df
+    events = found.select("claim_id").distinct().where(F.substring("claim_id", 4, 1) < "8").select("claim_id", F.lit(1).cast("bigint").alias("version"), F.when(F.substring("claim_id", 4, 1) < "6", "accepted").otherwise("retracted").alias("action"))
+    return L.candidates(found, V.decisions(events)).select("claim_id", "supports", "action")
+
+
 def link_current(s, d):
     """Supports found when half of the revisions were there, as far as all their records are still the same now."""
     v = table(s, d, "record_versions")
@@ -198,7 +206,7 @@ def dsl_extent_gcd(s, d):
     return rows.select("l_orderkey", common_divisor(F.col("q")).alias("divisor"))
 
 
-QUERIES = {f.__name__: f for f in (fact_project, fact_titles, fact_identifiers, fact_normalize, fact_year_guard, blk_keys, blk_hot, link_pairs, link_supports, link_candidates, link_current, pip_project, pip_candidates, pip_dirty, link_with_input, link_identifiers, link_division, link_status, evidence_lists, claim_canonical_id, claim_directional_id, dsl_parse, dsl_rejects, dsl_documents, dsl_references, dsl_claim_ids, dsl_extent_gcd)}
+QUERIES = {f.__name__: f for f in (fact_project, fact_titles, fact_identifiers, fact_normalize, fact_year_guard, blk_keys, blk_hot, link_pairs, link_supports, link_candidates, link_decided, link_current, pip_project, pip_candidates, pip_dirty, link_with_input, link_identifiers, link_division, link_status, evidence_lists, claim_canonical_id, claim_directional_id, dsl_parse, dsl_rejects, dsl_documents, dsl_references, dsl_claim_ids, dsl_extent_gcd)}
 
 _FACTS = r"""
 v AS (SELECT source, lower(regexp_replace(key, '^\s+|\s+$', '', 'g')) AS key, revision, payload, deleted FROM record_versions),
@@ -268,6 +276,7 @@ UNION ALL SELECT o_orderkey, 1, canonical, 'v1:' || sha256('catenary-claim:v1' |
     "dsl_claim_ids": r"SELECT claim_id, regexp_full_match(claim_id, 'v1:[0-9a-f]{64}') AS ok FROM unit_pairs WHERE claim_id IS NOT NULL",
     "dsl_extent_gcd": "WITH q AS (SELECT l_orderkey, CAST(sum(l_quantity) AS bigint) AS q FROM lineitem GROUP BY l_orderkey, l_linenumber) SELECT l_orderkey, list_reduce(list(q), lambda a, b: gcd(a, b)) AS divisor FROM q GROUP BY l_orderkey",
 }
+SQL["link_decided"] = f"WITH {_SUPPORTS} SELECT claim_id, count(*) AS supports, CASE WHEN substr(claim_id, 4, 1) < '6' THEN 'accepted' END AS action FROM claims GROUP BY claim_id"
 _HALF = _SUPPORTS.replace("FROM record_versions)", "FROM record_versions WHERE revision <= (SELECT max(revision) // 2 FROM record_versions))")
 _LIVE = "(SELECT source, key, revision FROM (SELECT source, key, max(revision) AS revision, max(revision) FILTER (deleted) AS dead, max(revision) FILTER (NOT deleted) AS born FROM (SELECT source, lower(regexp_replace(key, '^\\s+|\\s+$', '', 'g')) AS key, revision, deleted FROM record_versions{}) GROUP BY ALL) WHERE born > coalesce(dead, born - 1))"
 SQL["pip_project"] = f"WITH {_SUPPORTS} SELECT claim_id, method, count(*) AS supports FROM claims GROUP BY claim_id, method"

@@ -139,10 +139,10 @@ def rec_membership_diff(s, d):
 
 
 def rec_absent(s, d):
-    runs = table(s, d, "sync_runs").where("source = 'com.thetvdb' AND mode = 'full' AND status = 'complete'")
-    last = runs.orderBy(F.desc("started_at")).limit(1).collect()
+    """Films and series of one catalog that its last complete full run did not see."""
+    runs = table(s, d, "sync_runs").where("mode = 'full' AND status = 'complete'").groupBy("source").agg(F.max_by("run_id", F.struct("started_at", "run_id")).alias("run_id"))
     rows = table(s, d, "records").select("source", clean("key").alias("key"), domain_of(clean("key")).alias("domain"), "deleted", "seen_run")
-    return R.absent_records(rows, last[0]["run_id"] if last else "", "com.thetvdb", ("movie", "series")).select("key", "seen_run").distinct()
+    return R.unseen_records(rows.where("source = 'com.thetvdb'"), runs, ("movie", "series")).select("key", "seen_run").distinct()
 
 
 def rec_retention(s, d):

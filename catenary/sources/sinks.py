@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,34 +26,39 @@ class Ledger:
         at = self._path(f"{self.folder}/{sub}")
         return sorted(s.getPath().getName() for s in self._fs.listStatus(at)) if self._fs.exists(at) else []
 
+    def _parts(self) -> list[tuple[str, str]]:
+        """Revision and folder of what was written, in order: one small read of all manifests."""
+        names = [n for n in self._names("manifests") if n.endswith(".json")]
+        if not names:
+            return []
+        lines = self.spark.read.text([f"{self.folder}/manifests/{n}" for n in names]).select("value", "_metadata.file_name").collect()
+        return [(m["revision"], m["part"]) for _, m in sorted((r[1], json.loads(r[0])) for r in lines)]
+
     def revisions(self) -> list[str]:
         """The revisions written, in order."""
-        out: list[str] = []
-        for name in self._names("manifests"):
-            if name.endswith(".json"):
-                out += [json.loads(r[0])["revision"] for r in self.spark.read.text(f"{self.folder}/manifests/{name}").collect()]
-        return out
+        return [r for r, _ in self._parts()]
 
     def append(self, rows: DataFrame, revision: str) -> bool:
-        """Adds a revision; false if it was there already."""
+        """Adds a revision; false if it was there already. Each write has a folder of its own, so that of two writers of one revision
+        the one whose manifest comes second leaves the other's rows alone, and fails."""
         if revision in self.revisions():
             return False
-        part = f"{self.folder}/parts/{revision}"
-        rows.write.mode("overwrite").parquet(part)
+        part = f"{revision}-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.folder}/parts/{part}")
         number = len([n for n in self._names("manifests") if n.endswith(".json")]) + 1
-        draft, final = self._path(f"{self.folder}/manifests/_{number:06d}"), self._path(f"{self.folder}/manifests/{number:06d}.json")
+        draft, final = self._path(f"{self.folder}/manifests/_{part}"), self._path(f"{self.folder}/manifests/{number:06d}.json")
         out = self._fs.create(draft, True)
-        out.write(bytearray((json.dumps({"revision": revision}) + "\n").encode()))
+        out.write(bytearray((json.dumps({"revision": revision, "part": part}) + "\n").encode()))
         out.close()
-        if not self._fs.rename(draft, final):
+        if self._fs.exists(final) or not self._fs.rename(draft, final):
             raise RuntimeError("another writer was first")
         return True
 
     def read(self, until: str | None = None) -> DataFrame:
         """All revisions, or those up to one."""
-        known = self.revisions()
+        known = self._parts()
         if until is not None:
-            known = known[: known.index(until) + 1]
+            known = known[: [r for r, _ in known].index(until) + 1]
         if not known:
             raise ValueError("nothing written yet")
-        return self.spark.read.parquet(*[f"{self.folder}/parts/{r}" for r in known])
+        return self.spark.read.parquet(*[f"{self.folder}/parts/{part}" for _, part in known])

@@ -96,6 +96,24 @@ def test_link(spark):
     assert project(live.limit(0)).count() == 0
 
 
+def test_large_scopes_of_identifiers(spark):
+    uris = [("a" if i % 2 else "b" if i % 3 else "c", f"{'a' if i % 2 else 'b' if i % 3 else 'c'}://x/{i:03d}") for i in range(60)]
+    facts = spark.createDataFrame([(u, s, u, 1, "movie") for s, u in uris], "uri string, source string, key string, revision bigint, kind string")
+    scopes = facts.select(F.lit("id:t").alias("scope"), "uri")
+    found = {(r.a_uri, r.b_uri) for r in link.block_pairs(scopes, facts, 10).collect()}
+    assert len(found) <= 2 * 60 and all(a < b and a[0] != b[0] for a, b in found)
+    near = {}
+    for a, b in found:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    seen, open_ = set(), [uris[0][1]]
+    while open_:
+        seen.add(u := open_.pop())
+        open_ += near.get(u, set()) - seen
+    assert seen == {u for _, u in uris}  # all stay linked
+    assert len(link.block_pairs(scopes, facts, 60).collect()) == sum(x[0] != y[0] for i, x in enumerate(uris) for y in uris[i + 1 :])
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_extents_against_cells(spark, seed):
     r = random.Random(seed)
@@ -126,10 +144,10 @@ def orders(spark, *seasons, prefix="l", linked=None):
 
 
 def test_episode_runs(spark):
-    one = align.aligned_statements(orders(spark, (1, 4)), orders(spark, (1, 2), (2, 2), prefix="r"))
-    assert [r.statement for r in one.collect()] == ["l://o :: season=1,episode=1..4 <=> r://o :: season=1..2,episode=1..2"]
-    two = align.aligned_statements(orders(spark, (1, 4)), orders(spark, (1, 3), (2, 1), prefix="r"))
-    assert [r.statement for r in two.collect()] == ["l://o :: season=1,episode=1..4 <=> [r://o :: season=1,episode=1..3,r://o :: season=2,episode=1]"]
+    one = align.aligned_statements(orders(spark, (1, 9)), orders(spark, (1, 3), (2, 3), (3, 3), prefix="r"))
+    assert [r.statement for r in one.collect()] == ["l://o :: season=1,episode=1..9 <=> r://o :: season=1..3,episode=1..3"]
+    two = align.aligned_statements(orders(spark, (4, 2), (5, 5)), orders(spark, (1, 7), prefix="r"))
+    assert [r.statement for r in two.collect()] == ["[l://o :: season=4,episode=1..2,l://o :: season=5,episode=1..5] <=> r://o :: season=1,episode=1..7"]
     gone = align.aligned_statements(orders(spark, (1, 3), linked={2: "nowhere"}), orders(spark, (1, 3), prefix="r"))
     assert sorted(r.statement for r in gone.collect()) == ["l://o :: season=1,episode=1 <=> r://o :: season=1,episode=1", "l://o :: season=1,episode=3 <=> r://o :: season=1,episode=3"]
     assert align.order_violations(orders(spark, (1, 2), (1, 1)), ("parent",)).count() == 1

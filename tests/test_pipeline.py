@@ -78,3 +78,26 @@ def test_decisions_and_publication(spark):
     assert rows(P.pending_consumers(consumers, heads)) == [("t",), ("u",), ("v",)]
     scopes = spark.createDataFrame([("policy:1",), ("policy",), ("policy;",), ("parent:1",)], "scope string")
     assert rows(scopes.where(P.in_prefix(F.col("scope"), "policy:"))) == [("policy:1",)]
+
+
+def test_commands(spark, tmp_path, capsys):
+    """Linking in two steps, a decision, and what is published of it."""
+    from catenary import __main__ as cli
+
+    feed = "source string, key string, revision bigint, payload string, hash string, deleted boolean, metadata string"
+    write = lambda d, *films: spark.createDataFrame([(s, k, r, p, "h", False, "{}") for s, k, r, p in films], feed).write.parquet(f"{tmp_path}/{d}/record_versions.parquet")
+    one = (film("org.themoviedb", 1, 1, "A", "tt1"), film("com.thetvdb", 1, 1, "A", "tt1"))
+    write("a", *one)
+    write("b", *one, film("com.thetvdb", 1, 2, "B", "tt2"))
+    cli.sync(spark, f"{tmp_path}/a", f"{tmp_path}/state")
+    cli.sync(spark, f"{tmp_path}/b", f"{tmp_path}/state")
+    withdrawn = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
+    assert {w["method"] for w in withdrawn} == {"explicit-identifier", "shared-identifier", "title-year"}
+    (tmp_path / "claim.txt").write_text("b://1 <=> a://1\n")
+    cli.decide(spark, f"{tmp_path}/state", f"{tmp_path}/claim.txt", "rejected", "no")
+    cli.decide(spark, f"{tmp_path}/state", f"{tmp_path}/claim.txt", "accepted", "yes")
+    from catenary.operators import review
+    from catenary.sources.sinks import Ledger
+
+    events = Ledger(spark, f"{tmp_path}/state/events").read()
+    assert rows(review.decisions(events).select("version", "action")) == [(2, "accepted")] and events.count() == 2
