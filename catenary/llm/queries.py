@@ -18,6 +18,12 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.least("a", "b").alias("episode_id_a"), F.greatest("a", "b").alias("episode_id_b"))
 
 
+def p2_confidence(spark: SparkSession, folder: str) -> DataFrame:
+    """The pairs of p2_found with their confidence."""
+    found = match_episodes(table(spark, folder, "episodes"))
+    return found.select(F.least("a", "b").alias("episode_id_a"), F.greatest("a", "b").alias("episode_id_b"), F.round("confidence", 4).alias("confidence"))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return linked_groups(table(spark, folder, "unit_pairs"))
 
@@ -35,7 +41,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return language_segments(*tables, only_cases=True).select("doc_id", "segment_no", "lang")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+QUERIES = {"p2_found": p2_found, "p2_confidence": p2_confidence, "p3_found": p3_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 SQL = {
     "p3_found": r"""
 WITH RECURSIVE p AS (

@@ -69,3 +69,17 @@ def test_invented_shows(spark):
     assert len({a for a, _ in found}) == len(found) == len({b for _, b in found})
     assert len(found & truth) >= 0.95 * len(truth) and len(found - truth) <= 0.03 * len(truth)
     assert match_episodes(df.limit(0)).count() == 0
+
+
+def test_confidence_grows_with_evidence(spark):
+    """More agreement never lowers a pair's confidence, and values are shares."""
+    from catenary.llm.episodes import confidence
+
+    schema = "link bigint, title double, shift bigint, show_move bigint, date_share double, step bigint, number_share double, a_season bigint, b_season bigint, a_year int, b_year int, a_part int, b_part int, rivals double"
+    made = [(1, t, s, 0, 1.0 if s == 0 else None, 0, n, 1, 1, None, None, None, None, 0.0) for t in (0.3, 0.5, 0.8, 1.0) for s in (40, 5, 1, 0) for n in (None, 1.0)]
+    found = {(r.title, r["shift"], r.number_share or 0): r.c for r in spark.createDataFrame(made, schema).withColumn("c", confidence()).collect()}
+    for (t, s, n), c in found.items():
+        assert 0 <= c <= 1
+        assert all(c <= found[x] + 1e-9 for x in found if x[0] >= t and x[1] <= s and x[2] >= n)
+    odd = [(1, 1.0, 0, 0, 1.0, 0, 1.0, 1, 1, None, None, 1, 2, 0.0), (None, 1.0, 0, None, None, 0, None, 1, 1, None, None, None, None, 3.0), (None, None, None, None, None, None, None, None, None, None, None, None, None, None)]
+    assert [r.c for r in spark.createDataFrame(odd, schema).withColumn("c", confidence()).collect()] == [0.0, 0.0, 0.0]
