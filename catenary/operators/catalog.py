@@ -140,8 +140,12 @@ def units(records: DataFrame) -> DataFrame:
     return _union([tmdb_units(records), tvdb_units(records), anilist_units(records)])
 
 
-_NONE = F.array().cast("array<string>")
-_EMPTY = F.create_map().cast("map<string,string>")
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _empty() -> Column:
+    return F.create_map().cast("map<string,string>")
 
 
 def entities(records: DataFrame, found: DataFrame) -> DataFrame:
@@ -154,7 +158,7 @@ def entities(records: DataFrame, found: DataFrame) -> DataFrame:
         "entity", F.when(F.col("grouped"), F.array(*map(F.lit, ("season", "group", "episode")))).otherwise(F.array(F.lit("season"), F.lit("episode"))).alias("levels"),
         _map(episode_group=F.lit("")).alias("contexts"), (F.col("listed") & ~F.coalesce("bare", F.lit(False))).alias("complete"),
     )
-    of_season = records.where((F.col("source") == TMDB) & (F.col("domain") == "season")).select("entity", F.array(F.lit("episode")).alias("levels"), _EMPTY.alias("contexts"), _list("$.episodes", _EPISODES).isNotNull().alias("complete"))
+    of_season = records.where((F.col("source") == TMDB) & (F.col("domain") == "season")).select("entity", F.array(F.lit("episode")).alias("levels"), _empty().alias("contexts"), _list("$.episodes", _EPISODES).isNotNull().alias("complete"))
     series = tvdb_series(records).where("kind IS NOT NULL")
     known = F.transform(F.filter("seasons", lambda s: s.isNotNull()), lambda s: s["number"].try_cast("bigint"))
     unlisted = F.exists(F.try_element_at("orders", F.col("kind")), lambda e: e.isNotNull() & ~F.coalesce(F.array_contains(F.col("known"), e["seasonNumber"].try_cast("bigint")), F.lit(False)))
@@ -164,12 +168,12 @@ def entities(records: DataFrame, found: DataFrame) -> DataFrame:
     )
     kind = F.get_json_object("body", "$.type")
     of_media = records.where(F.col("source") == ANILIST).select(
-        "entity", F.when(kind == "ANIME", F.array(F.lit("episode"))).when(kind == "MANGA", F.array(F.lit("chapter"), F.lit("volume"))).otherwise(_NONE).alias("levels"), _EMPTY.alias("contexts"),
+        "entity", F.when(kind == "ANIME", F.array(F.lit("episode"))).when(kind == "MANGA", F.array(F.lit("chapter"), F.lit("volume"))).otherwise(_none()).alias("levels"), _empty().alias("contexts"),
         F.coalesce((kind == "ANIME") & _number(F.get_json_object("body", "$.episodes")).isNotNull(), F.lit(False)).alias("complete"),
     )
     described = _union([of_tv, of_season, of_series, of_media])
     named = records.select("entity").union(found.select("reference")).distinct()
-    return named.join(described, "entity", "left").select("entity", F.coalesce("levels", _NONE).alias("levels"), F.coalesce("contexts", _EMPTY).alias("contexts"), F.coalesce("complete", F.lit(False)).alias("complete"))
+    return named.join(described, "entity", "left").select("entity", F.coalesce("levels", _none()).alias("levels"), F.coalesce("contexts", _empty()).alias("contexts"), F.coalesce("complete", F.lit(False)).alias("complete"))
 
 
 def domains(found: DataFrame, described: DataFrame) -> DataFrame:
