@@ -250,6 +250,24 @@ def bootstrap_page(current: DataFrame, versions: DataFrame, source: str, after:
     return keys.orderBy("key").limit(limit).join(versions, ["source", "key", "revision"]).orderBy("key")
 
 
+def consumer_page(versions: DataFrame, current: DataFrame, source: str, state: dict, head: int, floor: int = 0, limit: int = PAGE) -> tuple[DataFrame, dict]:
+    """The next page of a consumer and its state after it: ``bootstrap``, ``revision``, ``after_key``.
+
+    A new consumer (state None or empty) notes the head, reads the current records by key, and then follows the changes from that
+    head on, so what changed meanwhile comes again as a change; who takes in revisions twice compares them. Its page is over when it
+    is short. A consumer whose revision lies before the floor has lost changes, which is an error.
+    """
+    state = state or {"bootstrap": True, "revision": head, "after_key": None}
+    if state["bootstrap"]:
+        page = bootstrap_page(current, versions, source, state["after_key"], limit)
+    else:
+        page = changes_page(versions, source, (state["revision"], state["after_key"]), head, limit, floor=floor)
+    last = page.agg(F.count("*").alias("n"), F.max(F.struct("revision", "key")).alias("v"), F.max("key").alias("k")).first()
+    if state["bootstrap"]:
+        return page, state | ({"after_key": last["k"]} if last["n"] == limit else {"bootstrap": False, "after_key": None})
+    return page, state | ({"revision": last["v"]["revision"], "after_key": last["v"]["key"]} if last["n"] == limit else {"revision": head, "after_key": None})
+
+
 def upserted(current: DataFrame, rows: DataFrame, keys: tuple[str, ...] = ("source", "key"), order: str = "revision") -> DataFrame:
     """The current table after rows were put in: of each key the row with the highest ``order``."""
     return latest(current.unionByName(rows.select(*current.columns)), keys, (order,))

@@ -158,6 +158,12 @@ UNION ALL SELECT claim_id, 1, 1, 0, 'x://all', NULL FROM st WHERE kind <> 'media
 UNION ALL SELECT claim_id, 0, 3 - i, 0, st.entity || '/episode/' || i, NULL FROM st, (VALUES (1), (2), (3)) AS n(i) WHERE kind = 'media' AND st.entity || '/episode/' || i IN (SELECT entity FROM entities)""",
     "cor_verdicts": f"""WITH {CATALOG}, {DOMAIN}, {ASKED}, g AS (SELECT claim_id, count(*) AS n, sum(times) = count(DISTINCT coordinate) AS clear, count(DISTINCT reference) = count(*) AS once FROM sel GROUP BY claim_id)
 SELECT claim_id, coalesce(kind <> 'season' AND n > 0 AND clear AND once, false) AS valid FROM st LEFT JOIN g USING (claim_id)""",
+    "cor_edges": f"""WITH {CATALOG}, {DOMAIN}, {ASKED}, ok AS (SELECT claim_id, count(*) AS n FROM sel GROUP BY claim_id HAVING sum(times) = count(DISTINCT coordinate) AND count(DISTINCT reference) = count(*))
+SELECT claim_id, '<=>' AS operator, reference AS "left", reference AS "right", '0/1' AS left_start, '1/1' AS left_end, '0/1' AS right_start, '1/1' AS right_end FROM sel JOIN ok USING (claim_id) WHERE kind = 'media'
+UNION ALL SELECT claim_id, '<~>', reference, 'x://all', '0/1', '1/1', '0/1', '1/1' FROM sel JOIN ok USING (claim_id) WHERE kind = 'tv' AND place = 0
+UNION ALL SELECT claim_id, '=>', reference, 'x://all', '0/1', '1/1', CASE place WHEN 0 THEN '0/1' ELSE '1/2' END, CASE place WHEN 0 THEN '1/2' ELSE '1/1' END FROM sel JOIN ok USING (claim_id) WHERE kind = 'series' AND place < 2""",
+    "cor_tails": f"""WITH {CATALOG}, {DOMAIN}, {ASKED}, ok AS (SELECT claim_id, kind, count(*) AS n, CASE kind WHEN 'series' THEN 2 ELSE 1 END AS m FROM sel WHERE kind <> 'media' GROUP BY claim_id, kind HAVING sum(times) = count(DISTINCT coordinate) AND count(DISTINCT reference) = count(*))
+SELECT claim_id, 'left' AS side, n - m AS rest FROM ok WHERE n > m UNION ALL SELECT claim_id, 'right', m - n FROM ok WHERE m > n""",
     "prj_units": f"WITH {CATALOG} SELECT entity, reference, level, coordinate, {_ATTRIBUTES} AS attributes FROM units",
     "prj_entities": f"WITH {CATALOG} SELECT entity, levels, contexts, complete FROM entities",
     "prj_domain": f"WITH {CATALOG}, {DOMAIN} SELECT entity, dimension, value, position FROM dom",

@@ -68,6 +68,21 @@ def test_modes_scopes_and_commits(spark):
     assert rows(records.run_counters(v, v.limit(3), batch)) == [("s", 5, 3, 2)]
 
 
+def test_consumer_catches_up(spark):
+    """First the current records by key, then the changes since; pages of two."""
+    v = spark.createDataFrame([("s", f"m:{i}", 1 + i // 3, "{}", f"h{i}", False, "{}") for i in range(5)], VERSIONS)
+    later = v.unionByName(spark.createDataFrame([("s", f"m:{i}", 3, "{}", "new", False, "{}") for i in (1, 3, 7)], VERSIONS))
+    state, seen = None, []
+    for table, head in [(v, 2)] + [(later, 3)] * 6:
+        page, state = records.consumer_page(table, records.latest(table), "s", state, head, limit=2)
+        seen.append([(r.key, r.revision) for r in page.orderBy("revision", "key").collect()])
+    everything = [x for p in seen for x in p]
+    assert {k for k, _ in everything} == {"m:0", "m:1", "m:2", "m:3", "m:4", "m:7"} and [("m:1", 3), ("m:3", 3), ("m:7", 3)] == [x for x in everything if x[1] == 3][-3:]
+    assert state == {"bootstrap": False, "revision": 3, "after_key": None}
+    with pytest.raises(records.CursorExpired):
+        records.consumer_page(later, records.latest(later), "s", {"bootstrap": False, "revision": 1, "after_key": None}, 3, floor=2)
+
+
 def test_violations(spark):
     b = spark.createDataFrame([("@x:1", "{}"), ("m:1", "[]"), ("m:1", "{}"), (None, None)], "key string, metadata string")
     assert {r.message for r in records.batch_violations(b, 3).collect()} == {"key must be domain:native", "metadata must be an object", "key occurs twice", "too many rows"}
