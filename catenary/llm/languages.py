@@ -10,7 +10,7 @@ The model is fitted on the test items, whose labels are right, and then again to
 different labelled documents (those with the least hashes of their whole content). Of these, texts count that the model so far gives the language of
 the label, without sentences that are clearly in another; so wrong labels and mixed texts do no harm. Every document is then
 scored by the fitted model, a batch at a time: each different word once, sentences by sums over arrays. A stretch's confidence is
-the share of its language in the scores, made milder until it fits the items' sentences under a model that has not seen them.
+the share of its language in the scores, made milder until it fits the items' words under a model that has not seen them.
 
 Defined results: headings (blocks without any full stop), claim lines, record references and markup are no sentences. Texts
 without a sentence, null and empty ones give no rows. Repeated documents are answered each; other columns are not read.
@@ -23,6 +23,7 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ NGRAM, PENALTY, SWITCH = 5, 16.0, 9.0
 #: Fits on labelled documents; log odds against the label's language from which a sentence of such a document is left out.
 REFITS, FAR = 2, 40.0
 #: What log odds may be divided by, so that a confidence is how often it is right.
-TEMPERATURES = (0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0)
+TEMPERATURES = (1.0, 1.25, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0)
 #: Weight of a capitalised word that does not begin a sentence.
 NAME_WEIGHT = 0.35
 #: Documents in which a word must occur to be known.
@@ -97,8 +98,10 @@ def sentences(text: str) -> list[str]:
     return out
 
 
-def _words(sentence: str) -> list[str]:
-    return [w.lower() for w in _WORD.findall(sentence)]
+@lru_cache(maxsize=200_000)
+def _words(sentence: str) -> tuple[str, ...]:
+    """The words of a sentence that a model is fitted on, remembered as every fit reads the same sentences."""
+    return tuple(w.lower() for w in _WORD.findall(sentence))
 
 
 class Model:
@@ -113,12 +116,13 @@ class Model:
             words = [w for p in parts for w in _words(p)]
             counts[lang].update(words)
             texts.update(set(words))
-        tables: list[dict[str, Counter]] = [{x: Counter() for x in langs} for _ in range(NGRAM + 1)]
+        tables: list[dict[str, dict[str, int]]] = [{x: {} for x in langs} for _ in range(NGRAM + 1)]
         for lang in langs:
-            for w, n in counts[lang].items():
-                for size in range(1, NGRAM + 1):
+            for size in range(1, NGRAM + 1):
+                table = tables[size][lang]
+                for w, n in counts[lang].items():
                     for g in self._grams(w, size):
-                        tables[size][lang][g] += n
+                        table[g] = table.get(g, 0) + n
         known = {x: Counter({w: n for w, n in counts[x].items() if texts[w] >= known_in}) for x in langs}
         self.words = self._logs(known)
         self.grams = [self._logs(t) for t in tables]
@@ -131,11 +135,12 @@ class Model:
         self._table = np.zeros((0, len(self.langs)))
 
     @staticmethod
-    def _grams(word: str, size: int) -> list[str]:
+    @lru_cache(maxsize=500_000)
+    def _grams(word: str, size: int) -> tuple[str, ...]:
         padded = f" {word} " if size > 1 else word
-        return [padded[i : i + size] for i in range(len(padded) - size + 1)]
+        return tuple(padded[i : i + size] for i in range(len(padded) - size + 1))
 
-    def _logs(self, counts: dict[str, Counter]) -> dict[str, tuple[float, ...]]:
+    def _logs(self, counts: dict[str, dict[str, int]]) -> dict[str, tuple[float, ...]]:
         totals = {x: math.log(max(1, sum(c.values()))) for x, c in counts.items()}
         out: dict[str, list[float]] = defaultdict(lambda: [-PENALTY] * len(self.langs))
         for k, x in enumerate(self.langs):
@@ -225,7 +230,7 @@ class Model:
         return self.segmented([text])[0]
 
     def calibrate(self, scores: np.ndarray, right: np.ndarray) -> None:
-        """Sets the temperature at which the languages of sentences that the model was not fitted on are likeliest."""
+        """Sets the temperature at which the languages of words that the model was not fitted on are likeliest."""
         if len(scores):
             own = scores[np.arange(len(right)), right]
             loss = {t: float(np.mean(np.logaddexp.reduce((scores - own[:, None]) / t, axis=1))) for t in TEMPERATURES}
@@ -254,7 +259,9 @@ def fit(docs: DataFrame, items: DataFrame, languages: DataFrame, sample: int = S
                 more.append((langs[own], [p for p, s in zip(parts, scores) if s[own] >= s.max() - FAR]))
         model = Model(langs, right + more)
     apart = Model(langs, more) if more else model  # fitted without the items, whose labels are right
-    model.calibrate(apart.scores([p for _, parts in right for p in parts]), np.array([langs.index(x) for x, parts in right for _ in parts], np.int64))
+    # word by word, since whole sentences of the items are told without a mistake and would set no bound to confidence
+    single = [(langs.index(x), w) for x, parts in right for p in parts for w in _WORD.findall(p)]
+    model.calibrate(apart.scores([w for _, w in single]), np.array([k for k, _ in single], np.int64))
     return model
 
 
