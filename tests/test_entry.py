@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-QUICK = ("p1_found", "p4_found", "p5_found", "rec_latest", "rec_in_force", "rec_retention", "link_candidates", "sem_align_extent", "aln_spans", "pol_conflicts", "pub_delta", "stream_windows")
+QUICK = ("p1_found", "p4_found", "p5_found", "rec_latest", "rec_in_force", "rec_retention", "link_candidates", "sem_align_extent", "aln_spans", "pol_conflicts", "pub_delta", "stream_windows", "stream_sessions", "prj_units", "prj_domain", "prj_orders", "cor_verdicts", "pip_project", "rec_observed_changes", "rec_committed", "src_show_members", "aln_statements", "dsl_documents")
 
 
 @pytest.fixture(scope="module")
